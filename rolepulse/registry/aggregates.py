@@ -1 +1,109 @@
-"""Queries."""
+"""Queries: aggregations per role and over roles, sorts, unions."""
+
+from pyspark.sql import functions as F
+
+from rolepulse.operators import rolestats as R
+from rolepulse.operators.joins import death_sides
+from rolepulse.operators.tableops import first_by, last_by
+from rolepulse.plans import activity as A
+from rolepulse.registry.base import AS_OF, END, START, flow_events, flow_of, query, sql
+
+IN_RANGE = f"day BETWEEN DATE '{START}' AND DATE '{END}'"
+
+
+def cohort_rows(spark, d, *types):
+    """In-range rows of some flows, cohort roles only."""
+    events = flow_events(spark, d, "createrole", *types)
+    rows = A.in_range(events.where(F.col("log_type").isin(list(types))), AS_OF)
+    return R.of_cohort(rows, A.read_cohort(events, AS_OF))
+
+
+@query("task_count", sql(
+    "SELECT roleid, count(*) AS taskid_sum FROM cact WHERE kind = 'taskflow' GROUP BY roleid", "cact"))
+def task_count(spark, d):
+    return R.task_count(R.task_rows(cohort_rows(spark, d, "taskflow")))
+
+
+@query("online_time_sum", sql("""
+    SELECT roleid, CAST(sum(online_time) AS BIGINT) AS online_sum FROM cact
+    WHERE kind = 'roleloginlogout' GROUP BY roleid""", "cact"))
+def online_time_sum(spark, d):
+    return R.online_time_sum(cohort_rows(spark, d, "roleloginlogout"))
+
+
+def _kills(spark, d):
+    events = flow_events(spark, d, "createrole", "death")
+    sides = death_sides(A.in_range(events.where(F.col("log_type") == "death"), AS_OF))
+    return R.kill_counts(R.of_cohort(sides, A.read_cohort(events, AS_OF)))
+
+
+@query("killed_count", sql("""
+    SELECT roleid, count(*) FILTER (WHERE kind = 'killed') AS killed_times FROM cact
+    WHERE kind IN ('killed', 'killer') GROUP BY roleid""", "cact"))
+def killed_count(spark, d):
+    return _kills(spark, d).select("roleid", "killed_times")
+
+
+@query("killer_count", sql("""
+    SELECT roleid, count(*) FILTER (WHERE kind = 'killer') AS killer_num FROM cact
+    WHERE kind IN ('killed', 'killer') GROUP BY roleid""", "cact"))
+def killer_count(spark, d):
+    return _kills(spark, d).select("roleid", "killer_num")
+
+
+@query("max_level_per_role", sql(
+    "SELECT roleid, max(level) AS max_level FROM fl WHERE log_type = 'levelup' GROUP BY roleid", "fl"))
+def max_level_per_role(spark, d):
+    return R.max_level_per_role(flow_of(flow_events(spark, d, "levelup"), "levelup"))
+
+
+@query("distinct_rows", sql("""
+    SELECT DISTINCT roleid, profession, log_time FROM fl WHERE log_type = 'createrole'""", "fl"))
+def distinct_rows(spark, d):
+    created = flow_of(flow_events(spark, d, "createrole"), "createrole")
+    return created.select("roleid", F.col("profession").cast("int").alias("profession"), "log_time").distinct()
+
+
+@query("flow_counts", sql("SELECT count(DISTINCT roleid) AS active_roles FROM cact", "cact"))
+def flow_counts(spark, d):
+    return A.role_activity(flow_events(spark, d), AS_OF).agg(F.count(F.lit(1)).alias("active_roles"))
+
+
+@query("order_by_two", sql("SELECT roleid, level FROM fl WHERE log_type = 'levelup' ORDER BY roleid, level", "fl"))
+def order_by_two(spark, d):
+    return flow_of(flow_events(spark, d, "levelup"), "levelup").select("roleid", "level").orderBy("roleid", "level")
+
+
+_ENDS = """
+    SELECT roleid, zone, profession, nation, log_time, ord FROM (
+      SELECT *, row_number() OVER (PARTITION BY roleid ORDER BY log_time {0}, ord {0}) AS r FROM fl
+      WHERE log_type = 'createrole') WHERE r = 1"""
+
+
+def _ends(spark, d, pick):
+    created = flow_of(flow_events(spark, d, "createrole"), "createrole").select(
+        "roleid", "zone", F.col("profession").cast("int").alias("profession"),
+        F.col("nation").cast("int").alias("nation"), "log_time", "ord")
+    return pick(created, ["roleid"], ["log_time", "ord"])
+
+
+@query("latest_row", sql(_ENDS.format("DESC"), "fl"))
+def latest_row(spark, d):
+    return _ends(spark, d, last_by)
+
+
+@query("earliest_row", sql(_ENDS.format("ASC"), "fl"))
+def earliest_row(spark, d):
+    return _ends(spark, d, first_by)
+
+
+@query("union_flows", sql("""
+    SELECT log_type, roleid, log_time, level, profession, nation, action, online_time, task_id, usetime, killer,
+           killer_level, scene, pos, award FROM fl""", "fl"))
+def union_flows(spark, d):
+    types = ("createrole", "roleloginlogout", "taskflow", "levelup", "death", "award")
+    flows = [flow_of(flow_events(spark, d, t), t) for t in types]
+    return A.union_flows(flows).select(
+        "log_type", "roleid", "log_time", "level", F.col("profession").cast("int").alias("profession"),
+        F.col("nation").cast("int").alias("nation"), "action", "online_time", "task_id", "usetime", "killer",
+        "killer_level", "scene", "pos", "award")

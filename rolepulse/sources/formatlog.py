@@ -92,24 +92,26 @@ def line_regex(kind: str, task_action: str = TASK_ACTION) -> str:
     )
 
 
-def _line_kind(line: Column, task_action: str) -> Column:
-    """Kind of a line: the first pattern that matches, NULL when none does."""
-    out = None
+def _candidates(line: Column, task_action: str) -> Column:
+    """Array with the captures of the first pattern that matches, empty when none does.
+
+    Each kind whose marker occurs gets one match attempt that rewrites the line to
+    ``kind, group 1, group 2, …``; an unchanged line means no match (a rewritten one
+    has lost its ``formatlog:``).
+    """
+    tries = []
     for kind, spec in LINE_KINDS.items():
-        hit = line.contains(spec.marker) & line.rlike(line_regex(kind, task_action))
-        out = F.when(hit, F.lit(kind)) if out is None else out.when(hit, F.lit(kind))
-    return out
+        whole = f"^.*?{line_regex(kind, task_action)}.*$"
+        groups = _SEP.join([kind, *[f"${i + 1}" for i in range(len(spec.fields))]])
+        tries.append(F.when(line.contains(spec.marker), F.regexp_replace(line, whole, groups)))
+    return F.slice(F.filter(F.array(*tries), lambda t: t.isNotNull() & (t != line)), 1, 1)
 
 
-def _captures(line: Column, kind: Column, task_action: str) -> Column:
-    """All groups of the line's own pattern as an array, from a single match."""
+def _log_type(kind: Column) -> Column:
     out = None
     for name, spec in LINE_KINDS.items():
-        whole = f"^.*?{line_regex(name, task_action)}.*$"
-        groups = _SEP.join(f"${i + 1}" for i in range(len(spec.fields)))
-        cut = F.regexp_replace(line, whole, groups)
-        out = F.when(kind == name, cut) if out is None else out.when(kind == name, cut)
-    return F.split(out, _SEP)
+        out = F.when(kind == name, spec.log_type) if out is None else out.when(kind == name, spec.log_type)
+    return out
 
 
 def path_zone(path: Column) -> Column:
@@ -135,12 +137,17 @@ def read_raw_stream(spark: SparkSession, path: str, max_files: int | None = None
     return reader.load(path).select("value", F.col("_metadata.file_path").alias("path"))
 
 
+def _hits(lines: DataFrame, task_action: str, keep_unmatched: bool) -> DataFrame:
+    # The generator evaluates the patterns once per line: filters and columns that
+    # look at the result cannot be pushed below it and repeat the matching.
+    explode = F.explode_outer if keep_unmatched else F.explode
+    hits = lines.select("*", explode(_candidates(F.col("value"), task_action)).alias("hit"))
+    return hits.withColumn("kind", F.substring_index("hit", _SEP, 1)).withColumn("log_type", _log_type(F.col("kind")))
+
+
 def classify(lines: DataFrame, task_action: str = TASK_ACTION) -> DataFrame:
     """Add ``kind`` and ``log_type`` (both NULL for a line no pattern matches)."""
-    log_type = F.create_map(*[F.lit(x) for k, s in LINE_KINDS.items() for x in (k, s.log_type)])
-    return lines.withColumn("kind", _line_kind(F.col("value"), task_action)).withColumn(
-        "log_type", F.element_at(log_type, F.col("kind"))
-    )
+    return _hits(lines, task_action, keep_unmatched=True).drop("hit")
 
 
 def drop_unmatched(classified: DataFrame) -> DataFrame:
@@ -149,14 +156,13 @@ def drop_unmatched(classified: DataFrame) -> DataFrame:
 
 def parse(lines: DataFrame, task_action: str = TASK_ACTION) -> DataFrame:
     """Matched lines as one sparse record per line; every field is text, as in the log."""
-    hits = drop_unmatched(classify(lines, task_action))
-    cut = hits.withColumn("_cut", _captures(F.col("value"), F.col("kind"), task_action))
+    cut = _hits(lines, task_action, keep_unmatched=False).withColumn("_cut", F.split("hit", _SEP))
 
     def field(name: str) -> Column:
         out = None
         for kind, spec in LINE_KINDS.items():
             if name in spec.fields:
-                value = F.get("_cut", F.lit(spec.fields.index(name)))
+                value = F.get("_cut", F.lit(spec.fields.index(name) + 1))
             elif name in dict(spec.constants):
                 value = F.lit(dict(spec.constants)[name])
             else:
