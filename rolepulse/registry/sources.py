@@ -1 +1,121 @@
-"""Queries."""
+"""Queries: scans of raw logs, flow files and tables laid down from the events."""
+
+from pyspark.sql import functions as F
+
+from rolepulse.layouts import FLOW_FIELDS
+from rolepulse.plans import activity as A
+from rolepulse.registry.base import (
+    AS_OF, END, START, flow_events, flow_root, loaded_table, query, raw_root, sql,
+)
+from rolepulse.registry.state import STATE
+from rolepulse.sources import flowfiles, formatlog
+from rolepulse.sources.eventmap import flow_of
+
+_RAW_ROWS = """
+    SELECT zone, CAST(day AS VARCHAR) AS day, log_type, log_time, roleid FROM fl WHERE log_type <> 'award'"""
+
+
+def raw_records(lines):
+    """Parsed raw lines in a comparable shape."""
+    rows = formatlog.with_path_fields(formatlog.parse(lines))
+    return rows.select("zone", "day", "log_type", F.col("log_time").try_cast("timestamp_ntz").alias("log_time"),
+                       F.col("roleid").try_cast("bigint").alias("roleid"))
+
+
+@query("scan_formatlog_batch", sql(_RAW_ROWS, "fl"))
+def scan_formatlog_batch(spark, d):
+    return raw_records(formatlog.read_raw(spark, raw_root(spark, d)))
+
+
+@query("discover_flow_files", sql("""
+    SELECT zone, log_type, string_agg(name, ' ' ORDER BY name) AS files FROM (
+      SELECT DISTINCT zone, log_type, CAST(day AS VARCHAR) || '_' || log_type AS name FROM fl
+      WHERE zone <> '1005')
+    GROUP BY zone, log_type""", "fl"))
+def discover_flow_files(spark, d):
+    """Zone 1005 files lack the underscore and are skipped."""
+    sep = F.when(F.col("zone") == "1005", "-").otherwise("_")
+    names = flow_events(spark, d).select("zone", F.concat(F.col("day").cast("string"), sep, "log_type").alias("name"))
+    return flowfiles.group_files(names.distinct()).select(
+        "zone", "log_type", F.array_join("file_list", " ").alias("files"))
+
+
+@query("scan_flow_range", sql(f"""
+    SELECT zone, day, log_type, log_time, roleid, level, CAST(profession AS INTEGER) AS profession, action,
+           online_time, task_id, usetime, killer, scene, pos, award FROM fl
+    WHERE day BETWEEN DATE '{START}' AND DATE '{END}' AND log_type <> 'createrole'""", "fl"))
+def scan_flow_range(spark, d):
+    lines = flowfiles.read_partitioned(spark, flow_root(spark, d))
+    types = ("levelup", "taskflow", "award", "death", "roleloginlogout")
+    return flowfiles.typed_events(flowfiles.scan_range(lines, AS_OF, types)).select(
+        "zone", "day", "log_type", "log_time", "roleid", "level", F.col("profession").cast("int").alias("profession"),
+        "action", "online_time", "task_id", "usetime", "killer", "scene", "pos", "award")
+
+
+@query("first_available_day", sql("SELECT CAST(day AS VARCHAR) AS day FROM firstday", "firstday"))
+def first_available_day(spark, d):
+    return flowfiles.first_available_day(flowfiles.read_partitioned(spark, flow_root(spark, d)), AS_OF)
+
+
+@query("read_cohort", sql("SELECT roleid, create_time, profession, nation FROM cohort", "cohort"))
+def read_cohort(spark, d):
+    cohort = A.read_cohort(flow_events(spark, d, "createrole"), AS_OF)
+    return cohort.select("roleid", "create_time", F.col("profession").cast("int").alias("profession"),
+                         F.col("nation").cast("int").alias("nation"))
+
+
+@query("read_single_flow", sql("""
+    SELECT log_time, roleid, level, task_id, action FROM fl
+    WHERE log_type = 'taskflow' AND zone = '1002' AND day = DATE '2024-01-10'""", "fl"))
+def read_single_flow(spark, d):
+    lines = flowfiles.read_partitioned(spark, flow_root(spark, d)).where(
+        (F.col("zone") == "1002") & (F.col("day") == "2024-01-10") & (F.col("log_type") == "taskflow"))
+    return flowfiles.typed(lines, "taskflow").select("log_time", "roleid", "level", "task_id", "action")
+
+
+@query("read_flow_table", sql("SELECT roleid, level FROM fl WHERE log_type = 'levelup' AND zone = '1004'", "fl"))
+def read_flow_table(spark, d):
+    return loaded_table(spark, d, "levelup").where(F.col("zone") == "1004").select("roleid", "level")
+
+
+@query("role_activity_from_flow_files", sql(f"SELECT {STATE} FROM replayed", "replayed"))
+def role_activity_from_flow_files(spark, d):
+    """The replay over flow files: day, type and line order come from the files."""
+    events = flowfiles.typed_events(flowfiles.read_partitioned(spark, flow_root(spark, d)))
+    return A.role_activity(events, AS_OF, replay=True)
+
+
+def _register_loads() -> None:
+    columns = {
+        "createrole": "profession, nation", "roleloginlogout": "action, level, online_time",
+        "taskflow": "level, task_id, action", "levelup": "profession, level, usetime",
+        "death": "level, killer, killer_level, scene, pos", "award": "level, award",
+        "instance": "k AS level, k AS instance_tid, CAST(ord % 2 AS INTEGER) AS status",
+    }
+    for log_type in FLOW_FIELDS:
+        source = "taskflow" if log_type == "instance" else log_type
+        statement = sql(f"""
+            SELECT row_number() OVER (PARTITION BY zone ORDER BY ord) AS sn, zone, log_time, roleid,
+                   {columns[log_type]} FROM fl WHERE log_type = '{source}'""", "fl")
+
+        def load(spark, d, log_type=log_type):
+            table = loaded_table(spark, d, log_type)
+            names = [n for n, _ in FLOW_FIELDS[log_type]]
+            kinds = dict(FLOW_FIELDS[log_type])
+            return table.select("sn", F.col("zone").cast("string").alias("zone"), "log_time", *[
+                F.col(n).cast("int").alias(n) if kinds[n] == "tinyint" else F.col(n) for n in names])
+
+        query(f"load_flow_{'task' if log_type == 'taskflow' else log_type}", statement)(load)
+
+
+_register_loads()
+
+
+@query("assign_sn", sql("""
+    SELECT ord, zone, row_number() OVER (PARTITION BY zone ORDER BY ord) AS sn FROM fl WHERE log_type = 'death'""",
+    "fl"))
+def assign_sn(spark, d):
+    from rolepulse.operators.numbering import assign_sn as number, id_blocks
+
+    deaths = flow_of(flow_events(spark, d, "death"), "death").select("ord", "zone")
+    return number(deaths, order=["ord"], chunk=id_blocks("ord", 1024), scope=["zone"])

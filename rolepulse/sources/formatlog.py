@@ -101,7 +101,7 @@ def _candidates(line: Column, task_action: str) -> Column:
     """
     tries = []
     for kind, spec in LINE_KINDS.items():
-        whole = f"^.*?{line_regex(kind, task_action)}.*$"
+        whole = rf"(?s)^.*?{line_regex(kind, task_action)}.*\z"
         groups = _SEP.join([kind, *[f"${i + 1}" for i in range(len(spec.fields))]])
         tries.append(F.when(line.contains(spec.marker), F.regexp_replace(line, whole, groups)))
     return F.slice(F.filter(F.array(*tries), lambda t: t.isNotNull() & (t != line)), 1, 1)
