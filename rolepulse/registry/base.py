@@ -185,7 +185,8 @@ def sql(select: str, *needs: str) -> str:
     if not order:
         return select
     head = "WITH RECURSIVE " if _RECURSIVE & set(order) else "WITH "
-    return head + ",\n".join(f"{n} AS ({_CTES[n][1]})" for n in order) + "\n" + select
+    kept = {n: "" if n in _RECURSIVE else "MATERIALIZED " for n in order}
+    return head + ",\n".join(f"{n} AS {kept[n]}({_CTES[n][1]})" for n in order) + "\n" + select
 
 
 # --- inputs laid down once per session and data folder ------------------------
