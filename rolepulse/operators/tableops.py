@@ -49,6 +49,11 @@ def _end_by(rows, keys, order, pick) -> DataFrame:
         pick(whole, full).alias("_r")).select("_r.*")
 
 
+def sorted_rows(rows: DataFrame, keys: list[str], tie: str) -> DataFrame:
+    """Global order by ``keys``; the unique ``tie`` lets the range sort split rows with equal keys."""
+    return rows.orderBy(*keys, tie)
+
+
 def write_version(df: DataFrame, path: str) -> DataFrame:
     """Write a new version of a table and return it."""
     df.write.mode("errorifexists").parquet(path)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, ShortType, ByteType
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from rolepulse.functions.text import safe_ratio
 from rolepulse.functions.times import DAY_SECONDS, to_epoch
@@ -36,34 +36,44 @@ def global_max(roles: DataFrame, first_day: DataFrame, zone: str = "UTC") -> Dat
     return top.crossJoin(F.broadcast(first_day)).select(*names, F.greatest("ts", floor).alias("ts"))
 
 
+def with_top(roles: DataFrame, top: DataFrame, *names: str) -> DataFrame:
+    """Every role beside ``max_<name>`` columns of the one-row maximum."""
+    return roles.crossJoin(F.broadcast(top.select(*[F.col(n).alias(f"max_{n}") for n in names])))
+
+
+def is_lost(lost_day: int = LOST_DAY) -> Column:
+    """Whether the newest time of all is more than ``lost_day`` days past the role's own."""
+    return F.col("max_ts") - F.col("ts") > DAY_SECONDS * lost_day
+
+
 def churn_label(roles: DataFrame, top: DataFrame, lost_day: int = LOST_DAY) -> DataFrame:
-    """Add ``is_lost``: the newest time is more than ``lost_day`` days past the role's own."""
-    newest = F.broadcast(top.select(F.col("ts").alias("max_ts")))   # one row
-    return roles.crossJoin(newest).withColumn("is_lost", F.col("max_ts") - F.col("ts") > DAY_SECONDS * lost_day)
+    """Add ``max_ts`` and ``is_lost``."""
+    return with_top(roles, top, "ts").withColumn("is_lost", is_lost(lost_day))
 
 
-def label_encode(labelled: DataFrame, signed: bool = False) -> DataFrame:
-    """Add ``label``: 1 for lost and 0 otherwise, or -1 for lost and 1 otherwise when ``signed``."""
-    lost = F.col("is_lost")
-    label = F.when(lost, -1.0).otherwise(1.0) if signed else lost.cast("double")
-    return labelled.withColumn("label", label)
+def encoded(lost: Column, signed: bool = False) -> Column:
+    """1 for lost and 0 otherwise, or -1 for lost and 1 otherwise when ``signed``."""
+    return F.when(lost, -1.0).otherwise(1.0) if signed else lost.cast("double")
 
 
-def normalise(labelled: DataFrame, top: DataFrame, names: list[str]) -> DataFrame:
-    """Every feature divided by its population maximum (0.0 where that is 0)."""
-    one = F.broadcast(top.select(*[F.col(n).alias(f"_{n}") for n in names]))   # one row
-    ratios = {n: safe_ratio(F.col(n), F.col(f"_{n}")) for n in names}
-    return labelled.crossJoin(one).withColumns(ratios).drop(*[f"_{n}" for n in names])
+def label_encode(labelled: DataFrame, signed: bool = False, name: str = "label") -> DataFrame:
+    return labelled.withColumn(name, encoded(F.col("is_lost"), signed))
+
+
+def score(roles: DataFrame, top: DataFrame, lost_day: int = LOST_DAY) -> DataFrame:
+    """roleid, is_lost, label and every feature divided by its maximum (0.0 where that is 0)."""
+    names = select_features(roles)
+    lost = is_lost(lost_day)
+    return with_top(roles.select("roleid", "ts", *names), top, "ts", *names).select(
+        "roleid", lost.alias("is_lost"), encoded(lost).alias("label"),
+        *[safe_ratio(F.col(n), F.col(f"max_{n}")).alias(n) for n in names])
 
 
 def labelled_features(events: DataFrame, as_of: str | dt.date, replay: bool = False, zone: str = "UTC",
                       lost_day: int = LOST_DAY) -> DataFrame:
-    """roleid, is_lost, label and the normalised features of every active cohort role."""
+    """Label and normalised features of every active cohort role, straight from the events."""
     roles = role_activity(events, as_of, replay, zone)
-    top = global_max(roles, cohort_day(events, as_of), zone)
-    names = select_features(roles)
-    labelled = label_encode(churn_label(roles.select("roleid", "ts", *names), top, lost_day))
-    return normalise(labelled, top, names).select("roleid", "is_lost", "label", *names)
+    return score(roles, global_max(roles, cohort_day(events, as_of), zone), lost_day)
 
 
 def lost_rate(labelled: DataFrame, cohort: DataFrame) -> DataFrame:

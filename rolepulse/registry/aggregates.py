@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from rolepulse.operators import rolestats as R
 from rolepulse.operators.joins import death_sides
-from rolepulse.operators.tableops import first_by, last_by
+from rolepulse.operators.tableops import first_by, last_by, sorted_rows
 from rolepulse.plans import activity as A
 from rolepulse.registry.base import AS_OF, END, START, flow_events, flow_of, query, sql
 
@@ -71,7 +71,8 @@ def flow_counts(spark, d):
 
 @query("order_by_two", sql("SELECT roleid, level FROM fl WHERE log_type = 'levelup' ORDER BY roleid, level", "fl"))
 def order_by_two(spark, d):
-    return flow_of(flow_events(spark, d, "levelup"), "levelup").select("roleid", "level").orderBy("roleid", "level")
+    ups = flow_of(flow_events(spark, d, "levelup"), "levelup")
+    return sorted_rows(ups.select("roleid", "level", "ord"), ["roleid", "level"], "ord").drop("ord")
 
 
 _ENDS = """

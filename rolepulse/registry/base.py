@@ -11,6 +11,8 @@ from rolepulse.session import work_path
 from rolepulse.sinks.flowtables import load_flow_table
 from rolepulse.sinks.routed import write_routed_in_order
 from rolepulse.sources import eventmap
+from rolepulse.sources.flowfiles import read_partitioned
+from rolepulse.sources.tables import read_flow_table
 from rolepulse.sources.eventmap import AS_OF, flow_events, flow_of, flow_text, raw_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,17 +225,20 @@ def flow_root(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "flows", write)
 
 
+def table_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder the loaded flow tables of this session live in."""
+    return _once(spark, sf_dir, "tables", lambda path: None)
+
+
 def loaded_table(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
     """A flow table loaded from the flow files."""
-    from rolepulse.sources.flowfiles import read_partitioned
-    from rolepulse.sources.tables import read_flow_table
-
+    root = table_root(spark, sf_dir)
     lines = read_partitioned(spark, flow_root(spark, sf_dir))
-    root = _once(spark, sf_dir, f"tables-{log_type}", lambda path: load_flow_table(lines, log_type, path))
+    _once(spark, sf_dir, f"load-{log_type}", lambda path: load_flow_table(lines, log_type, root))
     return read_flow_table(spark, root, log_type)
 
 
 __all__ = [
     "AS_OF", "END", "ORACLES", "QUERIES", "START", "eventmap", "flow_events", "flow_of", "flow_root", "flow_text",
-    "loaded_table", "query", "raw_lines", "raw_root", "sql",
+    "loaded_table", "query", "raw_lines", "raw_root", "sql", "table_root",
 ]

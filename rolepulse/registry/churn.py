@@ -123,8 +123,8 @@ for _tag, _src in _SOURCES.items():
 def label_encode(spark, d):
     roles, top = _roles(spark, d, False)
     labelled = C.churn_label(roles.select("roleid", "ts"), top)
-    both = C.label_encode(labelled, signed=True).withColumnRenamed("label", "signed_label")
-    return C.label_encode(both).select("roleid", "label", "signed_label")
+    both = C.label_encode(C.label_encode(labelled), signed=True, name="signed_label")
+    return both.select("roleid", "label", "signed_label")
 
 
 @query("select_features", sql(f"SELECT roleid, {FEATURES} FROM clean", "clean"))
@@ -137,5 +137,4 @@ def select_features(spark, d):
     "SELECT c.roleid, c.online_sum, t.online_sum AS max_online_sum, t.ts AS max_ts FROM clean c, top t", "clean", "top"))
 def normalise_cross_join(spark, d):
     roles, top = _roles(spark, d, False)
-    one = F.broadcast(top.select(F.col("online_sum").alias("max_online_sum"), F.col("ts").alias("max_ts")))
-    return roles.select("roleid", "online_sum").crossJoin(one)
+    return C.with_top(roles.select("roleid", "online_sum"), top, "online_sum", "ts")

@@ -2,14 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from rolepulse.layouts import FLOW_FIELDS
+from rolepulse.layouts import FLOW_FIELDS, REPLAY_ORDER
 from rolepulse.plans import activity as A
 from rolepulse.registry.base import (
-    AS_OF, END, START, flow_events, flow_root, loaded_table, query, raw_root, sql,
+    AS_OF, END, START, flow_events, flow_root, loaded_table, query, raw_root, sql, table_root,
 )
 from rolepulse.registry.state import STATE
 from rolepulse.sources import flowfiles, formatlog
 from rolepulse.sources.eventmap import flow_of
+from rolepulse.sources.tables import read_flow_events
 
 _RAW_ROWS = """
     SELECT zone, CAST(day AS VARCHAR) AS day, log_type, log_time, roleid FROM fl WHERE log_type <> 'award'"""
@@ -54,7 +55,7 @@ def scan_flow_range(spark, d):
 
 @query("first_available_day", sql("SELECT CAST(day AS VARCHAR) AS day FROM firstday", "firstday"))
 def first_available_day(spark, d):
-    return flowfiles.first_available_day(flowfiles.read_partitioned(spark, flow_root(spark, d)), AS_OF)
+    return flowfiles.first_available_day(flowfiles.list_partitions(spark, flow_root(spark, d)), AS_OF)
 
 
 @query("read_cohort", sql("SELECT roleid, create_time, profession, nation FROM cohort", "cohort"))
@@ -81,8 +82,18 @@ def read_flow_table(spark, d):
 @query("role_activity_from_flow_files", sql(f"SELECT {STATE} FROM replayed", "replayed"))
 def role_activity_from_flow_files(spark, d):
     """The replay over flow files: day, type and line order come from the files."""
-    events = flowfiles.typed_events(flowfiles.read_partitioned(spark, flow_root(spark, d)))
-    return A.role_activity(events, AS_OF, replay=True)
+    root = flow_root(spark, d)
+    events = flowfiles.typed_events(flowfiles.read_partitioned(spark, root))
+    first_day = flowfiles.first_available_day(flowfiles.list_partitions(spark, root), AS_OF)
+    return A.role_activity(events, AS_OF, replay=True, first_day=first_day)
+
+
+@query("role_activity_from_flow_tables", sql(f"SELECT {STATE} FROM replayed", "replayed"))
+def role_activity_from_flow_tables(spark, d):
+    """The replay over loaded tables, where the line order is the running number."""
+    for t in (*REPLAY_ORDER, "createrole"):
+        loaded_table(spark, d, t)
+    return A.role_activity(read_flow_events(spark, table_root(spark, d)), AS_OF, replay=True)
 
 
 def _register_loads() -> None:

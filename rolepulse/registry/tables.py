@@ -112,11 +112,14 @@ def create_table_as(spark, d):
     return O.create_table_as(_orders(spark, d), f"{scratch_db(spark)}.orders_copy")
 
 
-@query("create_table_like", _ORDERS + " WHERE false")
+@query("create_table_like", _ORDERS + " WHERE o_totalprice < 200000")
 def create_table_like(spark, d):
+    """The clone holds only what is put into it afterwards."""
     db = scratch_db(spark)
     O.create_table_as(_orders(spark, d), f"{db}.orders_copy")
-    return O.create_table_like(spark, f"{db}.orders_empty", f"{db}.orders_copy")
+    O.create_table_like(spark, f"{db}.orders_like", f"{db}.orders_copy")
+    O.insert_select(_orders(spark, d), F.col("o_totalprice") < 200000, f"{db}.orders_like")
+    return spark.table(f"{db}.orders_like")
 
 
 @query("insert_select_where", _ORDERS + " UNION ALL " + _ORDERS + " WHERE o_orderkey < 1000000 AND o_totalprice < 200000")
@@ -127,11 +130,14 @@ def insert_select_where(spark, d):
     return spark.table(table)
 
 
-@query("truncate_table", _ORDERS + " WHERE false")
+@query("truncate_table", _ORDERS + " WHERE o_totalprice < 200000")
 def truncate_table(spark, d):
+    """Nothing of the first content is left when new rows come in."""
     table = f"{scratch_db(spark)}.orders_copy"
     O.create_table_as(_orders(spark, d), table)
-    return O.truncate_table(spark, table)
+    O.truncate_table(spark, table)
+    O.insert_select(_orders(spark, d), F.col("o_totalprice") < 200000, table)
+    return spark.table(table)
 
 
 @query("rename_table", _ORDERS)

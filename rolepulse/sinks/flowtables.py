@@ -1,4 +1,4 @@
-"""Flow tables: typed, numbered, appended, one folder per zone."""
+"""Flow tables: typed, numbered, appended, one folder per zone and file day."""
 
 from __future__ import annotations
 
@@ -23,7 +23,7 @@ def last_sn(spark: SparkSession, path: str) -> DataFrame | int:
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         return 0
-    # One row per zone: bounded by the zone list.
+    # One row per zone of the short zone list; fetched so that the append cannot change it.
     top = table.groupBy(F.col("zone").cast("string").alias("zone")).agg(F.max("sn").alias("start"))
     return spark.createDataFrame(top.collect(), top.schema)
 
@@ -47,8 +47,8 @@ def load_flow_table(
         start=last_sn(spark, path),
     )
     (
-        numbered.select("sn", "log_time", *fields, "zone")
-        .hint("rebalance", F.col("zone")).write.mode("append").partitionBy("zone").parquet(path)
+        numbered.select("sn", "log_time", *fields, "zone", "day").hint("rebalance", F.col("zone"), F.col("day"))
+        .write.mode("append").partitionBy("zone", "day").parquet(path)
     )
     return path
 

@@ -49,6 +49,12 @@ def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
     return lines.select("value", "zone", "day", "log_type", _line_order())
 
 
+def list_partitions(spark: SparkSession, root: str) -> DataFrame:
+    """zone, day, log_type of every file of the partitioned layout, from names only."""
+    return spark.read.format("binaryFile").load(root).select(
+        *[F.col(c).cast("string").alias(c) for c in ("zone", "day", "log_type")])
+
+
 def read_plain(
     spark: SparkSession, root: str, days: Iterable[str], types: Iterable[str], zones: Iterable[str] = VALID_ZONES
 ) -> DataFrame:

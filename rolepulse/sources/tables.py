@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rolepulse.layouts import check_type, table_type
+from rolepulse.layouts import FLOW_FIELDS, REPLAY_ORDER, check_type, table_type
 
 
 def table_path(root: str, log_type: str) -> str:
@@ -12,8 +13,21 @@ def table_path(root: str, log_type: str) -> str:
 
 
 def read_flow_table(spark: SparkSession, root: str, log_type: str) -> DataFrame:
-    """A loaded flow table; filter on ``zone`` to read one zone's folder only."""
-    return spark.read.parquet(table_path(root, log_type))
+    """A loaded flow table; filters on ``zone`` and ``day`` prune folders."""
+    columns = ", ".join(f"{n} {t}" for n, t in FLOW_FIELDS[check_type(log_type)])
+    schema = f"sn bigint, log_time timestamp_ntz, {columns}, zone string, day date"
+    return spark.read.schema(schema).parquet(table_path(root, log_type))
+
+
+def read_flow_events(
+    spark: SparkSession, root: str, types: tuple[str, ...] = ("createrole", *REPLAY_ORDER)
+) -> DataFrame:
+    """Loaded tables as one event table; ``sn`` is the line order inside a zone."""
+    out = None
+    for t in types:
+        rows = read_flow_table(spark, root, t).withColumn("log_type", F.lit(t)).withColumnRenamed("sn", "ord")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
 def read_jdbc(spark: SparkSession, table: str, options: dict[str, str]) -> DataFrame:
