@@ -41,15 +41,11 @@ def cohort_day(events: DataFrame, as_of: str | dt.date) -> DataFrame:
     return in_range(events.where(F.col("log_type") == "createrole"), as_of).agg(F.min("day").alias("day"))
 
 
-def read_cohort(events: DataFrame, as_of: str | dt.date, first_day: DataFrame | None = None) -> DataFrame:
-    """Roles created on the cohort day; of several lines for a role the last wins.
-
-    ``first_day`` may give the day (one row), for instance from a file listing.
-    """
-    day = cohort_day(events, as_of) if first_day is None else first_day
+def read_cohort(events: DataFrame, as_of: str | dt.date) -> DataFrame:
+    """Roles created on the cohort day; of several lines for a role the last wins."""
     # The range repeats what the subquery implies, so that it reaches the scan.
     created = in_range(events.where(F.col("log_type") == "createrole"), as_of).where(
-        F.col("day") == day.select(F.col("day").cast("date")).scalar())
+        F.col("day") == cohort_day(events, as_of).scalar())
     last = lambda c: F.max_by(c, "ord").alias(c)
     return created.groupBy("roleid").agg(
         F.max_by("log_time", "ord").alias("create_time"), last("profession"), last("nation"))
@@ -247,8 +243,11 @@ def event_time_state(days: DataFrame, zone: str = "UTC") -> DataFrame:
 
 
 def role_activity(events: DataFrame, as_of: str | dt.date, replay: bool = False, zone: str = "UTC",
-                  max_rows: int = BROADCAST_ROWS, first_day: DataFrame | None = None) -> DataFrame:
-    """State of every active cohort role; event-time rules unless ``replay``."""
-    cohort = read_cohort(events, as_of, first_day)
+                  max_rows: int = BROADCAST_ROWS, created: DataFrame | None = None) -> DataFrame:
+    """State of every active cohort role; event-time rules unless ``replay``.
+
+    ``created`` holds the role creations where ``events`` does not.
+    """
+    cohort = read_cohort(events if created is None else created, as_of)
     days = cohort_role_days(in_range(events, as_of), cohort, zone, max_rows)
     return replay_state(days, zone) if replay else event_time_state(days, zone)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rolepulse.layouts import FLOW_FIELDS
+from rolepulse.layouts import FLOW_FIELDS, VALID_ZONES
 from rolepulse.session import work_path
 from rolepulse.sinks.flowtables import load_flow_table
 from rolepulse.sinks.routed import write_routed_in_order
@@ -233,7 +233,7 @@ def table_root(spark: SparkSession, sf_dir: str) -> str:
 def loaded_table(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
     """A flow table loaded from the flow files."""
     root = table_root(spark, sf_dir)
-    lines = read_partitioned(spark, flow_root(spark, sf_dir))
+    lines = read_partitioned(spark, flow_root(spark, sf_dir), [log_type], zones=VALID_ZONES)
     _once(spark, sf_dir, f"load-{log_type}", lambda path: load_flow_table(lines, log_type, root))
     return read_flow_table(spark, root, log_type)
 

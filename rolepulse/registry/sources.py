@@ -46,9 +46,8 @@ def discover_flow_files(spark, d):
            online_time, task_id, usetime, killer, scene, pos, award FROM fl
     WHERE day BETWEEN DATE '{START}' AND DATE '{END}' AND log_type <> 'createrole'""", "fl"))
 def scan_flow_range(spark, d):
-    lines = flowfiles.read_partitioned(spark, flow_root(spark, d))
-    types = ("levelup", "taskflow", "award", "death", "roleloginlogout")
-    return flowfiles.typed_events(flowfiles.scan_range(lines, AS_OF, types)).select(
+    lines = flowfiles.scan_range(spark, flow_root(spark, d), AS_OF, REPLAY_ORDER)
+    return flowfiles.typed_events(lines).select(
         "zone", "day", "log_type", "log_time", "roleid", "level", F.col("profession").cast("int").alias("profession"),
         "action", "online_time", "task_id", "usetime", "killer", "scene", "pos", "award")
 
@@ -69,8 +68,8 @@ def read_cohort(spark, d):
     SELECT log_time, roleid, level, task_id, action FROM fl
     WHERE log_type = 'taskflow' AND zone = '1002' AND day = DATE '2024-01-10'""", "fl"))
 def read_single_flow(spark, d):
-    lines = flowfiles.read_partitioned(spark, flow_root(spark, d)).where(
-        (F.col("zone") == "1002") & (F.col("day") == "2024-01-10") & (F.col("log_type") == "taskflow"))
+    lines = flowfiles.read_partitioned(
+        spark, flow_root(spark, d), ["taskflow"], ("2024-01-10", "2024-01-10"), ["1002"])
     return flowfiles.typed(lines, "taskflow").select("log_time", "roleid", "level", "task_id", "action")
 
 
@@ -82,10 +81,8 @@ def read_flow_table(spark, d):
 @query("role_activity_from_flow_files", sql(f"SELECT {STATE} FROM replayed", "replayed"))
 def role_activity_from_flow_files(spark, d):
     """The replay over flow files: day, type and line order come from the files."""
-    root = flow_root(spark, d)
-    events = flowfiles.typed_events(flowfiles.read_partitioned(spark, root))
-    first_day = flowfiles.first_available_day(flowfiles.list_partitions(spark, root), AS_OF)
-    return A.role_activity(events, AS_OF, replay=True, first_day=first_day)
+    events, created = flowfiles.activity_inputs(spark, flow_root(spark, d), AS_OF)
+    return A.role_activity(events, AS_OF, replay=True, created=created)
 
 
 @query("role_activity_from_flow_tables", sql(f"SELECT {STATE} FROM replayed", "replayed"))

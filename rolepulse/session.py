@@ -28,6 +28,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **conf: str) ->
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for k, v in settings.items():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +33,8 @@ def load_flow_table(
 ) -> str:
     """Append the flow lines of one type to its table and return the table path.
 
-    ``lines`` is what the flow-file readers give. Rows get the next numbers of
-    their zone's table, in day and line order.
+    ``lines`` is what the flow-file readers give for that type. Rows get the next
+    numbers of their zone's table, in day and line order.
     """
     spark = lines.sparkSession
     fields = [n for n, _ in FLOW_FIELDS[check_type(log_type)]]
@@ -53,6 +53,8 @@ def load_flow_table(
     return path
 
 
-def load_flow_tables(lines: DataFrame, root: str, types: Iterable[str] = tuple(FLOW_FIELDS)) -> dict[str, str]:
-    """Load every wanted type; returns type -> table path."""
-    return {t: load_flow_table(lines, t, root) for t in types}
+def load_flow_tables(
+    read: Callable[[str], DataFrame], root: str, types: Iterable[str] = tuple(FLOW_FIELDS)
+) -> dict[str, str]:
+    """Load every wanted type, ``read`` giving its lines; returns type -> table path."""
+    return {t: load_flow_table(read(t), t, root) for t in types}

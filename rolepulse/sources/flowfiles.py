@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolepulse.functions.text import name_date, name_type
-from rolepulse.layouts import FLOW_FIELDS, RANGE_END, RANGE_START, VALID_ZONES, check_type
+from rolepulse.layouts import FLOW_FIELDS, RANGE_END, RANGE_START, REPLAY_ORDER, VALID_ZONES, check_type
 
 LINE_SCHEMA = "value string, zone string, day string, log_type string, ord struct<file:string,block:bigint,row:bigint>"
 
@@ -43,9 +43,22 @@ def _line_order() -> Column:
     ).alias("ord")
 
 
-def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of the partitioned layout with zone, day, log_type and their line order."""
+def read_partitioned(
+    spark: SparkSession, root: str, types: Iterable[str] | None = None, days: tuple[str, str] | None = None,
+    zones: Iterable[str] | None = None,
+) -> DataFrame:
+    """Lines of the partitioned layout with zone, day, log_type and their line order.
+
+    Types, days (first and last) and zones are filtered here, before the line order
+    is added: no later filter could get past it and prune folders.
+    """
     lines = spark.read.schema("value string, zone string, day string, log_type string").text(root)
+    if types is not None:
+        lines = lines.where(F.col("log_type").isin([check_type(t) for t in types]))
+    if days is not None:
+        lines = lines.where(F.col("day").between(*days))
+    if zones is not None:
+        lines = lines.where(valid_zone(F.col("zone"), zones))
     return lines.select("value", "zone", "day", "log_type", _line_order())
 
 
@@ -78,17 +91,25 @@ def read_plain(
 
 
 def scan_range(
-    lines: DataFrame,
-    as_of: str | dt.date,
-    types: Iterable[str],
-    start: int = RANGE_START,
-    end: int = RANGE_END,
-    zones: Iterable[str] | None = None,
+    spark: SparkSession, root: str, as_of: str | dt.date, types: Iterable[str], start: int = RANGE_START,
+    end: int = RANGE_END, zones: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Rows of the wanted days and types; on partitioned input both prune folders."""
+    """Lines of the wanted types on the days ``as_of + start … as_of + end``; other folders are not read."""
     days = day_range(as_of, start, end)
-    out = lines.where(F.col("day").between(days[0], days[-1]) & F.col("log_type").isin([check_type(t) for t in types]))
-    return out if zones is None else out.where(valid_zone(F.col("zone"), zones))
+    return read_partitioned(spark, root, types, (days[0], days[-1]), zones)
+
+
+def activity_inputs(
+    spark: SparkSession, root: str, as_of: str | dt.date, zones: Iterable[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Events of the activity range, and the created roles of the first day that has any.
+
+    That day comes from file names alone; one date returns to the driver.
+    """
+    first = first_available_day(list_partitions(spark, root), as_of).first()["day"]
+    events = typed_events(scan_range(spark, root, as_of, REPLAY_ORDER, zones=zones))
+    created = read_partitioned(spark, root, ["createrole"], (first or "", first or ""), zones)
+    return events, typed_events(created)
 
 
 def first_available_day(
