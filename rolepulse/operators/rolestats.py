@@ -7,16 +7,28 @@ already small when it is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolepulse.functions.times import clock_time, to_epoch
-from rolepulse.operators.joins import BROADCAST_ROWS, semi_join_keys
-
-
-def of_cohort(rows: DataFrame, cohort: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows of cohort roles."""
-    return semi_join_keys(rows, cohort, "roleid", max_rows)
+from rolepulse.operators.joins import BROADCAST_ROWS, fits_broadcast
+
+
+def for_cohort(
+    stat: Callable[[DataFrame], DataFrame], rows: DataFrame, cohort: DataFrame, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """A per-role statistic for cohort roles only.
+
+    A cohort of checked small size is broadcast and cuts the rows first. Joining a
+    larger one first would send all rows of a hot role to one task, so then the
+    statistic, which combines rows before shuffling them, comes before the join.
+    """
+    keys = cohort.select("roleid")
+    if fits_broadcast(keys, max_rows):
+        return stat(rows.join(F.broadcast(keys), "roleid", "left_semi"))
+    return stat(rows).join(keys, "roleid", "left_semi")
 
 
 def logout_only(sessions: DataFrame) -> DataFrame:

@@ -6,35 +6,32 @@ from rolepulse.operators import rolestats as R
 from rolepulse.operators.joins import death_sides
 from rolepulse.operators.tableops import first_by, last_by, sorted_rows
 from rolepulse.plans import activity as A
-from rolepulse.registry.base import AS_OF, END, START, flow_events, flow_of, query, sql
+from rolepulse.registry.base import AS_OF, flow_events, flow_of, query, sql
 
-IN_RANGE = f"day BETWEEN DATE '{START}' AND DATE '{END}'"
-
-
-def cohort_rows(spark, d, *types):
-    """In-range rows of some flows, cohort roles only."""
-    events = flow_events(spark, d, "createrole", *types)
-    rows = A.in_range(events.where(F.col("log_type").isin(list(types))), AS_OF)
-    return R.of_cohort(rows, A.read_cohort(events, AS_OF))
+def cohort_stat(spark, d, stat, log_type):
+    """A per-role statistic over the in-range rows of one flow."""
+    events = flow_events(spark, d, "createrole", log_type)
+    rows = A.in_range(events.where(F.col("log_type") == log_type), AS_OF)
+    return R.for_cohort(stat, rows, A.read_cohort(events, AS_OF))
 
 
 @query("task_count", sql(
     "SELECT roleid, count(*) AS taskid_sum FROM cact WHERE kind = 'taskflow' GROUP BY roleid", "cact"))
 def task_count(spark, d):
-    return R.task_count(R.task_rows(cohort_rows(spark, d, "taskflow")))
+    return cohort_stat(spark, d, lambda rows: R.task_count(R.task_rows(rows)), "taskflow")
 
 
 @query("online_time_sum", sql("""
     SELECT roleid, CAST(sum(online_time) AS BIGINT) AS online_sum FROM cact
     WHERE kind = 'roleloginlogout' GROUP BY roleid""", "cact"))
 def online_time_sum(spark, d):
-    return R.online_time_sum(cohort_rows(spark, d, "roleloginlogout"))
+    return cohort_stat(spark, d, R.online_time_sum, "roleloginlogout")
 
 
 def _kills(spark, d):
     events = flow_events(spark, d, "createrole", "death")
     sides = death_sides(A.in_range(events.where(F.col("log_type") == "death"), AS_OF))
-    return R.kill_counts(R.of_cohort(sides, A.read_cohort(events, AS_OF)))
+    return R.for_cohort(R.kill_counts, sides, A.read_cohort(events, AS_OF))
 
 
 @query("killed_count", sql("""

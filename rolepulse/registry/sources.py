@@ -41,6 +41,16 @@ def discover_flow_files(spark, d):
         "zone", "log_type", F.array_join("file_list", " ").alias("files"))
 
 
+@query("sort_files", sql("""
+    SELECT zone, log_type, name, CAST(row_number() OVER (PARTITION BY zone, log_type ORDER BY name) - 1 AS INTEGER)
+           AS position
+    FROM (SELECT DISTINCT zone, log_type, CAST(day AS VARCHAR) || '_' || log_type AS name FROM fl)""", "fl"))
+def sort_files(spark, d):
+    names = flow_events(spark, d).select("zone", F.concat_ws("_", F.col("day").cast("string"), "log_type").alias("name"))
+    return flowfiles.group_files(names.distinct()).select(
+        "zone", "log_type", F.posexplode("file_list").alias("position", "name"))
+
+
 @query("scan_flow_range", sql(f"""
     SELECT zone, day, log_type, log_time, roleid, level, CAST(profession AS INTEGER) AS profession, action,
            online_time, task_id, usetime, killer, scene, pos, award FROM fl
@@ -119,6 +129,18 @@ def _register_loads() -> None:
 _register_loads()
 
 
+@query("load_flow_tables", sql("""
+    SELECT log_type, zone, count(*) AS row_count, count(*) AS last_sn FROM (
+      SELECT log_type, zone FROM fl UNION ALL SELECT 'instance', zone FROM fl WHERE log_type = 'taskflow')
+    GROUP BY log_type, zone""", "fl"))
+def load_flow_tables(spark, d):
+    """Size and last number of every loaded table."""
+    return A.union_flows(
+        loaded_table(spark, d, t).groupBy(F.lit(t).alias("log_type"), "zone").agg(
+            F.count(F.lit(1)).alias("row_count"), F.max("sn").alias("last_sn"))
+        for t in FLOW_FIELDS)
+
+
 @query("assign_sn", sql("""
     SELECT ord, zone, row_number() OVER (PARTITION BY zone ORDER BY ord) AS sn FROM fl WHERE log_type = 'death'""",
     "fl"))

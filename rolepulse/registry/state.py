@@ -41,8 +41,8 @@ def role_activity_shuffled_cohort(spark, d):
         FROM cact WHERE kind = 'levelup') WHERE pk IS NULL OR level > pk) WHERE r = 1""", "cact"))
 def level_record(spark, d):
     events = flow_events(spark, d, "createrole", "levelup")
-    ups = R.of_cohort(A.in_range(events.where(F.col("log_type") == "levelup"), AS_OF), A.read_cohort(events, AS_OF))
-    return R.level_record(ups)
+    ups = A.in_range(events.where(F.col("log_type") == "levelup"), AS_OF)
+    return R.for_cohort(R.level_record, ups, A.read_cohort(events, AS_OF))
 
 
 @query("levelup_pace", sql("""
@@ -64,8 +64,8 @@ def levelup_pace_replay(spark, d):
     WHERE r = 1""", "cact"))
 def last_gift(spark, d):
     events = flow_events(spark, d, "createrole", "award")
-    awards = R.of_cohort(A.in_range(events.where(F.col("log_type") == "award"), AS_OF), A.read_cohort(events, AS_OF))
-    return R.last_gift(awards)
+    awards = A.in_range(events.where(F.col("log_type") == "award"), AS_OF)
+    return R.for_cohort(R.last_gift, awards, A.read_cohort(events, AS_OF))
 
 
 @query("last_gift_replay", sql("""
@@ -89,8 +89,9 @@ def award_level_floor(spark, d):
       WHERE kind = 'killed') WHERE r = 1""", "cact"))
 def last_death_place(spark, d):
     events = flow_events(spark, d, "createrole", "death")
-    deaths = R.of_cohort(A.in_range(events.where(F.col("log_type") == "death"), AS_OF), A.read_cohort(events, AS_OF))
-    return R.last_death_place(deaths.withColumn("xyz", position_parts(F.col("pos"))))
+    deaths = A.in_range(events.where(F.col("log_type") == "death"), AS_OF)
+    deaths = deaths.withColumn("xyz", position_parts(F.col("pos")))
+    return R.for_cohort(R.last_death_place, deaths, A.read_cohort(events, AS_OF))
 
 
 @query("logout_level", sql("""
@@ -98,8 +99,7 @@ def last_death_place(spark, d):
     WHERE kind IN ('levelup', 'roleloginlogout') GROUP BY roleid""", "cact"))
 def logout_level(spark, d):
     events = flow_events(spark, d, "createrole", "levelup", "roleloginlogout")
-    rows = R.of_cohort(A.handled(A.in_range(events, AS_OF)), A.read_cohort(events, AS_OF))
-    return R.logout_level(rows)
+    return R.for_cohort(R.logout_level, A.handled(A.in_range(events, AS_OF)), A.read_cohort(events, AS_OF))
 
 
 @query("last_activity", sql("""
@@ -107,4 +107,4 @@ def logout_level(spark, d):
     FROM cact GROUP BY roleid""", "cact"))
 def last_activity(spark, d):
     events = flow_events(spark, d)
-    return R.last_activity(R.of_cohort(A.handled(A.in_range(events, AS_OF)), A.read_cohort(events, AS_OF)))
+    return R.for_cohort(R.last_activity, A.handled(A.in_range(events, AS_OF)), A.read_cohort(events, AS_OF))

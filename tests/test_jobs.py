@@ -153,3 +153,29 @@ def test_full_save_of_role_state(spark):
         w = want[r["roleid"]]
         assert (r["levelup_lasttime"], r["last_gift_id"], r["init30_level"], r["logout_pos_y"]) == (
             w["local_levelup_time"], w["last_gift_id"], w["local_level"], w["logout_y"])
+
+
+def test_churn_and_load_jobs_agree_with_the_events(spark, sf_dir, tmp_path):
+    from rolepulse import jobs
+    from rolepulse.plans import churn as C
+    from rolepulse.registry.base import AS_OF, flow_events, flow_root
+
+    flows = flow_root(spark, sf_dir)
+    result = jobs.churn_job(spark, flows, str(tmp_path / "out"), AS_OF)
+    direct = C.labelled_features(flow_events(spark, sf_dir), AS_OF, replay=True)
+    assert sorted(map(tuple, result["features"].collect())) == sorted(map(tuple, direct.collect()))
+    assert result["weights"].columns == ["feature", "svm", "logistic"] and result["weights"].count() == 8
+    assert result["lost_rate"].first()["active_roles"] == direct.count()
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        jobs.churn_job(spark, flows, str(tmp_path / "out"), AS_OF)
+
+
+def test_statistics_do_not_depend_on_the_cohort_route(spark):
+    from rolepulse.operators import rolestats as R
+    from tests.test_state import events_of, make_rows
+
+    events = events_of(spark, make_rows(10, 20, 10, hot=300))
+    cohort = events.where("log_type = 'createrole' AND roleid % 2 = 0")
+    tasks = events.where("log_type = 'taskflow'")
+    small, large = (sorted(map(tuple, R.for_cohort(R.task_count, tasks, cohort, n).collect())) for n in (1000, 0))
+    assert small == large and small
