@@ -2,43 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rolepulse.operators.joins import fits_broadcast
+
+# Chunks whose offsets we are willing to copy to every executor (a path and two numbers each).
+BROADCAST_CHUNKS = 100_000
+
+
+def chunk_offsets(cut: DataFrame, scope: list[str], names: list[str], start: DataFrame | int,
+                  position: Column | None = None) -> DataFrame:
+    """One row per chunk: how many numbers its scope has used before it."""
+    stats = [F.count(F.lit(1)).alias("_n")]
+    if position is not None:
+        stats += [F.min(position).alias("_first"), F.max(position).alias("_last")]
+    counts = cut.groupBy(*scope, *names).agg(*stats)
+    # Sequential, but over one row per chunk only.
+    before = (Window.partitionBy(*scope) if scope else Window).orderBy(*names).rowsBetween(
+        Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    offsets = counts.withColumn("_base", base)
+    if isinstance(start, DataFrame):
+        # One row per scope.
+        offsets = offsets.join(F.broadcast(start), scope, "left").withColumn(
+            "_base", F.col("_base") + F.coalesce("start", F.lit(0))).drop("start")
+    else:
+        offsets = offsets.withColumn("_base", F.col("_base") + F.lit(start))
+    if position is not None:
+        gap = F.raise_error(F.lit("positions inside a chunk are not contiguous")).cast("bigint")
+        whole = F.col("_last") - F.col("_first") + 1 == F.col("_n")
+        offsets = offsets.withColumn("_base", F.when(whole, F.col("_base") - F.col("_first") + 1).otherwise(gap))
+    return offsets.select(*scope, *names, "_base")
+
 
 def assign_sn(
-    df: DataFrame, order: list[str], chunk: list, scope: list[str] | None = None,
-    start: DataFrame | int = 0, name: str = "sn",
+    df: DataFrame, order: list[str], chunk: list[Column], scope: list[str] | None = None,
+    start: DataFrame | int = 0, name: str = "sn", position: Column | None = None,
+    max_chunks: int = BROADCAST_CHUNKS,
 ) -> DataFrame:
     """Number the rows of each ``scope`` 1, 2, 3, … in ``order``.
 
     ``chunk`` are expressions that follow ``order`` and cut a scope into pieces of
     bounded size (a file split, a block of ids). Rows are numbered inside their
-    chunk in parallel; only one count per chunk is summed up in sequence. ``start``
-    is the last number in use, or a table (scope columns, ``start``) of them.
+    chunk in parallel; only one count per chunk is summed up in sequence. Where
+    rows already carry a gap-free ``position`` inside their chunk, they are numbered
+    where they lie, without a shuffle as long as the offsets can be broadcast.
+    ``start`` is the last number in use, or a table (scope columns, ``start``) of them.
 
     The input is read twice, so it must be stable: a table, not a sampled plan.
     """
     scope = scope or []
     names = [f"_c{i}" for i in range(len(chunk))]
     cut = df.withColumns(dict(zip(names, chunk)))
-    counts = cut.groupBy(*scope, *names).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    if scope:
-        before = Window.partitionBy(*scope).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    base = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    offsets = counts.select(*scope, *names, base.alias("_base"))
-    if isinstance(start, DataFrame):
-        offsets = offsets.join(F.broadcast(start), scope, "left").withColumn(
-            "_base", F.col("_base") + F.coalesce("start", F.lit(0))).drop("start")
+    offsets = chunk_offsets(cut, scope, names, start, position)
+    if position is not None:
+        if fits_broadcast(offsets, max_chunks):
+            offsets = F.broadcast(offsets)
+        number = F.col("_base") + position
     else:
-        offsets = offsets.withColumn("_base", F.col("_base") + F.lit(start))
-    inside = F.row_number().over(Window.partitionBy(*scope, *names).orderBy(*order))
-    # The window already hashes rows by chunk, so this join moves only the offsets.
-    numbered = cut.withColumn("_rn", inside).join(offsets, [*scope, *names])
-    return numbered.select((F.col("_base") + F.col("_rn")).cast("bigint").alias(name), *df.columns)
+        cut = cut.withColumn("_rn", F.row_number().over(Window.partitionBy(*scope, *names).orderBy(*order)))
+        # The window already hashes rows by chunk, so the join moves only the offsets.
+        number = F.col("_base") + F.col("_rn")
+    numbered = cut.join(offsets, [*scope, *names])
+    return numbered.select(number.cast("bigint").alias(name), *df.columns)
 
 
-def id_blocks(column: str, size: int = 1 << 18) -> list:
+def id_blocks(column: str, size: int = 1 << 18) -> list[Column]:
     """Chunks of a unique integer column: at most ``size`` rows each."""
     return [F.floor(F.col(column) / size)]

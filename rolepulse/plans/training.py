@@ -42,7 +42,8 @@ def sgd_weights(features: DataFrame, names: list[str], pull, iterations: int = S
     w = [0.0] * len(names)
     for t in range(1, iterations + 1):
         force = features.select("*", pull(_margin(w, names)).alias("_pull"))
-        row = force.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("_pull") * F.col(n)).alias(n) for n in names]).first()
+        sums = [F.sum(F.col("_pull") * F.col(n)).alias(n) for n in names]
+        row = force.agg(F.count(F.lit(1)).alias("n"), *sums).first()
         if not row["n"]:
             return w
         step = STEP / math.sqrt(t)

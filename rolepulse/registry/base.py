@@ -10,10 +10,9 @@ from rolepulse.layouts import FLOW_FIELDS, VALID_ZONES
 from rolepulse.session import work_path
 from rolepulse.sinks.flowtables import load_flow_table
 from rolepulse.sinks.routed import write_routed_in_order
-from rolepulse.sources import eventmap
+from rolepulse.sources.eventmap import AS_OF, flow_events, flow_of, flow_text, raw_lines
 from rolepulse.sources.flowfiles import read_partitioned
 from rolepulse.sources.tables import read_flow_table
-from rolepulse.sources.eventmap import AS_OF, flow_events, flow_of, flow_text, raw_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -239,6 +238,6 @@ def loaded_table(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
 
 
 __all__ = [
-    "AS_OF", "END", "ORACLES", "QUERIES", "START", "eventmap", "flow_events", "flow_of", "flow_root", "flow_text",
+    "AS_OF", "END", "ORACLES", "QUERIES", "START", "flow_events", "flow_of", "flow_root", "flow_text",
     "loaded_table", "query", "raw_lines", "raw_root", "sql", "table_root",
 ]

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from rolepulse.layouts import FLOW_FIELDS, REPLAY_ORDER
+from rolepulse.operators import numbering
 from rolepulse.plans import activity as A
 from rolepulse.registry.base import (
     AS_OF, END, START, flow_events, flow_root, loaded_table, query, raw_root, sql, table_root,
@@ -145,7 +146,5 @@ def load_flow_tables(spark, d):
     SELECT ord, zone, row_number() OVER (PARTITION BY zone ORDER BY ord) AS sn FROM fl WHERE log_type = 'death'""",
     "fl"))
 def assign_sn(spark, d):
-    from rolepulse.operators.numbering import assign_sn as number, id_blocks
-
     deaths = flow_of(flow_events(spark, d, "death"), "death").select("ord", "zone")
-    return number(deaths, order=["ord"], chunk=id_blocks("ord", 1024), scope=["zone"])
+    return numbering.assign_sn(deaths, order=["ord"], chunk=numbering.id_blocks("ord", 1024), scope=["zone"])

@@ -41,10 +41,11 @@ def load_flow_table(
     path = table_path(root, log_type)
     rows = lines.where((F.col("log_type") == log_type) & valid_zone(F.col("zone"), zones))
     staged = materialise(typed(rows, log_type, loader_fields).select("zone", "day", "ord", "log_time", *fields), "stage")
-    # A chunk is one split of one file, so its size is bounded by the split size.
+    # A chunk is one split of one file, so its size is bounded by the split size. Whole
+    # files are kept or dropped above, so the line ids inside a split have no gaps.
     numbered = assign_sn(
         staged, order=["ord"], chunk=[F.col("day"), F.col("ord.file"), F.col("ord.block")], scope=["zone"],
-        start=last_sn(spark, path),
+        start=last_sn(spark, path), position=F.col("ord.row"),
     )
     (
         numbered.select("sn", "log_time", *fields, "zone", "day").hint("rebalance", F.col("zone"), F.col("day"))

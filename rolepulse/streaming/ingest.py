@@ -14,8 +14,11 @@ from rolepulse.session import work_path
 from rolepulse.sinks.routed import ROUTE, routed_lines
 from rolepulse.sources.formatlog import TASK_ACTION, parse, read_raw_stream, with_path_fields
 
+# Files per micro-batch: a large backlog is worked off in steps that each commit.
+MAX_FILES = 10_000
 
-def routed_stream(spark: SparkSession, raw: str, max_files: int | None = None,
+
+def routed_stream(spark: SparkSession, raw: str, max_files: int | None = MAX_FILES,
                   task_action: str = TASK_ACTION) -> DataFrame:
     """Streaming flow lines with their zone, day and type."""
     return routed_lines(with_path_fields(parse(read_raw_stream(spark, raw, max_files), task_action)))
@@ -23,7 +26,7 @@ def routed_stream(spark: SparkSession, raw: str, max_files: int | None = None,
 
 def start_ingest(
     spark: SparkSession, raw: str, out: str, checkpoint: str, once: bool = True, interval: str = "1 minute",
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
 ) -> StreamingQuery:
     """Start the ingest; ``once`` works off what is there and stops."""
     writer = (
@@ -34,14 +37,14 @@ def start_ingest(
     return writer.start(out)
 
 
-def run_once(spark: SparkSession, raw: str, out: str, checkpoint: str, max_files: int | None = None) -> int:
+def run_once(spark: SparkSession, raw: str, out: str, checkpoint: str, max_files: int | None = MAX_FILES) -> int:
     """Work off the new files and return how many input lines they had."""
     q = start_ingest(spark, raw, out, checkpoint, once=True, max_files=max_files)
     q.awaitTermination()
     return sum(p["numInputRows"] for p in q.recentProgress)
 
 
-def replay(spark: SparkSession, raw: str, max_files: int | None = None) -> str:
+def replay(spark: SparkSession, raw: str, max_files: int | None = MAX_FILES) -> str:
     """Process everything again into a new output with a new checkpoint; old ones stay."""
     out = work_path(spark, "replay")
     run_once(spark, raw, out, out + "-checkpoint", max_files)

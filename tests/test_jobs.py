@@ -76,6 +76,15 @@ def test_assign_sn_is_dense(spark):
     assert [r["sn"] for r in got] == list(range(11, 11 + len(got)))
 
 
+def test_assign_sn_by_position(spark):
+    rows = spark.range(0, 400).select("id", F.floor(F.col("id") / 64).alias("file"), (F.col("id") + 1000).alias("at"))
+    for max_chunks in (100, 0):
+        got = assign_sn(rows, order=["id"], chunk=[F.col("file")], position=F.col("at"), max_chunks=max_chunks)
+        assert [r["sn"] for r in got.orderBy("id").collect()] == list(range(1, 401))
+    with pytest.raises(Exception, match="not contiguous"):
+        assign_sn(rows.where("id <> 5"), order=["id"], chunk=[F.col("file")], position=F.col("at")).collect()
+
+
 RAW = {
     "1004/2016-11-10/world2.formatlog": [
         "2016-11-10 00:00:00 gs1 formatlog:createrole:from=1:roleid=11:os=2:profession=3:nation=2",
