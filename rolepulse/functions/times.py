@@ -29,7 +29,11 @@ def wall_seconds(clock: Column) -> Column:
 
 
 def to_epoch(clock: Column, zone: str = "UTC") -> Column:
-    """Epoch seconds of a wall clock (or its text). An hour that occurs twice means the daylight one."""
+    """Epoch seconds of a wall clock (or its text).
+
+    An hour that occurs twice means the daylight one. A clock the spring change
+    skips is read with the offset before the change, so it means one hour later.
+    """
     if zone == "UTC":
         return wall_seconds(clock)
     return wall_seconds(F.convert_timezone(F.lit(zone), F.lit("UTC"), _ntz(clock)))

@@ -41,9 +41,10 @@ def date_offset(spark, d):
 
 
 # New York daylight time by the rule in force in the covered years (first Sunday of
-# April to last Sunday of October), written without a time-zone database.
+# April to last Sunday of October), written without a time-zone database. ``gap``
+# marks clocks the spring change skips; they mean the same instant as one hour later.
 _NY_DST = f"""
-    SELECT o_orderkey, c, c >= s AND c < e AS dst FROM (
+    SELECT o_orderkey, c, c >= s AND c < e AS dst, c >= s AND c < s + INTERVAL 1 HOUR AS gap FROM (
       SELECT o_orderkey, {_CLOCK} AS c,
         make_date(year({_CLOCK}), 4, 1) + CAST((7 - dayofweek(make_date(year({_CLOCK}), 4, 1))) % 7 AS INTEGER)
           + INTERVAL 2 HOUR AS s,
@@ -53,7 +54,7 @@ _NY_DST = f"""
 
 
 @query("local_to_epoch_dst", f"""
-    SELECT o_orderkey, CAST(epoch(c) AS BIGINT) + CASE WHEN dst THEN 14400 ELSE 18000 END AS ts
+    SELECT o_orderkey, CAST(epoch(c) AS BIGINT) + CASE WHEN dst AND NOT gap THEN 14400 ELSE 18000 END AS ts
     FROM ({_NY_DST})""")
 def local_to_epoch_dst(spark, d):
     return _orders(spark, d).select("o_orderkey", T.to_epoch(F.col("clock"), NY).alias("ts"))
@@ -68,10 +69,11 @@ def utc_to_local(spark, d):
 
 
 @query("utc_to_local_dst", f"""
-    SELECT o_orderkey, dst AS is_dst, CASE WHEN dst THEN -14400 ELSE -18000 END AS utc_offset, c AS new_york
+    SELECT o_orderkey, dst AS is_dst, CASE WHEN dst THEN -14400 ELSE -18000 END AS utc_offset,
+           CASE WHEN gap THEN c + INTERVAL 1 HOUR ELSE c END AS new_york
     FROM ({_NY_DST})""")
 def utc_to_local_dst(spark, d):
-    """New York clocks sent to UTC and back: the clock returns, with its offset and daylight flag."""
+    """New York clocks sent to UTC and back: all but skipped ones return, with offset and daylight flag."""
     utc = T.epoch_clock(T.to_epoch(F.col("clock"), NY))
     return _orders(spark, d).select("o_orderkey", T.utc_to_local(utc, NY).alias("l")).select(
         "o_orderkey", F.col("l.is_dst").alias("is_dst"), F.col("l.utc_offset").alias("utc_offset"),

@@ -28,6 +28,8 @@ def clock(text):
     ("2016-11-06 01:10:13", 1478409013),   # occurs twice: daylight time wins
     ("2016-11-06 02:10:13", 1478416213),
     ("2016-11-06 01:00:20", 1478408420),
+    ("2016-03-13 02:30:00", 1457854200),   # skipped: the same as 03:30:00
+    ("2016-03-13 03:30:00", 1457854200),
 ])
 def test_local_to_epoch(spark, local, epoch):
     assert one(spark, T.to_epoch(clock(local), NY))[0] == epoch
