@@ -40,7 +40,7 @@ GRAIN = 8
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 250_000
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _CUT = f"{_PIECE}, chunk long, class long, place long, rest_crc long, parts array<struct<start: long, length: long, crc: long>>"
@@ -49,32 +49,44 @@ _CUT_ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "
                        + [("parts", _PARTS)])
 RESULT = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
-#: A word that ends in ASCII signs after an ASCII letter: the two are tokenised apart.
-_ENDS_IN_SIGNS = re.compile(rb"(.*[a-z])([!-/:-@\[-`{-~]+)", re.S)
+#: Letters that lowering and composing leave as they are, then ASCII signs: always two pieces of a word.
+_LETTERS_SIGNS = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 
 
 class WordIds(dict):
     """Ids of a word as unsigned little-endian 32-bit numbers.
 
     The vocabulary's rules never look across white space, so a text's ids are those of its words.
+    Words of plain letters go to the vocabulary's merges at once, others through all its rules.
+    The last ``limit`` to 2 * ``limit`` words stay known.
     """
 
     def __init__(self, vocabulary: str, limit: int = KEPT_WORDS):
         super().__init__()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         if not os.path.isabs(vocabulary):
             import public_tokenizers
 
             vocabulary = public_tokenizers.path(vocabulary)
-        self.tokenizer, self.limit = Tokenizer.from_file(vocabulary), limit
+        self.tokenizer, self.limit, self.older = Tokenizer.from_file(vocabulary), limit, {}
+        self.merges, self.as_signs = self.tokenizer.model.tokenize, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        parts = None if b"<|" in word else _ENDS_IN_SIGNS.fullmatch(word)
-        ids = self[parts[1]] + self[parts[2]] if parts else np.array(
-            self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            plain = _LETTERS_SIGNS.fullmatch(word)
+            if plain and plain[2]:
+                ids = self[plain[1]] + self[plain[2]]
+            elif plain:
+                text = word.decode()
+                found = self.merges(text if text.isascii() else self.as_signs(text)[0][0])
+                ids = b"".join([t.id.to_bytes(4, "little") for t in found])
+            else:
+                ids = b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(word.decode(), add_special_tokens=False).ids])
         self[word] = ids
         return ids
 
