@@ -84,3 +84,10 @@ def shared(spark: SparkSession, name: str) -> str:
     from rolepulse.session import work_path
 
     return work_path(spark, os.path.join("llm", name))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: lineage ends here, and a lost executor takes nothing with it."""
+    path = shared(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
