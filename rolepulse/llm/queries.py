@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from rolepulse.llm.decontamination import op3_benchmark_decontamination
 from rolepulse.llm.near_dedup import op5_minhash_near_dedup
 from rolepulse.llm.packing import op2_packing
 from rolepulse.llm.pii import op9_pii
 from rolepulse.llm.quality_classifier import op7_quality_classifier
 from rolepulse.llm.quality_rules import op1_quality_rules
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op5_minhash_near_dedup, op7_quality_classifier, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_benchmark_decontamination, op5_minhash_near_dedup, op7_quality_classifier, op9_pii)}
 ORACLES: dict[str, str] = {}
