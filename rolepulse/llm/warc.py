@@ -3,7 +3,7 @@ r"""WARC archives without repeated payloads: revisit records refer to the origin
 Headers (page, digest, length) are shuffled by payload digest and give the original of each
 payload that is there more than once: the row with the largest page id. Each page becomes a
 WARC/1.1 record with a fresh header: a response with the payload, or a revisit without. Spark
-writes the records as plain archives, a record and its closing CRLF CRLF a "line", so that a
+writes the records as text archives, a record and its closing CRLF CRLF a "line", so that a
 lost executor's files are written again. Reading splits at the version line and the
 ``WARC-Warcinfo-ID`` of the run after it, which no payload can hold since it is new in every
 run; lengths and digests are checked, a broken record is an error.
@@ -11,7 +11,8 @@ run; lengths and digests are checked, a broken record is an error.
 Defined cases: a null html is the empty payload, a null url leaves the target out, and blanks
 or control characters in a url are written %XX. Payloads are equal if digest and length are.
 All rows that repeat the largest page id of a payload are responses; a null page id is smaller
-than any, and a payload of null ids only has responses. Other columns are ignored.
+than any, and a payload of null ids only has responses. Other columns are ignored. Archives are
+compressed as files; a compressed one is read as a stream, by one task, a plain one in splits.
 """
 
 from __future__ import annotations
@@ -89,10 +90,10 @@ def records(rows: DataFrame, archive: str, date: str = DATE) -> DataFrame:
             .select(F.concat(*header, field("Content-Length", F.octet_length("block").cast("string")), F.lit(END), F.col("block"), F.lit(END)).alias("value")))
 
 
-def write(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date: str = DATE) -> str:
+def write(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date: str = DATE, compression: str = "gzip") -> str:
     """Write deduplicated archives to ``path``; returns the id that :func:`read` splits them by."""
     archive = f"<urn:uuid:{uuid.uuid4()}>"
-    records(resolved(pages, least_bytes), archive, date).write.option("lineSep", END).text(path)
+    records(resolved(pages, least_bytes), archive, date).write.option("lineSep", END).text(path, compression=compression)
     return archive
 
 
