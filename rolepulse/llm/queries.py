@@ -9,10 +9,11 @@ from rolepulse.llm.packing import op2_packing
 from rolepulse.llm.pii import op9_pii
 from rolepulse.llm.quality_classifier import op7_quality_classifier
 from rolepulse.llm.quality_rules import op1_quality_rules
+from rolepulse.llm.substring_dedup import op10_substring_dedup
 from rolepulse.llm.url_filters import op4_url_filters
 from rolepulse.llm.warc import op8_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_packing, op3_benchmark_decontamination, op4_url_filters, op5_minhash_near_dedup, op6_html_extraction,
-    op7_quality_classifier, op8_warc, op9_pii)}
+    op7_quality_classifier, op8_warc, op9_pii, op10_substring_dedup)}
 ORACLES: dict[str, str] = {}
