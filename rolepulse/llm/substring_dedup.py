@@ -1,7 +1,7 @@
 """Repeated passages: recurring phrases are confirmed, compiled into sharded automata, and located in all documents.
 
 A window is ``WINDOW`` consecutive words. Each window has an anchor, its ten-word gram of the
-least hash (the first of equals), so that equal windows have equal anchors. Consecutive windows
+least hash by 32 bits (the first of equals), so that equal windows have equal anchors. Consecutive windows
 of one anchor are a context. What recurs is confirmed by counts over all documents: a context
 that is there twice makes its span a phrase; where an anchor recurs and one of its contexts
 does not, its windows are counted, and those there twice are phrases.
@@ -62,8 +62,12 @@ def contexts_of(ids: np.ndarray, sums: Sums, window: int = WINDOW) -> tuple[np.n
         none = np.zeros(0, np.int64)
         return none, none, none, none
     grams = sequence_hash(ids, ANCHOR)
-    seen = np.lib.stride_tricks.sliding_window_view(grams, window - ANCHOR + 1)
-    at = np.concatenate([seen[lo:lo + 50_000].argmin(axis=1) + np.arange(lo, min(lo + 50_000, count)) for lo in range(0, count, 50_000)])
+    # the minimum over a window by doubling; the lower half of a key is the position, so that the first of equals wins
+    low, reach, wanted = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64), 1, window - ANCHOR + 1
+    while 2 * reach <= wanted:
+        low, reach = np.minimum(low[:-reach], low[reach:]), 2 * reach
+    low = np.minimum(low[:count], low[wanted - reach:])
+    at = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
     start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     many = np.diff(np.r_[start, count])
     shape = (at[start] - start).astype(np.uint64) << np.uint64(32) | many.astype(np.uint64)
@@ -99,7 +103,7 @@ def recurring(found: DataFrame) -> DataFrame:
     each = stored(found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("d0", "d1", "start")).alias("rep")), "contexts-counted")
     anchors = (each.groupBy("anchor").agg(F.sum("n").alias("total"), F.min("n").alias("least"), F.min("rep.d0").alias("home"))
                .where("total > 1").selectExpr("anchor", "least = 1 AS mixed", "home"))
-    return each.join(anchors, "anchor").selectExpr("anchor", "context", "n > 1 AS sure", "mixed", "home", "rep")
+    return each.join(anchors, "anchor").selectExpr("anchor", "context", "n", "n > 1 AS sure", "mixed", "home", "rep")
 
 
 def _digest(kept: list[bytes]) -> str:
@@ -108,7 +112,10 @@ def _digest(kept: list[bytes]) -> str:
 
 def touched(keyed: DataFrame, found: DataFrame, marks: DataFrame) -> DataFrame:
     """Each document with its recurring contexts; one without any keeps all its words, and its text is left out."""
-    hits = (found.join(marks, ["anchor", "context"])
+    # contexts that hold a thousandth of all rows are a thousand at most: they are broadcast, so that no task gets all rows of one
+    hot = marks.where(F.col("n") * 1000 >= found.count())
+    cold = found.join(F.broadcast(hot.select("anchor", "context")), ["anchor", "context"], "left_anti")
+    hits = (found.join(F.broadcast(hot), ["anchor", "context"]).unionByName(cold.join(marks, ["anchor", "context"]))
             .select("d0", "d1", "start", "many", "anchor", "context", "sure", "mixed", "home",
                     F.expr("rep.d0 = d0 AND rep.d1 = d1 AND rep.start = start").alias("speaks")).distinct())
     lists = hits.groupBy("d0", "d1").agg(F.collect_list(F.struct("start", "many", "anchor", "context", "sure", "mixed", "home", "speaks")).alias("hits"))
@@ -132,19 +139,26 @@ def touched(keyed: DataFrame, found: DataFrame, marks: DataFrame) -> DataFrame:
 
 def window_phrases(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """Where to take the recurring windows from that a context which isn't sure holds: d0, d1, start, home."""
-    def find(batch):
-        for d0, d1, text, hits in zip(*(batch.column(i).to_pylist() for i in (0, 1)), utf8(batch.column(2)), batch.column(3).to_pylist()):
-            if not hits:
-                continue
-            sums = Sums(_hashes.of(words(text)))
-            for x in hits:
-                at = np.arange(x["start"], x["start"] + x["many"])
-                for s, w in zip(at.tolist(), sums.of(at, at + window).view(np.int64).tolist()):
-                    yield x["anchor"], w, x["sure"], d0, d1, s, x["home"]
+    def find(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(lo, ROWS_AT_ONCE)
+                hits = part.column(3)
+                fields = dict(zip((f.name for f in hits.type.value_type), hits.flatten().flatten()))
+                start, many = fields["start"].to_numpy().astype(np.int64), fields["many"].to_numpy().astype(np.int64)
+                at = np.repeat(start - np.cumsum(many) + many, many) + np.arange(many.sum())
+                in_row = hits.value_lengths().to_numpy()
+                ends = np.cumsum(np.add.reduceat(many, np.cumsum(in_row) - in_row))
+                hashes = [Sums(_hashes.of(words(t))).of(x, x + window) for t, x in zip(utf8(part.column(2)), np.split(at, ends[:-1]))]
+                of_hit = lambda c: pa.array(np.repeat(c, many))
+                yield pa.RecordBatch.from_arrays(
+                    [of_hit(fields["anchor"].to_numpy()), pa.array(np.concatenate(hashes).view(np.int64)), of_hit(fields["sure"].to_numpy(zero_copy_only=False))]
+                    + [of_hit(np.repeat(part.column(i).to_numpy(), in_row)) for i in (0, 1)]
+                    + [pa.array(at.astype(np.int32)), of_hit(fields["home"].to_numpy())],
+                    ["anchor", "window", "sure", "d0", "d1", "start", "home"])
 
-    schema = pa.schema([("anchor", pa.int64()), ("window", pa.int64()), ("sure", pa.bool_()), ("d0", pa.int64()), ("d1", pa.int64()), ("start", pa.int32()), ("home", pa.int64())])
     mixed = rows.select("d0", "d1", "text", F.filter("hits", lambda x: x["mixed"]).alias("hits")).where(F.size("hits") > 0)
-    seen = mixed.mapInArrow(by_rows(find, schema), "anchor long, window long, sure boolean, d0 long, d1 long, start int, home long")
+    seen = mixed.mapInArrow(find, "anchor long, window long, sure boolean, d0 long, d1 long, start int, home long")
     return (seen.groupBy("anchor", "window").agg(F.count("*").alias("n"), F.min("sure").alias("sure"), F.min(F.struct("d0", "d1", "start", "home")).alias("rep"))
             .where("n > 1 AND NOT sure").select("rep.*"))
 
@@ -225,19 +239,20 @@ class Automaton:
         if not len(self.trie):
             return
         ids = _hashes.of(words(segment))
-        sums, spans = Sums(ids), []
-        for last, (length, hashes) in self.trie.iter(spelled(ids)):
-            start, end = last + 1 - length, last + 1
-            if spans and spans[-1][0] <= start and end <= spans[-1][1]:
-                continue
-            if int(sums.of(np.array([start]), np.array([end]))[0]) not in hashes:
+        found = [(last + 1 - length, last + 1, hashes) for last, (length, hashes) in self.trie.iter(spelled(ids))]
+        if not found:
+            return
+        start, end = (np.fromiter((x[i] for x in found), np.int64, len(found)) for i in (0, 1))
+        spans: list[tuple[int, int]] = []
+        for (first, last, hashes), h in zip(found, Sums(ids).of(start, end).tolist()):
+            if h not in hashes or (spans and spans[-1][0] <= first and last <= spans[-1][1]):
                 continue
-            while spans and spans[-1][0] >= start:
+            while spans and spans[-1][0] >= first:
                 spans.pop()
-            if spans and start <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], end)
+            if spans and first <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], last)
             else:
-                spans.append((start, end))
+                spans.append((first, last))
         yield from spans
 
 
