@@ -89,5 +89,5 @@ def shared(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends here, and a lost executor takes nothing with it."""
     path = shared(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
