@@ -38,14 +38,15 @@ def churn_job(
     State and features are written first; all later passes read those tables.
     """
     events, created = flowfiles.activity_inputs(spark, flows, as_of, zones)
-    roles = write_version(A.role_activity(events, as_of, replay, zone_name, created=created), f"{out}/role_state")
-    top = C.global_max(roles, A.cohort_day(created, as_of), zone_name)
+    cohort = A.stored_cohort(created, as_of)
+    roles = write_version(A.role_activity(events, as_of, replay, zone_name, cohort=cohort), f"{out}/role_state")
+    top = C.global_max(roles, cohort.first_day(), zone_name)
     features = write_version(C.score(roles, top, lost_day), f"{out}/features")
     names = C.select_features(roles)
     return {
         "role_state": roles,
         "features": features,
-        "lost_rate": write_version(C.lost_rate(features, A.read_cohort(created, as_of)), f"{out}/lost_rate"),
+        "lost_rate": write_version(C.lost_rate(features, cohort.roles), f"{out}/lost_rate"),
         "class_feature_stats": write_version(C.class_feature_stats(features, names), f"{out}/class_feature_stats"),
         "weights": write_version(T.weights_table(
             features, names, svm=T.train_svm(features, names), logistic=T.train_logistic(features, names)),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from rolepulse.functions.text import position_parts
 from rolepulse.functions.times import clock_time, epoch_clock, to_epoch
 from rolepulse.layouts import RANGE_END, RANGE_START, REPLAY_ORDER
 from rolepulse.operators.joins import BROADCAST_ROWS, fits_broadcast
+from rolepulse.session import materialise
 from rolepulse.sources.flowfiles import as_date
 
 
@@ -46,11 +48,46 @@ def read_cohort(events: DataFrame, as_of: str | dt.date) -> DataFrame:
     # The range repeats what the subquery implies, so that it reaches the scan.
     created = in_range(events.where(F.col("log_type") == "createrole"), as_of).where(
         F.col("day") == cohort_day(events, as_of).scalar())
+    return _last_creation(created, "roleid")
+
+
+def _last_creation(created: DataFrame, *keys: str) -> DataFrame:
     last = lambda c: F.max_by(c, "ord").alias(c)
-    return created.groupBy("roleid").agg(
+    return created.groupBy(*keys).agg(
         F.max_by("log_time", "ord").alias("create_time"), last("profession"), last("nation"))
 
 
+@dataclass(frozen=True)
+class Cohort:
+    """The stored roles of the cohort day, and that day (None without a created role)."""
+
+    roles: DataFrame
+    day: dt.date | None
+
+    def first_day(self) -> DataFrame:
+        """One row ``day``."""
+        return self.roles.sparkSession.range(1).select(F.lit(self.day).cast("date").alias("day"))
+
+
+def stored_cohort(events: DataFrame, as_of: str | dt.date) -> Cohort:
+    """The cohort from one pass over the role creations.
+
+    The last creation of each role and day is written as a table; its day, size and
+    members are then read from there. One date returns to the driver.
+    """
+    created = in_range(events.where(F.col("log_type") == "createrole"), as_of)
+    table = materialise(_last_creation(created, "day", "roleid"), "cohort")
+    day = table.agg(F.min("day")).first()[0]
+    return Cohort(table.where(F.col("day") == F.lit(day).cast("date")).drop("day"), day)
+
+
+def activity_range(events: DataFrame, as_of: str | dt.date, cohort: Cohort) -> DataFrame:
+    """Events from the cohort day to the end of the range; none without a cohort day."""
+    if cohort.day is None:
+        return events.where(F.lit(False))
+    return in_range(events, as_of, start=(cohort.day - as_date(as_of)).days)
+
+
 def handled(events: DataFrame) -> DataFrame:
     """Rows that say something about a role: one per touched role, deaths giving two.
 
@@ -243,11 +280,11 @@ def event_time_state(days: DataFrame, zone: str = "UTC") -> DataFrame:
 
 
 def role_activity(events: DataFrame, as_of: str | dt.date, replay: bool = False, zone: str = "UTC",
-                  max_rows: int = BROADCAST_ROWS, created: DataFrame | None = None) -> DataFrame:
-    """State of every active cohort role; event-time rules unless ``replay``.
+                  max_rows: int = BROADCAST_ROWS, cohort: Cohort | None = None) -> DataFrame:
+    """State of every active cohort role from the cohort day on; event-time rules unless ``replay``.
 
-    ``created`` holds the role creations where ``events`` does not.
+    ``cohort`` saves looking for the role creations among ``events``.
     """
-    cohort = read_cohort(events if created is None else created, as_of)
-    days = cohort_role_days(in_range(events, as_of), cohort, zone, max_rows)
+    cohort = cohort or stored_cohort(events, as_of)
+    days = cohort_role_days(activity_range(events, as_of, cohort), cohort.roles, zone, max_rows)
     return replay_state(days, zone) if replay else event_time_state(days, zone)

@@ -11,7 +11,7 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 from rolepulse.functions.text import safe_ratio
 from rolepulse.functions.times import DAY_SECONDS, to_epoch
 from rolepulse.layouts import LOST_DAY, MODEL_FEATURES
-from rolepulse.plans.activity import cohort_day, role_activity
+from rolepulse.plans.activity import Cohort, role_activity, stored_cohort
 
 IGNORED_PREFIXES = ("last_", "local_", "logout_")
 IGNORED_NAMES = ("ts", "roleid")
@@ -70,10 +70,11 @@ def score(roles: DataFrame, top: DataFrame, lost_day: int = LOST_DAY) -> DataFra
 
 
 def labelled_features(events: DataFrame, as_of: str | dt.date, replay: bool = False, zone: str = "UTC",
-                      lost_day: int = LOST_DAY) -> DataFrame:
+                      lost_day: int = LOST_DAY, cohort: Cohort | None = None) -> DataFrame:
     """Label and normalised features of every active cohort role, straight from the events."""
-    roles = role_activity(events, as_of, replay, zone)
-    return score(roles, global_max(roles, cohort_day(events, as_of), zone), lost_day)
+    cohort = cohort or stored_cohort(events, as_of)
+    roles = role_activity(events, as_of, replay, zone, cohort=cohort)
+    return score(roles, global_max(roles, cohort.first_day(), zone), lost_day)
 
 
 def lost_rate(labelled: DataFrame, cohort: DataFrame) -> DataFrame:

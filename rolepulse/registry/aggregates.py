@@ -2,17 +2,17 @@
 
 from pyspark.sql import functions as F
 
+from rolepulse.layouts import REPLAY_ORDER
 from rolepulse.operators import rolestats as R
 from rolepulse.operators.joins import death_sides
 from rolepulse.operators.tableops import first_by, last_by, sorted_rows
 from rolepulse.plans import activity as A
-from rolepulse.registry.base import AS_OF, flow_events, flow_of, query, sql
+from rolepulse.registry.base import AS_OF, cohort_of, flow_events, flow_of, query, sql
 
 def cohort_stat(spark, d, stat, log_type):
     """A per-role statistic over the in-range rows of one flow."""
-    events = flow_events(spark, d, "createrole", log_type)
-    rows = A.in_range(events.where(F.col("log_type") == log_type), AS_OF)
-    return R.for_cohort(stat, rows, A.read_cohort(events, AS_OF))
+    cohort = cohort_of(spark, d)
+    return R.for_cohort(stat, A.activity_range(flow_events(spark, d, log_type), AS_OF, cohort), cohort.roles)
 
 
 @query("task_count", sql(
@@ -29,9 +29,9 @@ def online_time_sum(spark, d):
 
 
 def _kills(spark, d):
-    events = flow_events(spark, d, "createrole", "death")
-    sides = death_sides(A.in_range(events.where(F.col("log_type") == "death"), AS_OF))
-    return R.for_cohort(R.kill_counts, sides, A.read_cohort(events, AS_OF))
+    cohort = cohort_of(spark, d)
+    sides = death_sides(A.activity_range(flow_events(spark, d, "death"), AS_OF, cohort))
+    return R.for_cohort(R.kill_counts, sides, cohort.roles)
 
 
 @query("killed_count", sql("""
@@ -63,7 +63,7 @@ def distinct_rows(spark, d):
 
 @query("flow_counts", sql("SELECT count(DISTINCT roleid) AS active_roles FROM cact", "cact"))
 def flow_counts(spark, d):
-    return A.role_activity(flow_events(spark, d), AS_OF).agg(F.count(F.lit(1)).alias("active_roles"))
+    return A.role_activity(flow_events(spark, d, *REPLAY_ORDER), AS_OF, cohort=cohort_of(spark, d)).agg(F.count(F.lit(1)).alias("active_roles"))
 
 
 @query("order_by_two", sql("SELECT roleid, level FROM fl WHERE log_type = 'levelup' ORDER BY roleid, level", "fl"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rolepulse.layouts import FLOW_FIELDS, VALID_ZONES
+from rolepulse.plans.activity import Cohort, stored_cohort
 from rolepulse.session import work_path
 from rolepulse.sinks.flowtables import load_flow_table
 from rolepulse.sinks.routed import write_routed_in_order
@@ -69,21 +70,21 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT roleid, log_time AS create_time, profession, nation
         FROM (SELECT *, row_number() OVER (PARTITION BY roleid ORDER BY ord DESC) AS r FROM fl
               WHERE log_type = 'createrole' AND day = (SELECT day FROM firstday)) WHERE r = 1"""),
-    "act": (("fl",), f"""
+    "act": (("fl", "firstday"), f"""
         SELECT roleid, log_type AS kind,
                CASE log_type WHEN 'levelup' THEN 0 WHEN 'taskflow' THEN 1 WHEN 'award' THEN 2 ELSE 4 END AS rank,
                day, ord, log_time, CAST(epoch(log_time) AS BIGINT) AS ts, level, usetime, award, online_time,
                scene, value, k
-        FROM fl WHERE day BETWEEN DATE '{START}' AND DATE '{END}'
+        FROM fl WHERE day BETWEEN (SELECT day FROM firstday) AND DATE '{END}'
           AND (log_type IN ('levelup', 'taskflow', 'award') OR action = 'logout')
         UNION ALL
         SELECT roleid, 'killed', 3, day, ord, log_time, CAST(epoch(log_time) AS BIGINT), level, usetime, award,
                online_time, scene, value, k
-        FROM fl WHERE log_type = 'death' AND day BETWEEN DATE '{START}' AND DATE '{END}'
+        FROM fl WHERE log_type = 'death' AND day BETWEEN (SELECT day FROM firstday) AND DATE '{END}'
         UNION ALL
         SELECT killer, 'killer', 3, day, ord, log_time, CAST(epoch(log_time) AS BIGINT), level, usetime, award,
                online_time, scene, value, k
-        FROM fl WHERE log_type = 'death' AND day BETWEEN DATE '{START}' AND DATE '{END}'"""),
+        FROM fl WHERE log_type = 'death' AND day BETWEEN (SELECT day FROM firstday) AND DATE '{END}'"""),
     "cact": (("act", "cohort"), "SELECT * FROM act WHERE roleid IN (SELECT roleid FROM cohort)"),
     # --- event-time state, by windows over all rows
     "ups": (("cact",), """
@@ -190,6 +191,11 @@ def sql(select: str, *needs: str) -> str:
     return head + ",\n".join(f"{n} AS {kept[n]}({_CTES[n][1]})" for n in order) + "\n" + select
 
 
+def cohort_of(spark: SparkSession, sf_dir: str) -> Cohort:
+    """The cohort of the events, from a scan of the role creations alone."""
+    return stored_cohort(flow_events(spark, sf_dir, "createrole"), AS_OF)
+
+
 # --- inputs laid down once per session and data folder ------------------------
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -238,6 +244,6 @@ def loaded_table(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
 
 
 __all__ = [
-    "AS_OF", "END", "ORACLES", "QUERIES", "START", "flow_events", "flow_of", "flow_root", "flow_text",
+    "AS_OF", "END", "ORACLES", "QUERIES", "START", "cohort_of", "flow_events", "flow_of", "flow_root", "flow_text",
     "loaded_table", "query", "raw_lines", "raw_root", "sql", "table_root",
 ]

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from rolepulse.layouts import MODEL_FEATURES, SGD_ITERATIONS
+from rolepulse.layouts import MODEL_FEATURES, REPLAY_ORDER, SGD_ITERATIONS
 from rolepulse.plans import activity as A
 from rolepulse.plans import churn as C
 from rolepulse.plans import training as T
-from rolepulse.registry.base import AS_OF, flow_events, query, sql
+from rolepulse.registry.base import AS_OF, cohort_of, flow_events, query, sql
 from rolepulse.session import materialise
 
 FEATURES = ", ".join(MODEL_FEATURES)
@@ -14,13 +14,13 @@ _SOURCES = {"": "clean", "_replay": "replayed"}
 
 
 def _roles(spark, d, replay):
-    events = flow_events(spark, d)
-    roles = A.role_activity(events, AS_OF, replay)
-    return roles, C.global_max(roles, A.cohort_day(events, AS_OF))
+    cohort = cohort_of(spark, d)
+    roles = A.role_activity(flow_events(spark, d, *REPLAY_ORDER), AS_OF, replay, cohort=cohort)
+    return roles, C.global_max(roles, cohort.first_day()), cohort
 
 
 def _features(spark, d, replay):
-    return C.labelled_features(flow_events(spark, d), AS_OF, replay)
+    return C.labelled_features(flow_events(spark, d, *REPLAY_ORDER), AS_OF, replay, cohort=cohort_of(spark, d))
 
 
 def _stored_features(spark, d, replay):
@@ -69,7 +69,7 @@ def _register(tag: str, src: str) -> None:
 
     @query(f"churn_label{tag}", sql(f"SELECT roleid, ts, max_ts, is_lost FROM labels_{src}", f"labels_{src}"))
     def churn_label(spark, d):
-        roles, top = _roles(spark, d, replay)
+        roles, top, _ = _roles(spark, d, replay)
         return C.churn_label(roles.select("roleid", "ts"), top)
 
     @query(f"normalise_features{tag}", sql(
@@ -81,9 +81,8 @@ def _register(tag: str, src: str) -> None:
         SELECT round(avg(CAST(is_lost AS INTEGER)), 6) AS lost_rate, count(*) AS active_roles,
                (SELECT count(*) FROM cohort) AS cohort_roles FROM labels_{src}""", f"labels_{src}", "cohort"))
     def lost_rate(spark, d):
-        events = flow_events(spark, d)
-        roles, top = _roles(spark, d, replay)
-        rate = C.lost_rate(C.churn_label(roles.select("roleid", "ts"), top), A.read_cohort(events, AS_OF))
+        roles, top, cohort = _roles(spark, d, replay)
+        rate = C.lost_rate(C.churn_label(roles.select("roleid", "ts"), top), cohort.roles)
         return _rounded(rate, "active_roles", "cohort_roles")
 
     stats = " UNION ALL ".join(f"""
@@ -121,7 +120,7 @@ for _tag, _src in _SOURCES.items():
     SELECT roleid, CASE WHEN is_lost THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
            CASE WHEN is_lost THEN -1.0 ELSE 1.0 END::DOUBLE AS signed_label FROM labels_clean""", "labels_clean"))
 def label_encode(spark, d):
-    roles, top = _roles(spark, d, False)
+    roles, top, _ = _roles(spark, d, False)
     labelled = C.churn_label(roles.select("roleid", "ts"), top)
     both = C.label_encode(C.label_encode(labelled), signed=True, name="signed_label")
     return both.select("roleid", "label", "signed_label")
@@ -129,12 +128,12 @@ def label_encode(spark, d):
 
 @query("select_features", sql(f"SELECT roleid, {FEATURES} FROM clean", "clean"))
 def select_features(spark, d):
-    roles = A.role_activity(flow_events(spark, d), AS_OF)
+    roles = A.role_activity(flow_events(spark, d, *REPLAY_ORDER), AS_OF, cohort=cohort_of(spark, d))
     return roles.select("roleid", *C.select_features(roles))
 
 
 @query("normalise_cross_join", sql(
     "SELECT c.roleid, c.online_sum, t.online_sum AS max_online_sum, t.ts AS max_ts FROM clean c, top t", "clean", "top"))
 def normalise_cross_join(spark, d):
-    roles, top = _roles(spark, d, False)
+    roles, top, _ = _roles(spark, d, False)
     return C.with_top(roles.select("roleid", "online_sum"), top, "online_sum", "ts")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rolepulse.operators import joins as J
 from rolepulse.operators.tableops import update_constant as set_constant
 from rolepulse.plans import activity as A
-from rolepulse.registry.base import AS_OF, flow_events, query, sql
+from rolepulse.registry.base import AS_OF, cohort_of, flow_events, query, sql
 
 
 @query("cohort_semi_join", sql("""
@@ -13,16 +13,16 @@ from rolepulse.registry.base import AS_OF, flow_events, query, sql
 def cohort_semi_join(spark, d):
     events = flow_events(spark, d)
     rows = events.select("ord", "roleid", "log_type", "log_time")
-    return J.semi_join_keys(rows, A.read_cohort(events, AS_OF), "roleid")
+    return J.semi_join_keys(rows, cohort_of(spark, d).roles, "roleid")
 
 
 @query("death_two_sided", sql("""
     SELECT ord, roleid, kind AS side FROM cact WHERE kind IN ('killed', 'killer')""", "cact"))
 def death_two_sided(spark, d):
-    events = flow_events(spark, d, "createrole", "death")
-    deaths = A.in_range(events.where(F.col("log_type") == "death"), AS_OF).select("roleid", "killer", "ord")
+    cohort = cohort_of(spark, d)
+    deaths = A.activity_range(flow_events(spark, d, "death"), AS_OF, cohort).select("roleid", "killer", "ord")
     sides = J.death_sides(deaths)
-    return J.semi_join_keys(sides, A.read_cohort(events, AS_OF), "roleid").select("ord", "roleid", "side")
+    return J.semi_join_keys(sides, cohort.roles, "roleid").select("ord", "roleid", "side")
 
 
 @query("update_from_lookup", """

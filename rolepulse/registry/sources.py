@@ -93,7 +93,7 @@ def read_flow_table(spark, d):
 def role_activity_from_flow_files(spark, d):
     """The replay over flow files: day, type and line order come from the files."""
     events, created = flowfiles.activity_inputs(spark, flow_root(spark, d), AS_OF)
-    return A.role_activity(events, AS_OF, replay=True, created=created)
+    return A.role_activity(events, AS_OF, replay=True, cohort=A.stored_cohort(created, AS_OF))
 
 
 @query("role_activity_from_flow_tables", sql(f"SELECT {STATE} FROM replayed", "replayed"))
@@ -101,7 +101,9 @@ def role_activity_from_flow_tables(spark, d):
     """The replay over loaded tables, where the line order is the running number."""
     for t in (*REPLAY_ORDER, "createrole"):
         loaded_table(spark, d, t)
-    return A.role_activity(read_flow_events(spark, table_root(spark, d)), AS_OF, replay=True)
+    root = table_root(spark, d)
+    cohort = A.stored_cohort(read_flow_events(spark, root, ("createrole",)), AS_OF)
+    return A.role_activity(read_flow_events(spark, root, REPLAY_ORDER), AS_OF, replay=True, cohort=cohort)
 
 
 def _register_loads() -> None:

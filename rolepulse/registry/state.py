@@ -3,13 +3,15 @@
 from pyspark.sql import functions as F
 
 from rolepulse.functions.text import position_parts
+from rolepulse.layouts import REPLAY_ORDER
 from rolepulse.operators import rolestats as R
 from rolepulse.plans import activity as A
-from rolepulse.registry.base import AS_OF, flow_events, query, sql
+from rolepulse.registry.base import AS_OF, START, cohort_of, flow_events, query, sql
 
 
-def _state(spark, d, replay):
-    return A.role_activity(flow_events(spark, d), AS_OF, replay)
+def _state(spark, d, replay, cohort=None):
+    events = flow_events(spark, d, *REPLAY_ORDER)
+    return A.role_activity(events, AS_OF, replay, cohort=cohort or cohort_of(spark, d))
 
 
 STATE = ("roleid, day, log_time, ts, taskid_sum, inst_sum, online_sum, day_act, killed_times, killer_num, "
@@ -27,10 +29,22 @@ def role_activity_replay(spark, d):
     return _state(spark, d, True)
 
 
+# Creations before this day are left out: activity then exists before the cohort day.
+LATE = "2024-01-11"
+
+
+@query("role_activity_late_cohort",
+       sql(f"SELECT {STATE} FROM replayed", "replayed").replace(f"DATE '{START}'", f"DATE '{LATE}'"))
+def role_activity_late_cohort(spark, d):
+    created = flow_events(spark, d, "createrole").where(F.col("day") >= LATE)
+    return _state(spark, d, True, A.stored_cohort(created, AS_OF))
+
+
 @query("role_activity_shuffled_cohort", sql(f"SELECT {STATE} FROM replayed", "replayed"))
 def role_activity_shuffled_cohort(spark, d):
     """The route a cohort too large to broadcast takes."""
-    return A.role_activity(flow_events(spark, d), AS_OF, replay=True, max_rows=0)
+    return A.role_activity(
+        flow_events(spark, d, *REPLAY_ORDER), AS_OF, replay=True, max_rows=0, cohort=cohort_of(spark, d))
 
 
 @query("level_record", sql("""
@@ -40,9 +54,9 @@ def role_activity_shuffled_cohort(spark, d):
                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pk
         FROM cact WHERE kind = 'levelup') WHERE pk IS NULL OR level > pk) WHERE r = 1""", "cact"))
 def level_record(spark, d):
-    events = flow_events(spark, d, "createrole", "levelup")
-    ups = A.in_range(events.where(F.col("log_type") == "levelup"), AS_OF)
-    return R.for_cohort(R.level_record, ups, A.read_cohort(events, AS_OF))
+    cohort = cohort_of(spark, d)
+    ups = A.activity_range(flow_events(spark, d, "levelup"), AS_OF, cohort)
+    return R.for_cohort(R.level_record, ups, cohort.roles)
 
 
 @query("levelup_pace", sql("""
@@ -63,9 +77,9 @@ def levelup_pace_replay(spark, d):
       SELECT *, row_number() OVER (PARTITION BY roleid ORDER BY ts DESC, ord) AS r FROM cact WHERE kind = 'award')
     WHERE r = 1""", "cact"))
 def last_gift(spark, d):
-    events = flow_events(spark, d, "createrole", "award")
-    awards = A.in_range(events.where(F.col("log_type") == "award"), AS_OF)
-    return R.for_cohort(R.last_gift, awards, A.read_cohort(events, AS_OF))
+    cohort = cohort_of(spark, d)
+    awards = A.activity_range(flow_events(spark, d, "award"), AS_OF, cohort)
+    return R.for_cohort(R.last_gift, awards, cohort.roles)
 
 
 @query("last_gift_replay", sql("""
@@ -88,23 +102,25 @@ def award_level_floor(spark, d):
       SELECT *, row_number() OVER (PARTITION BY roleid ORDER BY day DESC, ord DESC) AS r FROM cact
       WHERE kind = 'killed') WHERE r = 1""", "cact"))
 def last_death_place(spark, d):
-    events = flow_events(spark, d, "createrole", "death")
-    deaths = A.in_range(events.where(F.col("log_type") == "death"), AS_OF)
+    cohort = cohort_of(spark, d)
+    deaths = A.activity_range(flow_events(spark, d, "death"), AS_OF, cohort)
     deaths = deaths.withColumn("xyz", position_parts(F.col("pos")))
-    return R.for_cohort(R.last_death_place, deaths, A.read_cohort(events, AS_OF))
+    return R.for_cohort(R.last_death_place, deaths, cohort.roles)
 
 
 @query("logout_level", sql("""
     SELECT roleid, max(level) AS known_level FROM cact
     WHERE kind IN ('levelup', 'roleloginlogout') GROUP BY roleid""", "cact"))
 def logout_level(spark, d):
-    events = flow_events(spark, d, "createrole", "levelup", "roleloginlogout")
-    return R.for_cohort(R.logout_level, A.handled(A.in_range(events, AS_OF)), A.read_cohort(events, AS_OF))
+    cohort = cohort_of(spark, d)
+    events = flow_events(spark, d, "levelup", "roleloginlogout")
+    return R.for_cohort(R.logout_level, A.handled(A.activity_range(events, AS_OF, cohort)), cohort.roles)
 
 
 @query("last_activity", sql("""
     SELECT roleid, CAST(max(log_time) AS DATE) AS day, strftime(max(log_time), '%H:%M:%S') AS log_time, max(ts) AS ts
     FROM cact GROUP BY roleid""", "cact"))
 def last_activity(spark, d):
-    events = flow_events(spark, d)
-    return R.for_cohort(R.last_activity, A.handled(A.in_range(events, AS_OF)), A.read_cohort(events, AS_OF))
+    cohort = cohort_of(spark, d)
+    events = flow_events(spark, d, *REPLAY_ORDER)
+    return R.for_cohort(R.last_activity, A.handled(A.activity_range(events, AS_OF, cohort)), cohort.roles)

@@ -102,14 +102,17 @@ def scan_range(
 def activity_inputs(
     spark: SparkSession, root: str, as_of: str | dt.date, zones: Iterable[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Events of the activity range, and the created roles of the first day that has any.
+    """Events from the first day with created roles to the end of the range, and the roles created on that day.
 
-    That day comes from file names alone; one date returns to the driver.
+    The day comes from the file names of the wanted zones alone; one date returns to the driver.
     """
-    first = first_available_day(list_partitions(spark, root), as_of).first()["day"]
-    events = typed_events(scan_range(spark, root, as_of, REPLAY_ORDER, zones=zones))
-    created = read_partitioned(spark, root, ["createrole"], (first or "", first or ""), zones)
-    return events, typed_events(created)
+    names = list_partitions(spark, root)
+    if zones is not None:
+        names = names.where(valid_zone(F.col("zone"), zones))
+    first = first_available_day(names, as_of).first()["day"] or ""
+    events = read_partitioned(spark, root, REPLAY_ORDER, (first, day_range(as_of)[-1] if first else ""), zones)
+    created = read_partitioned(spark, root, ["createrole"], (first, first), zones)
+    return typed_events(events), typed_events(created)
 
 
 def first_available_day(
