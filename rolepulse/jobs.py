@@ -12,13 +12,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rolepulse.layouts import FLOW_FIELDS, LOST_DAY, VALID_ZONES
+from rolepulse.layouts import FLOW_FIELDS, LOST_DAY, RAW_FILE, RAW_ZONES, VALID_ZONES
 from rolepulse.operators.tableops import write_version
 from rolepulse.plans import activity as A
 from rolepulse.plans import churn as C
 from rolepulse.plans import training as T
 from rolepulse.sinks.flowtables import load_flow_tables
 from rolepulse.sources import flowfiles
+from rolepulse.sources.formatlog import TASK_ACTION
 from rolepulse.streaming import ingest
 
 
@@ -60,20 +61,27 @@ def main() -> None:
     p = jobs.add_parser("ingest", help="raw log files to routed flow files")
     p.add_argument("raw"), p.add_argument("flows"), p.add_argument("checkpoint")
     p.add_argument("--follow", action="store_true", help="keep running instead of stopping when caught up")
+    p.add_argument("--file-name", default=RAW_FILE, help="name or glob of the raw files")
+    p.add_argument("--zones", nargs="+", default=RAW_ZONES)
+    p.add_argument("--task-action", default=TASK_ACTION, help="regular expression of a task line's action")
     p = jobs.add_parser("load", help="flow files to numbered tables")
-    p.add_argument("flows"), p.add_argument("tables")
+    p.add_argument("flows"), p.add_argument("tables"), p.add_argument("--zones", nargs="+", default=VALID_ZONES)
     p = jobs.add_parser("churn", help="flow files to churn statistics and weights")
     p.add_argument("flows"), p.add_argument("out")
     p.add_argument("--as-of", required=True), p.add_argument("--time-zone", default="UTC")
+    p.add_argument("--zones", nargs="+", default=VALID_ZONES)
     p.add_argument("--event-time", action="store_true", help="event-time rules instead of the replay")
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"rolepulse-{args.job}").getOrCreate()
     if args.job == "ingest":
-        ingest.start_ingest(spark, args.raw, args.flows, args.checkpoint, once=not args.follow).awaitTermination()
+        ingest.start_ingest(
+            spark, args.raw, args.flows, args.checkpoint, once=not args.follow, task_action=args.task_action,
+            file_name=args.file_name, zones=args.zones, on_batch=lambda n, counts: print(f"batch {n}: {counts}"),
+        ).awaitTermination()
     elif args.job == "load":
-        load_job(spark, args.flows, args.tables)
+        load_job(spark, args.flows, args.tables, args.zones)
     else:
-        result = churn_job(spark, args.flows, args.out, args.as_of, not args.event_time, zone_name=args.time_zone)
+        result = churn_job(spark, args.flows, args.out, args.as_of, not args.event_time, args.zones, args.time_zone)
         for name in ("lost_rate", "class_feature_stats", "weights"):
             result[name].show(truncate=False)
 

@@ -28,6 +28,8 @@ RAW_TYPES = ("roleloginlogout", "taskflow", "createrole", "levelup", "death")
 REPLAY_ORDER = ("levelup", "taskflow", "award", "death", "roleloginlogout")
 
 VALID_ZONES = ("1002", "1004", "1005")
+RAW_ZONES = ("1004", "1005")          # zones and file name the ingest takes
+RAW_FILE = "world2.formatlog"
 TABLE_RENAMES = {"taskflow": "task"}
 
 RANGE_START = -30        # first day looked at, relative to as_of

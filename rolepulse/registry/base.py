@@ -218,6 +218,10 @@ def raw_root(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "rawlog", write)
 
 
+# The raw text of the queries comes in part files of all three zones.
+RAW = {"file_name": "*", "zones": VALID_ZONES}
+
+
 def flow_root(spark: SparkSession, sf_dir: str) -> str:
     """Flow files of all seven types rendered from all events."""
     def write(path: str) -> None:
@@ -244,6 +248,6 @@ def loaded_table(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
 
 
 __all__ = [
-    "AS_OF", "END", "ORACLES", "QUERIES", "START", "cohort_of", "flow_events", "flow_of", "flow_root", "flow_text",
+    "AS_OF", "END", "ORACLES", "QUERIES", "RAW", "START", "cohort_of", "flow_events", "flow_of", "flow_root", "flow_text",
     "loaded_table", "query", "raw_lines", "raw_root", "sql", "table_root",
 ]

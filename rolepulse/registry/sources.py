@@ -6,7 +6,7 @@ from rolepulse.layouts import FLOW_FIELDS, REPLAY_ORDER
 from rolepulse.operators import numbering
 from rolepulse.plans import activity as A
 from rolepulse.registry.base import (
-    AS_OF, END, START, flow_events, flow_root, loaded_table, query, raw_root, sql, table_root,
+    AS_OF, END, RAW, START, flow_events, flow_root, loaded_table, query, raw_root, sql, table_root,
 )
 from rolepulse.registry.state import STATE
 from rolepulse.sources import flowfiles, formatlog
@@ -26,7 +26,7 @@ def raw_records(lines):
 
 @query("scan_formatlog_batch", sql(_RAW_ROWS, "fl"))
 def scan_formatlog_batch(spark, d):
-    return raw_records(formatlog.read_raw(spark, raw_root(spark, d)))
+    return raw_records(formatlog.read_raw(spark, raw_root(spark, d), **RAW))
 
 
 @query("discover_flow_files", sql("""

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from rolepulse.registry.base import query, raw_root, sql
+from rolepulse.registry.base import RAW, query, raw_root, sql
 from rolepulse.registry.parsing import _FLOW_LINE
 from rolepulse.registry.sources import _RAW_ROWS
 from rolepulse.session import work_path
-from rolepulse.sinks.routed import routed_lines, write_routed
+from rolepulse.sinks.routed import route_raw
 from rolepulse.sources import formatlog
 from rolepulse.sources.flowfiles import read_partitioned
 from rolepulse.streaming import ingest
@@ -21,14 +21,13 @@ def _back(spark, path):
 @query("route_by_type", sql(_ROUTED, "fl"))
 def route_by_type(spark, d):
     out = work_path(spark, "routed")
-    lines = formatlog.read_raw(spark, raw_root(spark, d))
-    write_routed(routed_lines(formatlog.with_path_fields(formatlog.parse(lines))), out)
+    route_raw(formatlog.read_raw(spark, raw_root(spark, d), **RAW), out)
     return _back(spark, out)
 
 
 def _stream(spark, d, runs=1):
     out = work_path(spark, "stream")
-    counts = [ingest.run_once(spark, raw_root(spark, d), out, out + "-checkpoint") for _ in range(runs)]
+    counts = [ingest.run_once(spark, raw_root(spark, d), out, out + "-checkpoint", **RAW) for _ in range(runs)]
     return out, counts
 
 
@@ -47,13 +46,13 @@ def stream_restart_once(spark, d):
 def stream_replay(spark, d):
     """After a normal run everything is processed again into a new output."""
     _stream(spark, d)
-    return _back(spark, ingest.replay(spark, raw_root(spark, d)))
+    return _back(spark, ingest.replay(spark, raw_root(spark, d), **RAW))
 
 
 @query("replay_from_start", sql("""
     SELECT zone, log_type, count(*) AS lines FROM fl WHERE log_type <> 'award' GROUP BY zone, log_type""", "fl"))
 def replay_from_start(spark, d):
-    out = ingest.replay(spark, raw_root(spark, d), max_files=16)
+    out = ingest.replay(spark, raw_root(spark, d), max_files=16, **RAW)
     return _back(spark, out).groupBy("zone", "log_type").agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -61,7 +60,7 @@ def replay_from_start(spark, d):
 def scan_formatlog_stream(spark, d):
     """The streaming scan, its records kept as a table."""
     out = work_path(spark, "scan")
-    rows = formatlog.with_path_fields(formatlog.parse(formatlog.read_raw_stream(spark, raw_root(spark, d))))
+    rows = formatlog.with_path_fields(formatlog.parse(formatlog.read_raw_stream(spark, raw_root(spark, d), **RAW)))
     rows = rows.select("zone", "day", "log_type", F.col("log_time").try_cast("timestamp_ntz").alias("log_time"),
                        F.col("roleid").try_cast("bigint").alias("roleid"))
     q = (rows.writeStream.format("parquet").option("checkpointLocation", out + "-checkpoint")

@@ -44,7 +44,7 @@ def load_flow_table(
     # A chunk is one split of one file, so its size is bounded by the split size. Whole
     # files are kept or dropped above, so the line ids inside a split have no gaps.
     numbered = assign_sn(
-        staged, order=["ord"], chunk=[F.col("day"), F.col("ord.file"), F.col("ord.block")], scope=["zone"],
+        staged, order=["ord"], chunk=[F.col("day"), *[F.col(f"ord.{c}") for c in ("batch", "part", "file", "block")]], scope=["zone"],
         start=last_sn(spark, path), position=F.col("ord.row"),
     )
     (

@@ -1,43 +1,55 @@
-"""Routed flow files: one folder per zone, day and type."""
+"""Routed flow files: one folder per zone, day, type and batch."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rolepulse.layouts import RAW_TYPES
-from rolepulse.sources.formatlog import flow_line
+from rolepulse.sources.formatlog import SOURCE_ORDER, TASK_ACTION, flow_line, parse, with_path_fields
 
 ROUTE = ("zone", "day", "log_type")
 
 
-def routed_lines(parsed: DataFrame) -> DataFrame:
-    """Parsed records with a path match, rendered: columns value, zone, day, log_type.
+def routed_lines(parsed: DataFrame, *carried: str) -> DataFrame:
+    """Parsed records with a path match, rendered: columns value, zone, day, log_type, and ``carried`` ones.
 
     Zone and day come from the file path, so a late line follows its file, not its clock.
     """
     return parsed.where(F.col("log_type").isin(list(RAW_TYPES))).select(
-        flow_line(F.col("log_type")).alias("value"), *ROUTE
+        flow_line(F.col("log_type")).alias("value"), *ROUTE, *carried
     )
 
 
-def write_routed(lines: DataFrame, path: str, mode: str = "append") -> None:
-    """Write flow lines to their folders without an order between files.
+def _write(sorted_lines: DataFrame, path: str, batch: int) -> None:
+    # Repeating a batch replaces its own folders and no others.
+    (
+        sorted_lines.select("value", *ROUTE, F.lit(batch).cast("bigint").alias("batch")).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*ROUTE, "batch").text(path)
+    )
+
+
+def write_routed_in_order(lines: DataFrame, order: str, path: str, batch: int = 0) -> None:
+    """Write flow lines as one batch of their folders, in line order by ``order`` (unique per line).
 
-    The rebalance hint lets adaptive execution split a hot folder over many
-    tasks and merge tiny ones, so neither one huge file nor many small ones appear.
+    Range partitioning on (folder, order) cuts a hot folder into several files,
+    numbered in line order. Lines of a higher batch come after those of a lower one.
     """
-    lines.hint("rebalance", *[F.col(c) for c in ROUTE]).write.mode(mode).partitionBy(*ROUTE).text(path)
+    keys = [F.col(c) for c in (*ROUTE, order)]
+    _write(lines.repartitionByRange(*keys).sortWithinPartitions(*keys), path, batch)
 
 
-def write_routed_in_order(lines: DataFrame, order: str, path: str, mode: str = "append") -> None:
-    """The same, keeping line order inside a folder by ``order`` (unique per line).
+def route_raw(lines: DataFrame, path: str, batch: int = 0, task_action: str = TASK_ACTION) -> dict[str, int]:
+    """Parse raw lines and write what matches as one batch; returns the lines read and written.
 
-    Range partitioning on (folder, order) cuts a hot folder into several files
-    whose names sort in line order.
+    The raw lines are put in source order by a range partitioning before they are
+    parsed, so its sampling reads text only and the patterns run once per line. A task
+    then holds one stretch of the source, and files are numbered in source order.
     """
-    keys = [F.col(c) for c in (*ROUTE, order)]
-    (
-        lines.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(order)
-        .write.mode(mode).partitionBy(*ROUTE).text(path)
-    )
+    read, written = Observation(), Observation()
+    order = [*SOURCE_ORDER, "row"]
+    placed = lines.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order)
+    parsed = with_path_fields(parse(placed.observe(read, F.count(F.lit(1)).alias("n")), task_action))
+    routed = routed_lines(parsed, *order).observe(written, F.count(F.lit(1)).alias("n"))
+    _write(routed.sortWithinPartitions(*ROUTE, *order), path, batch)
+    return {"read": read.get["n"], "written": written.get["n"]}

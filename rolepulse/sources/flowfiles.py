@@ -2,7 +2,7 @@
 
 Two layouts are understood: the plain one, ``<root>/<zone>/<day>_<type>``, read
 through path globs, and the partitioned one this package writes,
-``<root>/zone=…/day=…/log_type=…``, read with partition pruning.
+``<root>/zone=…/day=…/log_type=…/batch=…``, read with partition pruning.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rolepulse.functions.text import name_date, name_type
 from rolepulse.layouts import FLOW_FIELDS, RANGE_END, RANGE_START, REPLAY_ORDER, VALID_ZONES, check_type
 
-LINE_SCHEMA = "value string, zone string, day string, log_type string, ord struct<file:string,block:bigint,row:bigint>"
+LINE_SCHEMA = "value string, zone string, day string, log_type string, ord struct<batch:bigint,part:bigint,file:string,block:bigint,row:bigint>"
 
 
 def as_date(day: str | dt.date) -> dt.date:
@@ -35,9 +35,12 @@ def valid_zone(zone: Column, zones: Iterable[str] = VALID_ZONES) -> Column:
 
 
 def _line_order() -> Column:
-    # Ids rise inside one split of a file, so (file, split start, id) is the line order.
+    # Batches and the parts of a batch are numbered in line order; the numbers are compared, not their text.
+    # Ids rise inside one split of a file, so (file, split start, id) is the line order of a file.
+    path = F.col("_metadata.file_path")
+    number = lambda pattern: F.coalesce(F.regexp_extract(path, pattern, 1).try_cast("bigint"), F.lit(0))
     return F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        number(r"/batch=(\d+)/").alias("batch"), number(r"/part-(\d+)[^/]*$").alias("part"), path.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     ).alias("ord")

@@ -7,11 +7,14 @@ come out of one further match.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rolepulse.layouts import RAW_FILE, RAW_ZONES
+
 # ---- fixed values: line patterns --------------------------------------------
 TIMESTAMP = r"(?:\d\d){1,2}-(?:0?[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]|[1-9])[T ](?:2[0-3]|[01]?\d):?[0-5]\d(?::?(?:[0-5]?\d|60)(?:[:.,]\d+)?)?(?:Z|[+-](?:2[0-3]|[01]?\d)(?::?[0-5]\d))?"
 NUMBER = r"(?<![0-9.+-])[+-]?(?:\d+(?:\.\d+)?|\.\d+)"
@@ -123,18 +126,35 @@ def path_day(path: Column) -> Column:
     return F.regexp_extract(path, f"(?:zone=)?{NUMBER}/(?:day=)?({DAY})", 1)
 
 
-def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw lines with the file they came from: columns ``value``, ``path``."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias("path"))
+# Where a raw line stands in its source, besides its place inside a split of the file.
+SOURCE_ORDER = ("modified", "path", "block")
+
+
+def _raw_lines(lines: DataFrame, zones: Iterable[str]) -> DataFrame:
+    path = F.col("_metadata.file_path")
+    # A filter on the path alone: files of other zones are not opened.
+    return lines.where(path_zone(path).isin(list(zones))).select(
+        "value", path.alias("path"), F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_block_start").alias("block"))
+
+
+def read_raw(
+    spark: SparkSession, path: str | list[str], file_name: str = RAW_FILE, zones: Iterable[str] = RAW_ZONES
+) -> DataFrame:
+    """Raw lines of the files called ``file_name`` (a glob) of some zones: ``value`` and the SOURCE_ORDER columns."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", file_name)
+    return _raw_lines(reader.text(path), zones)
 
 
-def read_raw_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def read_raw_stream(
+    spark: SparkSession, path: str, max_files: int | None = None, file_name: str = RAW_FILE,
+    zones: Iterable[str] = RAW_ZONES,
+) -> DataFrame:
     """The same as a stream. A file is read once, so the log writer must roll files."""
-    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", file_name)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path).select("value", F.col("_metadata.file_path").alias("path"))
+    return _raw_lines(reader.load(path), zones)
 
 
 def _hits(lines: DataFrame, task_action: str, keep_unmatched: bool) -> DataFrame:

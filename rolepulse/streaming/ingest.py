@@ -1,51 +1,64 @@
 """Raw log stream to routed flow files.
 
-Stateless: a line is parsed, rendered and appended to the folder its file path
-names, so late lines need no watermark. Offsets live in the checkpoint; the file
-sink's own log makes every line appear once also after a crash.
+Stateless: a line is parsed, rendered and written to the folder its file path
+names, so late lines need no watermark. Offsets live in the checkpoint. A batch
+writes folders of its own number and replaces them when it is repeated after a
+crash, so every line appears once, and readers take batches in their order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from rolepulse.layouts import RAW_FILE, RAW_ZONES
 from rolepulse.session import work_path
-from rolepulse.sinks.routed import ROUTE, routed_lines
-from rolepulse.sources.formatlog import TASK_ACTION, parse, read_raw_stream, with_path_fields
+from rolepulse.sinks.routed import route_raw
+from rolepulse.sources.formatlog import TASK_ACTION, read_raw_stream
 
 # Files per micro-batch: a large backlog is worked off in steps that each commit.
 MAX_FILES = 10_000
 
 
-def routed_stream(spark: SparkSession, raw: str, max_files: int | None = MAX_FILES,
-                  task_action: str = TASK_ACTION) -> DataFrame:
-    """Streaming flow lines with their zone, day and type."""
-    return routed_lines(with_path_fields(parse(read_raw_stream(spark, raw, max_files), task_action)))
-
-
 def start_ingest(
     spark: SparkSession, raw: str, out: str, checkpoint: str, once: bool = True, interval: str = "1 minute",
-    max_files: int | None = MAX_FILES,
+    max_files: int | None = MAX_FILES, task_action: str = TASK_ACTION, file_name: str = RAW_FILE,
+    zones: Iterable[str] = RAW_ZONES, on_batch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
-    """Start the ingest; ``once`` works off what is there and stops."""
+    """Start the ingest; ``once`` works off what is there and stops.
+
+    ``on_batch`` gets the number of each batch and its counts of lines ``read`` and
+    ``written``; their difference are the lines that no pattern matches.
+    """
+    def handle(lines, batch: int) -> None:
+        counts = route_raw(lines, out, batch, task_action)
+        if on_batch is not None:
+            on_batch(batch, counts)
+
     writer = (
-        routed_stream(spark, raw, max_files).writeStream.format("text").partitionBy(*ROUTE)
-        .option("checkpointLocation", checkpoint).outputMode("append")
+        read_raw_stream(spark, raw, max_files, file_name, zones).writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
-    return writer.start(out)
+    return writer.start()
+
+
+def run_once(spark: SparkSession, raw: str, out: str, checkpoint: str, **options) -> dict[str, int]:
+    """Work off the new files (options of :func:`start_ingest`) and return how many lines were read and written."""
+    total = {"read": 0, "written": 0}
 
+    def add(_: int, counts: dict[str, int]) -> None:
+        for name, n in counts.items():
+            total[name] += n
 
-def run_once(spark: SparkSession, raw: str, out: str, checkpoint: str, max_files: int | None = MAX_FILES) -> int:
-    """Work off the new files and return how many input lines they had."""
-    q = start_ingest(spark, raw, out, checkpoint, once=True, max_files=max_files)
-    q.awaitTermination()
-    return sum(p["numInputRows"] for p in q.recentProgress)
+    start_ingest(spark, raw, out, checkpoint, once=True, on_batch=add, **options).awaitTermination()
+    return total
 
 
-def replay(spark: SparkSession, raw: str, max_files: int | None = MAX_FILES) -> str:
+def replay(spark: SparkSession, raw: str, **options) -> str:
     """Process everything again into a new output with a new checkpoint; old ones stay."""
     out = work_path(spark, "replay")
-    run_once(spark, raw, out, out + "-checkpoint", max_files)
+    run_once(spark, raw, out, out + "-checkpoint", **options)
     return out

@@ -94,9 +94,8 @@ RAW = {
     "1005/2016-11-10/world2.formatlog": [
         "2016-11-10 00:03:00 gs1 formatlog:levelup_lo:roleid=11:level=2:zone=1:time_used=120:prof=3",
     ],
-    "misc/world2.formatlog": [
-        "2016-11-10 00:03:00 gs1 formatlog:levelup_lo:roleid=5:level=2:zone=1:time_used=120:prof=3",
-    ],
+    **{name: ["2016-11-10 00:03:00 gs1 formatlog:levelup_lo:roleid=5:level=2:zone=1:time_used=120:prof=3"] for name in (
+        "misc/world2.formatlog", "1004/2016-11-10/world2.test", "1777/2016-11-10/world2.formatlog")},
 }
 
 
@@ -115,19 +114,46 @@ def test_stream_restart_and_replay(spark, tmp_path):
         ("1004", "2016-11-10", "roleloginlogout", "2016-11-11 00:00:01 11 login 1 0"),
         ("1005", "2016-11-10", "levelup", "2016-11-10 00:03:00 11 3 2 120"),
     ]
-    # the file outside a zone and day folder is not even opened
-    assert ingest.run_once(spark, raw, out, check) == 4
+    # files outside a listed zone's folder and of another name are not even opened
+    assert ingest.run_once(spark, raw, out, check) == {"read": 4, "written": 3}
     assert rows(out) == want
-    assert ingest.run_once(spark, raw, out, check) == 0
+    assert ingest.run_once(spark, raw, out, check) == {"read": 0, "written": 0}
     assert rows(out) == want
     put(raw, "1005/2016-11-11/world2.formatlog",
         "2016-11-11 00:00:00 gs1 formatlog:createrole:from=1:roleid=12:os=2:profession=3:nation=2")
-    assert ingest.run_once(spark, raw, out, check) == 1
+    assert ingest.run_once(spark, raw, out, check) == {"read": 1, "written": 1}
     want.append(("1005", "2016-11-11", "createrole", "2016-11-11 00:00:00 12 3 2"))
     assert rows(out) == sorted(want)
     assert rows(ingest.replay(spark, raw, max_files=1)) == sorted(want)
 
 
+def test_the_last_of_rolled_files_wins_and_all_batches_are_counted(spark, tmp_path):
+    """A role is created again in each rolled file; its last line is the one of the last file, whatever the names."""
+    raw, out, check = (str(tmp_path / n) for n in ("raw", "out", "check"))
+    want = {}
+    for turn, name in enumerate(("c", "a", "b")):
+        for role in range(4):
+            put(raw, f"1004/2016-11-10/{name}{role}.log", *[
+                f"2016-11-10 00:00:00 gs1 formatlog:createrole:from=1:roleid={role}:os=2:profession={p}:nation=2"
+                for p in (7, turn + role)])
+            want[role] = turn + role
+        assert ingest.run_once(spark, raw, out, check, file_name="*.log")["read"] == 8
+    created = flowfiles.typed_events(flowfiles.read_partitioned(spark, out))
+    assert {r["roleid"]: r["profession"] for r in A.read_cohort(created, "2016-12-01").collect()} == want
+    root = str(tmp_path / "tables")
+    load_flow_table(flowfiles.read_partitioned(spark, out, ["createrole"]), "createrole", root)
+    last = read_flow_table(spark, root, "createrole").groupBy("roleid").agg(F.max_by("profession", "sn").alias("p"))
+    assert {r["roleid"]: r["p"] for r in last.collect()} == want
+
+
+def test_counts_reach_beyond_the_kept_progress(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    for n in range(105):
+        put(raw, f"1004/2016-11-10/{n}.log", "2016-11-10 00:00:01 gs1 formatlog:rolelogin:acct=zz:roleid=1:os=2:lev=1")
+    counts = ingest.run_once(spark, raw, out, out + "-check", file_name="*.log", max_files=1)
+    assert counts == {"read": 105, "written": 105}
+
+
 def test_weights_equal_the_sgd_models(spark):
     from pyspark.mllib.classification import LogisticRegressionWithSGD, SVMWithSGD
     from pyspark.mllib.regression import LabeledPoint
