@@ -1,4 +1,4 @@
-"""Routed flow files: one folder per zone, day, type and batch."""
+"""Routed flow files: one folder per batch, zone, day and type."""
 
 from __future__ import annotations
 
@@ -22,15 +22,15 @@ def routed_lines(parsed: DataFrame, *carried: str) -> DataFrame:
 
 
 def _write(sorted_lines: DataFrame, path: str, batch: int) -> None:
-    # Repeating a batch replaces its own folders and no others.
+    # Repeating a batch replaces its own folder and no other; a whole folder is moved into place at commit.
     (
-        sorted_lines.select("value", *ROUTE, F.lit(batch).cast("bigint").alias("batch")).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*ROUTE, "batch").text(path)
+        sorted_lines.select("value", *ROUTE).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy(*ROUTE).text(f"{path}/batch={batch}")
     )
 
 
 def write_routed_in_order(lines: DataFrame, order: str, path: str, batch: int = 0) -> None:
-    """Write flow lines as one batch of their folders, in line order by ``order`` (unique per line).
+    """Write flow lines as one batch, in line order by ``order`` (unique per line).
 
     Range partitioning on (folder, order) cuts a hot folder into several files,
     numbered in line order. Lines of a higher batch come after those of a lower one.

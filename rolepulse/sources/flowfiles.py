@@ -2,7 +2,7 @@
 
 Two layouts are understood: the plain one, ``<root>/<zone>/<day>_<type>``, read
 through path globs, and the partitioned one this package writes,
-``<root>/zone=…/day=…/log_type=…/batch=…``, read with partition pruning.
+``<root>/batch=…/zone=…/day=…/log_type=…``, read with partition pruning.
 """
 
 from __future__ import annotations

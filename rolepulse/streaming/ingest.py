@@ -2,7 +2,7 @@
 
 Stateless: a line is parsed, rendered and written to the folder its file path
 names, so late lines need no watermark. Offsets live in the checkpoint. A batch
-writes folders of its own number and replaces them when it is repeated after a
+writes a folder of its own number and replaces it when it is repeated after a
 crash, so every line appears once, and readers take batches in their order.
 """
 
