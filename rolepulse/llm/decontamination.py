@@ -1,17 +1,22 @@
 """Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-The seeds of an item are those of its three-word grams that the corpus holds no more often
-than the median one of the item; the counts cover all documents. A passage of a document that
-holds two different seeds of an item (one, if the item has no more) at about their distance in
-the item is aligned with it, word by word: a match counts 1, a replaced, added or missing word
--1. The score is the best local alignment divided by the words of the item; from 0.5 on the
-document leaks the item. Words are compared in lower case without ASCII punctuation.
+A passage of a document is aligned with an item, word by word: a match counts 1, a replaced,
+added or missing word -1. The score is the best local alignment divided by the words of the
+item; from 0.5 on the document leaks the item. Words are compared in lower case without ASCII
+punctuation.
+
+The seeds lose no leak. An alignment of m matches and e errors has at most e + 1 runs of
+matches, so that at least m - e - 1 of its two-word grams are whole: one less than the least
+score in words. An item of g grams of which t have to be whole has at least k of them among
+any g - t + k; its seeds are the rarest g - t + k, by the counts of all documents. A passage
+that holds k seeds, at distances that differ from those in the item by no more than the errors
+that the score allows, is aligned. This holds for every least score above 1 / 3.
 
 The benchmark is read in blocks of at most ``BLOCK_WORDS`` words (a longer item is a block of
 its own); a block travels to the tasks, which go through all documents. No row is shuffled
 but the counts of a block's grams.
 
-Defined cases: a null or empty text, and an item of fewer words than a seed, match nothing.
+Defined cases: a null or empty text, and an item of fewer than three words, match nothing.
 Items of equal text, or of one id, are judged each. Repeated documents get rows each; rows
 with a null id are judged too. Other columns are ignored, or kept by :func:`decontaminated`.
 """
@@ -28,8 +33,11 @@ from pyspark.sql import functions as F
 
 from rolepulse.llm.texts import ROWS_AT_ONCE, WordHashes, by_rows, sequence_hash, table, utf8
 
-SEED = 3
+SEED = 2
+LEAST_WORDS = 3
 LEAST_SCORE = 0.5
+#: Seeds that a passage has to hold, if that many grams of the item have to be whole.
+HELD = 4
 BLOCK_WORDS = 1_000_000
 
 _PUNCTUATION = string.punctuation.encode()
@@ -87,18 +95,19 @@ class Block:
         found = np.flatnonzero(known[at] == grams)
         return found, at[found]
 
-    def keep_rare(self, counts: np.ndarray) -> None:
-        """Leave the grams that are as rare as the median of their item, or rarer."""
+    def keep_rare(self, counts: np.ndarray, least: float = LEAST_SCORE) -> None:
+        """Leave of each item its rarest grams, so many that a leak holds ``needed`` of them."""
         times = counts[np.searchsorted(self.unique, self.flat)]
         rare = np.zeros(len(times), bool)
-        for at in np.split(np.argsort(self.owner, kind="stable"), np.cumsum(np.bincount(self.owner, minlength=len(self.items)))[:-1]):
-            if len(at):
-                rare[at] = times[at] <= np.median(times[at])
+        self.needed, self.spread = np.ones(len(self.items), np.int64), np.zeros(len(self.items), np.int64)
+        for i, at in enumerate(np.split(np.argsort(self.owner, kind="stable"), np.cumsum(np.bincount(self.owner, minlength=len(self.items)))[:-1])):
+            score = int(np.ceil(least * len(self.items[i]) - 1e-9))  # matches less errors
+            whole = max(1, score - 1)
+            self.needed[i], self.spread[i] = min(HELD, whole), max(0, len(self.items[i]) - score)
+            rare[at[np.lexsort((self.place[at], times[at]))[:len(at) - whole + self.needed[i]]]] = True
         self.flat, self.owner, self.place = self.flat[rare], self.owner[rare], self.place[rare]
         self.unique = np.unique(self.flat)
         self.first, self.last = np.searchsorted(self.flat, self.unique, "left"), np.searchsorted(self.flat, self.unique, "right")
-        pairs = np.unique(np.stack([self.owner.astype(np.uint64), self.flat]), axis=1)[0].astype(np.int64)
-        self.needed = np.minimum(2, np.bincount(pairs, minlength=len(self.items)))
 
     def passages(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, start, end) of the passages that hold enough seeds of the item."""
@@ -107,16 +116,21 @@ class Block:
             return
         many = self.last[gram] - self.first[gram]
         entry = np.repeat(self.first[gram], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        at, gram = np.repeat(at, many), np.repeat(gram, many)
+        at = np.repeat(at, many)
         item, begins = self.owner[entry], at - self.place[entry]
         order = np.lexsort((begins, item))
-        item, begins, gram = item[order], begins[order], gram[order]
+        item, begins = item[order], begins[order]
+        ends = np.arange(len(item)) + self.needed[item] - 1
+        held = np.flatnonzero(ends < len(item))
+        held = held[(item[ends[held]] == item[held]) & (begins[ends[held]] - begins[held] <= self.spread[item[held]])]
+        if not len(held):
+            return
+        item, begins = item[held], begins[held]
         length = np.array([len(self.items[i]) for i in item])
         cuts = np.flatnonzero((np.diff(item) != 0) | (np.diff(begins) > length[1:])) + 1
         for lo, hi in zip([0, *cuts], [*cuts, len(item)]):
             i, n = int(item[lo]), int(length[lo])
-            if hi - lo >= self.needed[i] and len(np.unique(gram[lo:hi])) >= self.needed[i]:
-                yield i, max(0, int(begins[lo]) - n), min(len(words), int(begins[hi - 1]) + 2 * n)
+            yield i, max(0, int(begins[lo]) - n), min(len(words), int(begins[hi - 1]) + 2 * n)
 
 
 def blocks(benchmark: DataFrame, most: int = BLOCK_WORDS) -> Iterator[Block]:
@@ -124,7 +138,7 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_WORDS) -> Iterator[Block]:
     ids, items, size = [], [], 0
     for r in benchmark.where("text IS NOT NULL").select("item_id", "text").toLocalIterator():
         found = plain_words(r["text"].encode())
-        if len(found) < SEED:
+        if len(found) < LEAST_WORDS:
             continue
         if ids and size + len(found) > most:
             yield Block(ids, items)
@@ -171,7 +185,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) ->
     """A row for each document and item that it leaks: the score, and the words of the best passage."""
     out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, start long, n_words long")
     for block in blocks(benchmark):
-        block.keep_rare(counted(docs, block))
+        block.keep_rare(counted(docs, block), least)
 
         def judge(batch, block=block):
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
@@ -186,7 +200,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_S
     """The rows of ``docs``, with all their columns, that leak no item."""
     at, out = docs.columns.index("text"), docs
     for block in blocks(benchmark):
-        block.keep_rare(counted(docs, block))
+        block.keep_rare(counted(docs, block), least)
 
         def keep(batches, block=block):
             for batch in batches:

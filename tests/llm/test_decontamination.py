@@ -81,3 +81,24 @@ def test_nulls_ties_empty_tables(spark, docs_of):
     assert dc.decontaminated(docs_of(rows), bench.limit(0)).count() == 7
     assert dc.leaks(docs_of(rows).limit(0), bench).isEmpty()
     assert sorted(str(r["doc_id"]) for r in dc.decontaminated(docs_of(rows), bench).collect()) == ["1", "2", "4"]
+
+
+def test_evenly_edited_copies_are_found(spark, docs_of):
+    rng = random.Random(9)
+    fresh = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    items, docs = [], []
+    for n in (3, 4, 5, 8, 13, 24, 40, 60):
+        for every in (4, 5, 6):
+            for verbatim in (False, True):
+                item = fresh(n)
+                copies = [[f"x{rng.random()}" if j % every == every - 1 else w for j, w in enumerate(item)],
+                          [x for j, w in enumerate(item) for x in ([w, "added"] if j % every == every - 1 else [w])],
+                          [x for j, w in enumerate(item) for x in ([w, "added"] if j % 2 and j < n - 2 else [w])],  # no three words in a row
+                          [w for j, w in enumerate(item) if j % every != every - 1]]
+                for copy in [*copies, *[item] * verbatim]:
+                    docs.append((len(docs), " ".join(fresh(40) + copy + fresh(40))))
+                items.append((len(items), " ".join(item)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in dc.leaks(docs_of(docs), bench).collect()}
+    assert found == everything(docs, items)
+    assert len(found) > 150
