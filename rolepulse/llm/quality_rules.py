@@ -1,9 +1,9 @@
 r"""Quality rules: counts of a text, and a hashed n-gram log-likelihood ratio.
 
 Two multinomials over hashed n-grams are counted: the raw corpus (every document) and the
-trusted target (documents labelled good, a bounded sample of at most ``target_docs``). A
-document's ratio is the mean over its n-grams of log p_target - log p_raw; it is kept when
-its counts pass and the ratio is at least ``least_ratio``.
+trusted target (every document labelled good). A document's ratio is the mean over its n-grams
+of log p_target - log p_raw; it is kept when its counts pass and the ratio is at least
+``least_ratio``.
 
 Defined cases: a null or empty text has no words and fails the base rules; a text of fewer
 than three bytes and no word has ratio 0. Without labelled documents the target equals the
@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from rolepulse.llm.ngrams import BUCKETS, grams
 from rolepulse.llm.texts import by_rows, table, utf8, words
 
-#: Documents of the trusted target at most (those of the smallest hash of the id).
-TARGET_DOCS = 20_000
 #: Least mean log-likelihood ratio per n-gram, in nats.
 LEAST_RATIO = -0.4
 #: Added to each bucket of both multinomials.
@@ -74,12 +72,10 @@ def counts(text: bytes | None) -> tuple[int, int, int, int, int]:
     return (len(found), int(times @ _WORD_CHAR), int(times @ _SYMBOLS), repeated_lines(text), repeated_words(found))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, target_docs: int = TARGET_DOCS) -> np.ndarray:
+def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """log p_target - log p_raw of each bucket; 2 ** 16 sums are all that reaches the driver."""
-    good = (labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_docs).withColumn("trusted", F.lit(True)))
-    # at most target_docs ids are broadcast
-    flagged = docs.select("doc_id", "text").join(F.broadcast(good), "doc_id", "left").select("text", "trusted")
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("trusted", F.lit(True))
+    flagged = docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", "trusted")
 
     def count(batches):
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
