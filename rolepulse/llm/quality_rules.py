@@ -3,11 +3,13 @@ r"""Quality rules: counts of a text, and a hashed n-gram log-likelihood ratio.
 Two multinomials over hashed n-grams are counted: the raw corpus (every document) and the
 trusted target (every document labelled good). A document's ratio is the mean over its n-grams
 of log p_target - log p_raw; it is kept when its counts pass and the ratio is at least
-``least_ratio``.
+a threshold that follows the ratios of the trusted documents: as far below their first
+percentile as that is below their median.
 
 Defined cases: a null or empty text has no words and fails the base rules; a text of fewer
 than three bytes and no word has ratio 0. Without labelled documents the target equals the
-raw corpus, so that every ratio is 0 and only the base rules decide. Each row is judged by
+raw corpus, so that every ratio is 0 and only the base rules decide. With fewer than
+``LEAST_TRUSTED`` trusted documents that pass the base rules, the threshold is ``LEAST_RATIO``. Each row is judged by
 itself: repeated rows, and rows with a null id, get a row each. Other columns are ignored.
 """
 
@@ -19,10 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolepulse.llm.ngrams import BUCKETS, grams
-from rolepulse.llm.texts import by_rows, table, utf8, words
+from rolepulse.llm.texts import by_rows, stored, table, utf8, words
 
-#: Least mean log-likelihood ratio per n-gram, in nats.
+#: Least mean log-likelihood ratio per n-gram, in nats, where too few trusted documents show it.
 LEAST_RATIO = -0.4
+LEAST_TRUSTED = 100
+#: Steps a nat in which the ratios of the trusted documents are counted.
+STEPS = 1000
 #: Added to each bucket of both multinomials.
 SMOOTHING = 0.5
 LEAST_WORDS = 50
@@ -72,10 +77,14 @@ def counts(text: bytes | None) -> tuple[int, int, int, int, int]:
     return (len(found), int(times @ _WORD_CHAR), int(times @ _SYMBOLS), repeated_lines(text), repeated_words(found))
 
 
+def trusted(labels: DataFrame) -> DataFrame:
+    """The ids that are labelled good."""
+    return labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+
+
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """log p_target - log p_raw of each bucket; 2 ** 16 sums are all that reaches the driver."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("trusted", F.lit(True))
-    flagged = docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", "trusted")
+    flagged = docs.select("doc_id", "text").join(trusted(labels).withColumn("trusted", F.lit(True)), "doc_id", "left").select("text", "trusted")
 
     def count(batches):
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -119,6 +128,18 @@ def ruled(docs: DataFrame, ratios: np.ndarray, least_ratio: float = LEAST_RATIO)
     return docs.select("doc_id", "text").mapInArrow(by_rows(judge, RULED), fields)
 
 
+def least_ratio(rows: DataFrame, labels: DataFrame) -> float:
+    """The threshold by the ratios in ``rows``; a count for each step of the ratio is all that reaches the driver."""
+    good = rows.where("NOT base_failed").join(trusted(labels), "doc_id")
+    bins = good.groupBy(F.floor(F.col("ratio") * STEPS).alias("step")).agg(F.count("*").alias("n")).toArrow().sort_by("step")
+    step, upto = bins["step"].to_numpy(), np.cumsum(bins["n"].to_numpy())
+    if not len(upto) or upto[-1] < LEAST_TRUSTED:
+        return LEAST_RATIO
+    low, mid = (int(step[np.searchsorted(upto, share * upto[-1])]) for share in (0.01, 0.5))
+    return (2 * low - mid) / STEPS
+
+
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return ruled(docs, log_ratios(docs, table(spark, sf_dir, "labels")))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows = stored(ruled(docs, log_ratios(docs, labels)), "ratios")
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least_ratio(rows, labels)))

@@ -76,6 +76,28 @@ def test_verdicts_part_good_from_bad(spark, sf_dir):
     assert np.mean([r.predicted == r.quality for r in held]) >= 0.97
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_shares_kept_at_two_sizes(spark, sf_dir, sf):
+    sf = sf_dir.replace("sf0.001", sf)
+    rules = qr.op1_quality_rules(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("n_words >= 50").collect()
+    good, bad = [r.kept for r in rules if r.quality == 1 and not r.base_failed], [r.kept for r in rules if r.quality == 0]
+    assert np.mean(good) >= 0.999 and not any(bad)
+
+
+def test_threshold_follows_the_trusted_ratios(spark, docs_of, tmp_path):
+    rng = np.random.default_rng(2)
+    prose = lambda n: [f"word{i}" for i in rng.integers(0, 900, n)]
+    junk = lambda n: ["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(n)]
+    rows = [(i, " ".join(prose(200))) for i in range(600)] + [(1000 + i, " ".join(prose(175) + junk(25))) for i in range(60)]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, 0) for i in range(400)] + [(1000 + i, 0, 0) for i in range(60)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in qr.op1_quality_rules(spark, str(tmp_path)).collect()}
+    assert np.mean([got[i].kept for i in range(600)]) >= 0.99
+    bad = [got[1000 + i] for i in range(60)]
+    assert all(r.ratio > qr.LEAST_RATIO and not r.base_failed for r in bad) and not any(r.kept for r in bad)
+
+
 def test_classifier_on_odd_rows(spark, docs_of):
     docs = docs_of([(i, t) for i, t in enumerate(ODD)] + [(None, "x"), (2, "dup"), (2, "dup")])
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)] + [(None, 1, 1), (5, None, 0), (2, 7, 0)], "doc_id long, quality int, toxic int")
