@@ -10,10 +10,10 @@ connected component of the links; its id is its least doc_id.
 
 Documents of one word sequence are collapsed first. In a bucket of a band every member is
 compared with one centre, not with every other. Buckets whose members the links leave in
-different classes are gone through again: small ones pair by pair; larger ones are dealt out
-by a second band and a third (similar texts agree in one of the fifteen others with a
-probability of 0.9996), after that with one further centre of the rarest class a round, until
-nothing is left to compare. Hot buckets are only ever aggregated with partial sums, or joined
+different classes are gone through again: small ones pair by pair; the members of larger ones
+are dealt out by their rarest shingles, so many that similar texts share one of them, after
+that with further centres, twice as many a round, until nothing is left to compare. No pair
+that shares a band is lost. Hot buckets are only ever aggregated with partial sums, or joined
 on a key that adaptive execution splits.
 
 Defined cases: a text without a word (null, empty) and a row with a null id are linked to
@@ -37,8 +37,8 @@ SIMILAR = 0.8
 REGISTERS, BANDS = 64, 16
 #: Members of a bucket up to which a later round compares all pairs.
 SMALL = 64
-#: Further bands by which larger buckets are dealt out.
-LEVELS = 2
+#: Larger buckets are dealt out by shingles, unless this is 0.
+LEVELS = 1
 
 _hashes = WordHashes()
 
@@ -142,21 +142,41 @@ def one_row_each(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__place", place).where("__place = 1").drop("__place")
 
 
+def dealt(members: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """(key, doc_id): a bucket for each shingle; any two similar texts of ``members`` (doc_id) are in one together.
+
+    What a text holds besides the shingles of a similar one is at most 1 - ``least`` of its weight
+    (or of their number). So the first shingle that both have, rare ones first, comes in either
+    before more than that.
+    """
+    def split(batch):
+        for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+            h, weight = shingles(words(text))
+            yield from zip([doc_id] * len(h), h.view(np.int64).tolist(), (weight / weight.sum()).tolist(), [1 / len(h)] * len(h))
+
+    schema = pa.schema([("doc_id", pa.int64()), ("shingle", pa.int64()), ("weight", pa.float64()), ("part", pa.float64())])
+    each = texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
+        by_rows(split, schema), "doc_id long, shingle long, weight double, part double")
+    times = each.groupBy("shingle").agg(F.count("*").alias("times"))
+    before = Window.partitionBy("doc_id").orderBy("times", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    placed = each.join(times, "shingle").withColumns({c: F.coalesce(F.sum(c).over(before), F.lit(0.0)) for c in ("weight", "part")})
+    return placed.where((F.least("weight", "part") <= 1 - least + 1e-9) & (F.col("times") > 1)).select(F.col("shingle").alias("key"), "doc_id")
+
+
 def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """(node, least node) of all nodes that the links of ``nodes`` (doc_id and bands) put in a class of a smaller one."""
     bands = nodes.select("doc_id", F.array(*[f"b{i}" for i in range(BANDS)]).alias("bands"))
-    # a bucket: the exclusive or of the hashes of the bands that its members agree in, and the set of these bands
-    keys = bands.select("doc_id", F.posexplode("bands").alias("at", "key")).select("doc_id", "key", F.expr("shiftleft(1, at)").alias("used"))
+    keys = bands.select("doc_id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("u")).where("n > 1")
-    live = stored(keys.join(buckets, "key").select("key", "used", "doc_id", "u"), "buckets")
+    live = stored(keys.join(buckets, "key").select("key", "doc_id", "u"), "buckets")
     pairs = live.where("doc_id <> u").select("u", F.col("doc_id").alias("v")).distinct()
     needed = live.select("doc_id").distinct()
     texts = stored(one_row_each(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")), "candidate-texts")
     found = stored(verified(pairs, texts, least), "links")
-    live = live.where("doc_id <> u").select("key", "used", "doc_id")  # the centre has met all the others
-    labels, level = components(found), 0
+    live = live.where("doc_id <> u").select("key", "doc_id")  # the centre has met all the others
+    labels, level, centres = components(found), 0, SMALL
     while True:
-        named = live.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "used", "doc_id", F.coalesce("least", "doc_id").alias("label"))
+        named = live.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("least", "doc_id").alias("label"))
         sizes = named.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("doc_id").alias("one"))
         open_keys = (sizes.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("labels"), F.min(F.struct("n", "one")).alias("rarest"))
                      .where("labels > 1").select("key", "n", F.col("rarest.one").alias("u")))
@@ -167,14 +187,15 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR) -> DataFram
         other = few.select("key", F.col("doc_id").alias("u"), F.col("label").alias("u_label"))
         pairs = few.join(other, "key").where("label <> u_label AND u < doc_id").select("u", F.col("doc_id").alias("v"))
         level += 1
-        if level <= LEVELS:
-            finer = (many.select("key", "used", "doc_id").join(bands, "doc_id").select("doc_id", "key", "used", F.posexplode("bands").alias("at", "band"))
-                     .where("used & shiftleft(1, at) = 0").selectExpr("key ^ band AS key", "used | shiftleft(1, at) AS used", "doc_id").distinct())
-            live = stored(finer.join(finer.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key"), "finer-buckets")
+        if level == 1 and LEVELS:
+            live = stored(dealt(many, texts, least), "finer-buckets")
         else:
-            centre = many.where("doc_id = u").select("key", "u", F.col("label").alias("u_label"))
-            met = many.select("key", "doc_id", "label").join(centre, "key").where("label <> u_label").select("u", F.col("doc_id").alias("v"))
-            pairs, live = pairs.union(met), many.where("doc_id <> u").select("key", "used", "doc_id")
+            # the one of the rarest class, and about `centres` others
+            chosen = (F.col("doc_id") == F.col("u")) | (F.pmod(F.xxhash64("doc_id", F.lit(level)), F.ceil(F.col("n") / centres)) == 0)
+            centre = many.where(chosen).select("key", F.col("doc_id").alias("u"), F.col("label").alias("u_label"))
+            met = many.select("key", "doc_id", "label").join(centre, "key").where("label <> u_label").select(
+                F.least("u", "doc_id").alias("u"), F.greatest("u", "doc_id").alias("v"))
+            pairs, live, centres = pairs.union(met), many.where(~chosen).select("key", "doc_id"), 2 * centres
         more = stored(verified(pairs.distinct(), texts, least), "links")
         if not more.isEmpty():
             labels = components(labels.select(F.col("node").alias("u"), F.col("least").alias("v")).union(more))

@@ -69,6 +69,24 @@ def test_classes_equal_all_pairs(spark, docs_of, monkeypatch):
         assert all(r.class_id is None for r in got if r.doc_id is None)
 
 
+def test_pairs_of_one_shared_band_in_large_buckets(spark, docs_of, monkeypatch):
+    rng = random.Random(6)
+    fresh = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    passage, texts = fresh(60), []
+    for _ in range(40):
+        one = passage + " " + fresh(100)
+        texts += [one, one + " " + fresh(35)]  # 156 of 191 shingles
+    rows = list(enumerate([fresh(200), *texts]))  # the first centre is like none of them
+    nodes = spark.createDataFrame([(i, 7, *(100 * i + j + 1000 for j in range(1, nd.BANDS))) for i, _ in rows],
+                                  ", ".join(["doc_id long"] + [f"b{j} long" for j in range(nd.BANDS)]))
+    want = {i: least for i, least in brute(rows).items() if i != least}
+    assert len(want) == 40
+    for small, levels in ((64, nd.LEVELS), (8, nd.LEVELS), (8, 0)):
+        monkeypatch.setattr(nd, "SMALL", small)
+        monkeypatch.setattr(nd, "LEVELS", levels)
+        assert {r.node: r.least for r in nd.links(nodes, docs_of(rows)).collect()} == want
+
+
 def test_one_row_of_each_class_stays(spark, docs_of):
     rows = corpus(2) + [(None, "x"), (5, "again again"), (5, "again again")]
     docs = docs_of(rows)
