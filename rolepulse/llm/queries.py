@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rolepulse.llm.decontamination import op3_benchmark_decontamination
+from rolepulse.llm.filter_audit import OP13_SQL, op13_filter_audit
 from rolepulse.llm.html_text import op6_html_extraction
 from rolepulse.llm.near_dedup import op5_minhash_near_dedup
 from rolepulse.llm.packing import op2_packing
@@ -15,5 +16,5 @@ from rolepulse.llm.warc import op8_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_packing, op3_benchmark_decontamination, op4_url_filters, op5_minhash_near_dedup, op6_html_extraction,
-    op7_quality_classifier, op8_warc, op9_pii, op10_substring_dedup)}
-ORACLES: dict[str, str] = {}
+    op7_quality_classifier, op8_warc, op9_pii, op10_substring_dedup, op13_filter_audit)}
+ORACLES: dict[str, str] = {"op13_filter_audit": OP13_SQL}
