@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolepulse.operators.numbering import assign_sn, id_blocks
+from rolepulse.operators.numbering import assign_sn
 from rolepulse.operators.tableops import replace_into
-from rolepulse.session import materialise
 
 # ---- fixed values: columns, types and defaults of the role tables ------------
 ROLE_ACT_FLOW = {
@@ -46,9 +45,7 @@ def save_role_activity(target: DataFrame, roles: DataFrame, keys: tuple[str, ...
     rows = roles.select(*[F.col(a).cast(ROLE_ACT_FLOW[b]).alias(b) for a, b in columns.items()])
     if "id" in target.columns:
         last = target.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_last"))   # one row
-        # Numbering reads its input twice: keep the state instead of computing it twice.
-        rows = materialise(rows, "role_state")
-        numbered = assign_sn(rows, order=["roleid"], chunk=id_blocks("roleid"), name="id")
+        numbered = assign_sn(rows, order=["roleid"], name="id")
         rows = numbered.crossJoin(F.broadcast(last)).withColumn("id", F.col("id") + F.col("_last")).drop("_last")
     defaults = {c: F.lit(v) for c, v in ROLE_ACT_DEFAULTS.items()}
     return replace_into(target, rows, list(keys), defaults=defaults)
