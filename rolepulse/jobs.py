@@ -1,6 +1,6 @@
 """The three jobs a deployment runs, each from paths to paths.
 
-    python -m rolepulse.jobs ingest RAW FLOWS CHECKPOINT [--follow]
+    python -m rolepulse.jobs ingest RAW FLOWS CHECKPOINT [--follow] [--rolled]
     python -m rolepulse.jobs load FLOWS TABLES
     python -m rolepulse.jobs churn FLOWS OUT --as-of 2016-12-01
 """
@@ -20,14 +20,16 @@ from rolepulse.plans import training as T
 from rolepulse.sinks.flowtables import load_flow_tables
 from rolepulse.sources import flowfiles
 from rolepulse.sources.formatlog import TASK_ACTION
+from rolepulse.sources.manifest import manifest
 from rolepulse.streaming import ingest
 
 
 def load_job(spark: SparkSession, flows: str, tables: str, zones=VALID_ZONES) -> dict[str, str]:
-    """Flow files to flow tables, all seven types."""
-    present = {r["log_type"] for r in flowfiles.list_partitions(spark, flows).select("log_type").distinct().collect()}
+    """Flow files of either layout to flow tables, all seven types."""
+    files = manifest(spark, flows, zones)
+    present = files.types()
     wanted = [t for t in FLOW_FIELDS if t in present]
-    return load_flow_tables(lambda t: flowfiles.read_partitioned(spark, flows, [t], zones=zones), tables, wanted)
+    return load_flow_tables(lambda t: files.only(types=[t]).lines(), tables, wanted, zones)
 
 
 def churn_job(
@@ -63,6 +65,8 @@ def main() -> None:
     p.add_argument("--follow", action="store_true", help="keep running instead of stopping when caught up")
     p.add_argument("--file-name", default=RAW_FILE, help="name or glob of the raw files")
     p.add_argument("--zones", nargs="+", default=RAW_ZONES)
+    p.add_argument("--rolled", action="store_true", help="files are complete when they appear: read each as a whole")
+    p.add_argument("--idle", type=float, default=600.0, help="seconds after which a file's last line needs no line end")
     p.add_argument("--task-action", default=TASK_ACTION, help="regular expression of a task line's action")
     p = jobs.add_parser("load", help="flow files to numbered tables")
     p.add_argument("flows"), p.add_argument("tables"), p.add_argument("--zones", nargs="+", default=VALID_ZONES)
@@ -74,10 +78,13 @@ def main() -> None:
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"rolepulse-{args.job}").getOrCreate()
     if args.job == "ingest":
-        ingest.start_ingest(
-            spark, args.raw, args.flows, args.checkpoint, once=not args.follow, task_action=args.task_action,
-            file_name=args.file_name, zones=args.zones, on_batch=lambda n, counts: print(f"batch {n}: {counts}"),
-        ).awaitTermination()
+        options = dict(task_action=args.task_action, file_name=args.file_name, zones=args.zones, growing=not args.rolled, idle=args.idle)
+        if args.follow:
+            ingest.start_ingest(
+                spark, args.raw, args.flows, args.checkpoint, once=False, on_batch=lambda n, counts: print(f"batch {n}: {counts}"), **options,
+            ).awaitTermination()
+        else:
+            print(ingest.run_once(spark, args.raw, args.flows, args.checkpoint, **options))
     elif args.job == "load":
         load_job(spark, args.flows, args.tables, args.zones)
     else:

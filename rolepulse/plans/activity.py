@@ -48,10 +48,10 @@ def read_cohort(events: DataFrame, as_of: str | dt.date) -> DataFrame:
     # The range repeats what the subquery implies, so that it reaches the scan.
     created = in_range(events.where(F.col("log_type") == "createrole"), as_of).where(
         F.col("day") == cohort_day(events, as_of).scalar())
-    return _last_creation(created, "roleid")
+    return last_creation(created, "roleid")
 
 
-def _last_creation(created: DataFrame, *keys: str) -> DataFrame:
+def last_creation(created: DataFrame, *keys: str) -> DataFrame:
     last = lambda c: F.max_by(c, "ord").alias(c)
     return created.groupBy(*keys).agg(
         F.max_by("log_time", "ord").alias("create_time"), last("profession"), last("nation"))
@@ -76,7 +76,7 @@ def stored_cohort(events: DataFrame, as_of: str | dt.date) -> Cohort:
     members are then read from there. One date returns to the driver.
     """
     created = in_range(events.where(F.col("log_type") == "createrole"), as_of)
-    table = materialise(_last_creation(created, "day", "roleid"), "cohort")
+    table = materialise(last_creation(created, "day", "roleid"), "cohort")
     day = table.agg(F.min("day")).first()[0]
     return Cohort(table.where(F.col("day") == F.lit(day).cast("date")).drop("day"), day)
 

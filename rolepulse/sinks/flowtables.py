@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from rolepulse.layouts import FLOW_FIELDS, VALID_ZONES, check_type
 from rolepulse.operators.numbering import assign_sn
 from rolepulse.session import materialise
-from rolepulse.sources.flowfiles import loader_fields, typed, valid_zone
+from rolepulse.sources.flowfiles import loader_fields, typed
+from rolepulse.sources.manifest import row_of, split_of, valid_zone
 from rolepulse.sources.tables import table_path
 
 
@@ -44,8 +45,7 @@ def load_flow_table(
     # A chunk is one split of one file, so its size is bounded by the split size. Whole
     # files are kept or dropped above, so the line ids inside a split have no gaps.
     numbered = assign_sn(
-        staged, order=["ord"], chunk=[F.col("day"), *[F.col(f"ord.{c}") for c in ("batch", "part", "file", "block")]], scope=["zone"],
-        start=last_sn(spark, path), position=F.col("ord.row"),
+        staged, order=["ord"], chunk=[split_of(F.col("ord"))], scope=["zone"], start=last_sn(spark, path), position=row_of(F.col("ord")),
     )
     (
         numbered.select("sn", "log_time", *fields, "zone", "day").hint("rebalance", F.col("zone"), F.col("day"))
@@ -55,7 +55,7 @@ def load_flow_table(
 
 
 def load_flow_tables(
-    read: Callable[[str], DataFrame], root: str, types: Iterable[str] = tuple(FLOW_FIELDS)
+    read: Callable[[str], DataFrame], root: str, types: Iterable[str] = tuple(FLOW_FIELDS), zones: Iterable[str] = VALID_ZONES
 ) -> dict[str, str]:
-    """Load every wanted type, ``read`` giving its lines; returns type -> table path."""
-    return {t: load_flow_table(read(t), t, root) for t in types}
+    """Load every wanted type of some zones, ``read`` giving its lines; returns type -> table path."""
+    return {t: load_flow_table(read(t), t, root, zones) for t in types}

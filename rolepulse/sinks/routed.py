@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rolepulse.layouts import RAW_TYPES
-from rolepulse.sources.formatlog import SOURCE_ORDER, TASK_ACTION, flow_line, parse, with_path_fields
+from rolepulse.operators.numbering import BROADCAST_CHUNKS
+from rolepulse.sources.formatlog import SOURCE_ORDER, TASK_ACTION, flow_line, has_marker, parse, with_path_fields
+
+# Lines with a marker that one task parses, sorts and writes; a split is not cut.
+ROWS_PER_TASK = 2_000_000
 
 ROUTE = ("zone", "day", "log_type")
 
@@ -39,17 +43,47 @@ def write_routed_in_order(lines: DataFrame, order: str, path: str, batch: int =
     _write(lines.repartitionByRange(*keys).sortWithinPartitions(*keys), path, batch)
 
 
-def route_raw(lines: DataFrame, path: str, batch: int = 0, task_action: str = TASK_ACTION) -> dict[str, int]:
+def source_splits(lines: DataFrame) -> DataFrame:
+    """One row per split of the source: SOURCE_ORDER, lines ``n``, and ``marked`` ones that may match a pattern."""
+    return lines.groupBy(*SOURCE_ORDER).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(has_marker(F.col("value"))).alias("marked"))
+
+
+def in_source_order(lines: DataFrame, splits: DataFrame, rows_per_task: int, max_splits: int) -> tuple[DataFrame, int]:
+    """The marked lines, dealt out to tasks by whole splits in source order, and the number of all lines.
+
+    Only marked lines are shuffled. With more splits than can be copied to every executor, their
+    order is found by a range partitioning.
+    """
+    marked = lines.where(has_marker(F.col("value"))).withColumn("row", F.monotonically_increasing_id())
+    found = splits.limit(max_splits + 1).collect()
+    if len(found) > max_splits:
+        return marked.repartitionByRange(*SOURCE_ORDER, "row"), splits.agg(F.sum("n")).first()[0]
+    placed, before = [], 0
+    for r in sorted(found, key=lambda r: [r[c] for c in SOURCE_ORDER]):
+        placed.append((*[r[c] for c in SOURCE_ORDER], before // rows_per_task))
+        before += r["marked"]
+    tasks = max(1, -(-before // rows_per_task))
+    schema = ", ".join(f"{c} {splits.schema[c].dataType.simpleString()}" for c in SOURCE_ORDER)
+    task = lines.sparkSession.createDataFrame(placed, f"{schema}, task int")
+    dealt = marked.join(F.broadcast(task), list(SOURCE_ORDER)).repartitionById(tasks, F.least("task", F.lit(tasks - 1)))
+    return dealt.drop("task"), sum(r["n"] for r in found)
+
+
+def route_raw(
+    lines: DataFrame, path: str, batch: int = 0, task_action: str = TASK_ACTION, rows_per_task: int = ROWS_PER_TASK,
+    max_splits: int = BROADCAST_CHUNKS,
+) -> dict[str, int]:
     """Parse raw lines and write what matches as one batch; returns the lines read and written.
 
-    The raw lines are put in source order by a range partitioning before they are
-    parsed, so its sampling reads text only and the patterns run once per line. A task
-    then holds one stretch of the source, and files are numbered in source order.
+    A first pass counts the lines of each split and those with a marker of some kind. Only
+    these go through the exchange that puts whole splits in source order, so what is shuffled
+    follows the lines that match; the patterns run once per line, after it. Files are numbered in source order.
     """
-    read, written = Observation(), Observation()
+    written = Observation()
+    dealt, read = in_source_order(lines, source_splits(lines), rows_per_task, max_splits)
     order = [*SOURCE_ORDER, "row"]
-    placed = lines.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order)
-    parsed = with_path_fields(parse(placed.observe(read, F.count(F.lit(1)).alias("n")), task_action))
+    parsed = with_path_fields(parse(dealt, task_action))
     routed = routed_lines(parsed, *order).observe(written, F.count(F.lit(1)).alias("n"))
     _write(routed.sortWithinPartitions(*ROUTE, *order), path, batch)
-    return {"read": read.get["n"], "written": written.get["n"]}
+    return {"read": read or 0, "written": written.get["n"]}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolepulse.layouts import FLOW_FIELDS
+from rolepulse.layouts import FLOW_FIELDS, VALID_ZONES
 
 AS_OF = "2024-01-31"
 
@@ -56,7 +56,7 @@ def flow_events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
 
     money = value.cast("decimal(12,2)")
     base = e.select(
-        F.element_at(F.array(F.lit("1002"), F.lit("1004"), F.lit("1005")), (user % 3 + 1).cast("int")).alias("zone"),
+        F.element_at(F.array(*[F.lit(z) for z in VALID_ZONES]), (user % 3 + 1).cast("int")).alias("zone"),
         F.col("ts").cast("date").alias("day"),
         "log_type",
         eid.alias("ord"),

@@ -1,23 +1,22 @@
 """Flow files: one space-separated text file per zone, day and type.
 
-Two layouts are understood: the plain one, ``<root>/<zone>/<day>_<type>``, read
-through path globs, and the partitioned one this package writes,
-``<root>/batch=…/zone=…/day=…/log_type=…``, read with partition pruning.
+Two layouts are understood, and which files there are comes from a manifest of them: the plain
+one, ``<root>/<zone>/<day>_<type>``, whose files are read by name, and the partitioned one this
+package writes, ``<root>/batch=…/zone=…/day=…/log_type=…``, read with partition pruning.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolepulse.functions.text import name_date, name_type
+from rolepulse.functions.text import name_type
 from rolepulse.layouts import FLOW_FIELDS, RANGE_END, RANGE_START, REPLAY_ORDER, VALID_ZONES, check_type
-
-LINE_SCHEMA = "value string, zone string, day string, log_type string, ord struct<batch:bigint,part:bigint,file:string,block:bigint,row:bigint>"
+from rolepulse.sources.manifest import Manifest, list_files, manifest, valid_zone
 
 
 def as_date(day: str | dt.date) -> dt.date:
@@ -30,67 +29,29 @@ def day_range(as_of: str | dt.date, start: int = RANGE_START, end: int = RANGE_E
     return [(base + dt.timedelta(days=n)).isoformat() for n in range(start, end + 1)]
 
 
-def valid_zone(zone: Column, zones: Iterable[str] = VALID_ZONES) -> Column:
-    return zone.cast("string").isin(list(zones))
-
-
-def _line_order() -> Column:
-    # Batches and the parts of a batch are numbered in line order; the numbers are compared, not their text.
-    # Ids rise inside one split of a file, so (file, split start, id) is the line order of a file.
-    path = F.col("_metadata.file_path")
-    number = lambda pattern: F.coalesce(F.regexp_extract(path, pattern, 1).try_cast("bigint"), F.lit(0))
-    return F.struct(
-        number(r"/batch=(\d+)/").alias("batch"), number(r"/part-(\d+)[^/]*$").alias("part"), path.alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    ).alias("ord")
-
-
 def read_partitioned(
     spark: SparkSession, root: str, types: Iterable[str] | None = None, days: tuple[str, str] | None = None,
-    zones: Iterable[str] | None = None,
+    zones: Iterable[str] | None = None, files: Manifest | None = None,
 ) -> DataFrame:
     """Lines of the partitioned layout with zone, day, log_type and their line order.
 
-    Types, days (first and last) and zones are filtered here, before the line order
-    is added: no later filter could get past it and prune folders.
+    Types, days (first and last) and zones prune folders. ``files`` is the manifest of the root, if it is known.
     """
-    lines = spark.read.schema("value string, zone string, day string, log_type string").text(root)
-    if types is not None:
-        lines = lines.where(F.col("log_type").isin([check_type(t) for t in types]))
-    if days is not None:
-        lines = lines.where(F.col("day").between(*days))
-    if zones is not None:
-        lines = lines.where(valid_zone(F.col("zone"), zones))
-    return lines.select("value", "zone", "day", "log_type", _line_order())
+    wanted = (files or manifest(spark, root, zones)).only(zones, types, days)
+    return wanted.ordered(wanted.folders())
 
 
 def list_partitions(spark: SparkSession, root: str) -> DataFrame:
-    """zone, day, log_type of every file of the partitioned layout, from names only."""
-    return spark.read.format("binaryFile").load(root).select(
-        *[F.col(c).cast("string").alias(c) for c in ("zone", "day", "log_type")])
+    """zone, day, log_type of every flow file, from names only."""
+    return list_files(spark, root).select("zone", "day", "log_type")
 
 
 def read_plain(
     spark: SparkSession, root: str, days: Iterable[str], types: Iterable[str], zones: Iterable[str] = VALID_ZONES
 ) -> DataFrame:
-    """Lines of the plain layout. Files that do not exist are skipped."""
-    names = f"{{{','.join(days)}}}_{{{','.join(types)}}}"
-    try:
-        lines = spark.read.text(f"{root}/{{{','.join(zones)}}}/{names}")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], LINE_SCHEMA)
-    path = F.col("_metadata.file_path")
-    name = F.substring_index(path, "/", -1)
-    return lines.select(
-        "value",
-        F.element_at(F.split(path, "/"), -2).alias("zone"),
-        name_date(name).alias("day"),
-        name_type(name).alias("log_type"),
-        _line_order(),
-    )
+    """Lines of the plain layout on the given days. Files that do not exist are skipped."""
+    found = manifest(spark, root, zones).only(types=types)
+    return replace(found, files=found.files.where(F.col("day").isin(list(days)) & ~F.col("partitioned"))).lines()
 
 
 def scan_range(
@@ -107,14 +68,13 @@ def activity_inputs(
 ) -> tuple[DataFrame, DataFrame]:
     """Events from the first day with created roles to the end of the range, and the roles created on that day.
 
-    The day comes from the file names of the wanted zones alone; one date returns to the driver.
+    The root is listed once, whatever its layout. The day comes from the file names of the wanted
+    zones alone; one date returns to the driver.
     """
-    names = list_partitions(spark, root)
-    if zones is not None:
-        names = names.where(valid_zone(F.col("zone"), zones))
-    first = first_available_day(names, as_of).first()["day"] or ""
-    events = read_partitioned(spark, root, REPLAY_ORDER, (first, day_range(as_of)[-1] if first else ""), zones)
-    created = read_partitioned(spark, root, ["createrole"], (first, first), zones)
+    files = manifest(spark, root, zones)
+    first = first_available_day(files.files, as_of).first()["day"] or ""
+    events = files.only(types=REPLAY_ORDER, days=(first, day_range(as_of)[-1] if first else "")).lines()
+    created = files.only(types=["createrole"], days=(first, first)).lines()
     return typed_events(events), typed_events(created)
 
 
@@ -130,12 +90,7 @@ def first_available_day(
 
 def discover(spark: SparkSession, root: str, zones: Iterable[str] = VALID_ZONES) -> DataFrame:
     """Files per (zone, type) of the plain layout, sorted by name. Only file names are read."""
-    paths = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*_*").load(f"{root}/{{{','.join(zones)}}}")
-        .select("path")
-    )
-    return group_files(paths.select(F.element_at(F.split("path", "/"), -2).alias("zone"),
-                                    F.substring_index("path", "/", -1).alias("name")), zones)
+    return group_files(list_files(spark, root).where(~F.col("partitioned")).select("zone", "name"), zones)
 
 
 def group_files(files: DataFrame, zones: Iterable[str] = VALID_ZONES) -> DataFrame:
