@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolepulse.layouts import RAW_FILE, RAW_ZONES
+from rolepulse.sources.growing import read_growing
 
 # ---- fixed values: line patterns --------------------------------------------
 TIMESTAMP = r"(?:\d\d){1,2}-(?:0?[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]|[1-9])[T ](?:2[0-3]|[01]?\d):?[0-5]\d(?::?(?:[0-5]?\d|60)(?:[:.,]\d+)?)?(?:Z|[+-](?:2[0-3]|[01]?\d)(?::?[0-5]\d))?"
@@ -117,9 +118,12 @@ def _log_type(kind: Column) -> Column:
     return out
 
 
+ZONE_IN_PATH = f"(?:zone=)?({NUMBER})/(?:day=)?{DAY}"
+
+
 def path_zone(path: Column) -> Column:
     """Zone of a ``…/<zone>/<day>…`` path (plain or ``zone=``/``day=`` folders); '' if it does not match."""
-    return F.regexp_extract(path, f"(?:zone=)?({NUMBER})/(?:day=)?{DAY}", 1)
+    return F.regexp_extract(path, ZONE_IN_PATH, 1)
 
 
 def path_day(path: Column) -> Column:
@@ -134,7 +138,7 @@ def _raw_lines(lines: DataFrame, zones: Iterable[str]) -> DataFrame:
     path = F.col("_metadata.file_path")
     # A filter on the path alone: files of other zones are not opened.
     return lines.where(path_zone(path).isin(list(zones))).select(
-        "value", path.alias("path"), F.col("_metadata.file_modification_time").alias("modified"),
+        "value", path.alias("path"), F.unix_micros(F.col("_metadata.file_modification_time")).alias("modified"),
         F.col("_metadata.file_block_start").alias("block"))
 
 
@@ -150,13 +154,28 @@ def read_raw_stream(
     spark: SparkSession, path: str, max_files: int | None = None, file_name: str = RAW_FILE,
     zones: Iterable[str] = RAW_ZONES,
 ) -> DataFrame:
-    """The same as a stream. A file is read once, so the log writer must roll files."""
+    """The same as a stream of rolled files: a file is read once, as a whole."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", file_name)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return _raw_lines(reader.load(path), zones)
 
 
+def read_growing_stream(
+    spark: SparkSession, path: str, file_name: str = RAW_FILE, zones: Iterable[str] = RAW_ZONES, **options,
+) -> DataFrame:
+    """The same as a stream of the lines appended to files that grow (options of :func:`read_growing`)."""
+    return read_growing(spark, path, file_name, zones, ZONE_IN_PATH, **options)
+
+
+def has_marker(line: Column) -> Column:
+    """Whether some kind's marker occurs: a line without one matches no pattern."""
+    out = F.lit(False)
+    for spec in LINE_KINDS.values():
+        out = out | line.contains(spec.marker)
+    return out
+
+
 def _hits(lines: DataFrame, task_action: str, keep_unmatched: bool) -> DataFrame:
     # The generator evaluates the patterns once per line: filters and columns that
     # look at the result cannot be pushed below it and repeat the matching.
