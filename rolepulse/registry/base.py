@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rolepulse.layouts import FLOW_FIELDS, VALID_ZONES
+from rolepulse.layouts import FLOW_FIELDS, RAW_FILE, VALID_ZONES
 from rolepulse.plans.activity import Cohort, stored_cohort
 from rolepulse.session import work_path
 from rolepulse.sinks.flowtables import load_flow_table
+from rolepulse.sinks.plainfiles import first_lines, write_plain
 from rolepulse.sinks.routed import write_routed_in_order
 from rolepulse.sources.eventmap import AS_OF, flow_events, flow_of, flow_text, raw_lines
 from rolepulse.sources.flowfiles import read_partitioned
+from rolepulse.sources.growing import opened_store
 from rolepulse.sources.tables import read_flow_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,7 +38,7 @@ def query(name: str, sql: str | None = None):
 
 
 # Common table expressions: name -> (what it needs, body).
-_CTES: dict[str, tuple[tuple[str, ...], str]] = {
+CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "ev": ((), """
         SELECT *, CASE event_type WHEN 'signup' THEN 'createrole' WHEN 'click' THEN 'taskflow'
                     WHEN 'error' THEN 'death' WHEN 'view' THEN 'roleloginlogout'
@@ -156,15 +160,15 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
 _RECURSIVE = {"steps"}
 
 for _src, _tag in (("clean", ""), ("replayed", "_replay")):
-    _CTES[f"top{_tag}"] = ((_src, "firstday"), f"""
+    CTES[f"top{_tag}"] = ((_src, "firstday"), f"""
         SELECT max(taskid_sum) AS taskid_sum, max(inst_sum) AS inst_sum, max(online_sum) AS online_sum,
                max(day_act) AS day_act, max(killed_times) AS killed_times, max(killer_num) AS killer_num,
                max(diamond_revive_num) AS diamond_revive_num, max(near_levelup_time) AS near_levelup_time,
                greatest(max(ts), (SELECT CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) FROM firstday)) AS ts
         FROM {_src}""")
-    _CTES[f"labels_{_src}"] = ((_src, f"top{_tag}"), f"""
+    CTES[f"labels_{_src}"] = ((_src, f"top{_tag}"), f"""
         SELECT c.*, t.ts AS max_ts, t.ts - c.ts > 86400 AS is_lost FROM {_src} c, top{_tag} t""")
-    _CTES[f"feats_{_src}"] = ((f"labels_{_src}", f"top{_tag}"), f"""
+    CTES[f"feats_{_src}"] = ((f"labels_{_src}", f"top{_tag}"), f"""
         SELECT l.roleid, l.is_lost, CASE WHEN l.is_lost THEN 1.0 ELSE 0.0 END::DOUBLE AS label, """ + ", ".join(
         f"CASE WHEN t.{n} = 0 THEN 0.0 ELSE l.{n}::DOUBLE / t.{n} END AS {n}" for n in (
             "taskid_sum", "inst_sum", "online_sum", "day_act", "killed_times", "killer_num", "diamond_revive_num",
@@ -178,7 +182,7 @@ def sql(select: str, *needs: str) -> str:
     def visit(name: str) -> None:
         if name in order:
             return
-        for n in _CTES[name][0]:
+        for n in CTES[name][0]:
             visit(n)
         order.append(name)
 
@@ -188,7 +192,7 @@ def sql(select: str, *needs: str) -> str:
         return select
     head = "WITH RECURSIVE " if _RECURSIVE & set(order) else "WITH "
     kept = {n: "" if n in _RECURSIVE else "MATERIALIZED " for n in order}
-    return head + ",\n".join(f"{n} AS {kept[n]}({_CTES[n][1]})" for n in order) + "\n" + select
+    return head + ",\n".join(f"{n} AS {kept[n]}({CTES[n][1]})" for n in order) + "\n" + select
 
 
 def cohort_of(spark: SparkSession, sf_dir: str) -> Cohort:
@@ -218,20 +222,52 @@ def raw_root(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "rawlog", write)
 
 
+def grow(spark: SparkSession, sf_dir: str, root: str, turn: int, turns: int = 2) -> None:
+    """Append the next of ``turns`` equal pieces, which end inside of lines, to each raw log ``<root>/<zone>/<day>/world2.formatlog``."""
+    def append(keys, rows: pa.Table) -> pa.Table:
+        zone, day = (k.as_py() for k in keys)
+        text = "".join(f"{v}\n" for v in rows.sort_by("ord").column("value").to_pylist()).encode()
+        store, path = opened_store(f"{root}/{zone}/{day}/{RAW_FILE}")
+        store.create_dir(path.rpartition("/")[0], recursive=True)
+        with store.open_append_stream(path) as f:
+            f.write(text[len(text) * turn // turns:len(text) * (turn + 1) // turns])
+        return pa.table({"n": [len(text)]})
+
+    lines = raw_lines(flow_events(spark, sf_dir)).withColumn("day", F.col("day").cast("string"))
+    lines.groupBy("zone", "day").applyInArrow(append, "n bigint").agg(F.sum("n")).collect()
+
+
 # The raw text of the queries comes in part files of all three zones.
 RAW = {"file_name": "*", "zones": VALID_ZONES}
 
 
+def flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flow lines of all seven types rendered from all events."""
+    events = flow_events(spark, sf_dir)
+    out = None
+    for t in FLOW_FIELDS:
+        text = flow_text(flow_of(events, t), t)
+        out = text if out is None else out.unionByName(text)
+    return out
+
+
 def flow_root(spark: SparkSession, sf_dir: str) -> str:
-    """Flow files of all seven types rendered from all events."""
+    """Flow files of all seven types."""
+    return _once(spark, sf_dir, "flows", lambda path: write_routed_in_order(flow_lines(spark, sf_dir), "ord", path))
+
+
+def plain_root(spark: SparkSession, sf_dir: str) -> str:
+    """The same lines as plain files, ``<zone>/<day>_<type>``."""
+    return _once(spark, sf_dir, "plain", lambda path: write_plain(flow_lines(spark, sf_dir), "ord", path))
+
+
+def names_root(spark: SparkSession, sf_dir: str) -> str:
+    """The first line of each plain file; the names of zone 1005 lack the underscore."""
     def write(path: str) -> None:
-        events = flow_events(spark, sf_dir)
-        out = None
-        for t in FLOW_FIELDS:
-            text = flow_text(flow_of(events, t), t)
-            out = text if out is None else out.unionByName(text)
-        write_routed_in_order(out, "ord", path)
-    return _once(spark, sf_dir, "flows", write)
+        firsts = first_lines(flow_lines(spark, sf_dir).where("log_type <> 'instance'"), "ord")
+        write_plain(firsts.where("zone <> '1005'"), "ord", path)
+        write_plain(firsts.where("zone = '1005'"), "ord", path, separator="-")
+    return _once(spark, sf_dir, "names", write)
 
 
 def table_root(spark: SparkSession, sf_dir: str) -> str:
@@ -248,6 +284,6 @@ def loaded_table(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
 
 
 __all__ = [
-    "AS_OF", "END", "ORACLES", "QUERIES", "RAW", "START", "cohort_of", "flow_events", "flow_of", "flow_root", "flow_text",
-    "loaded_table", "query", "raw_lines", "raw_root", "sql", "table_root",
+    "AS_OF", "END", "ORACLES", "QUERIES", "RAW", "START", "cohort_of", "flow_events", "flow_lines", "flow_of", "flow_root", "flow_text", "grow",
+    "loaded_table", "names_root", "plain_root", "query", "raw_lines", "raw_root", "sql", "table_root",
 ]

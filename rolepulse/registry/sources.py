@@ -1,16 +1,18 @@
 """Queries: scans of raw logs, flow files and tables laid down from the events."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rolepulse.layouts import FLOW_FIELDS, REPLAY_ORDER
 from rolepulse.operators import numbering
 from rolepulse.plans import activity as A
 from rolepulse.registry.base import (
-    AS_OF, END, RAW, START, flow_events, flow_root, loaded_table, query, raw_root, sql, table_root,
+    AS_OF, END, RAW, START, flow_events, flow_root, loaded_table, names_root, plain_root, query, raw_root, sql, table_root,
 )
 from rolepulse.registry.state import STATE
 from rolepulse.sources import flowfiles, formatlog
 from rolepulse.sources.eventmap import flow_of
+from rolepulse.sources.manifest import manifest
 from rolepulse.sources.tables import read_flow_events
 
 _RAW_ROWS = """
@@ -35,10 +37,8 @@ def scan_formatlog_batch(spark, d):
       WHERE zone <> '1005')
     GROUP BY zone, log_type""", "fl"))
 def discover_flow_files(spark, d):
-    """Zone 1005 files lack the underscore and are skipped."""
-    sep = F.when(F.col("zone") == "1005", "-").otherwise("_")
-    names = flow_events(spark, d).select("zone", F.concat(F.col("day").cast("string"), sep, "log_type").alias("name"))
-    return flowfiles.group_files(names.distinct()).select(
+    """Written files; those of zone 1005 lack the underscore and are skipped."""
+    return flowfiles.discover(spark, names_root(spark, d)).select(
         "zone", "log_type", F.array_join("file_list", " ").alias("files"))
 
 
@@ -47,9 +47,10 @@ def discover_flow_files(spark, d):
            AS position
     FROM (SELECT DISTINCT zone, log_type, CAST(day AS VARCHAR) || '_' || log_type AS name FROM fl)""", "fl"))
 def sort_files(spark, d):
-    names = flow_events(spark, d).select("zone", F.concat_ws("_", F.col("day").cast("string"), "log_type").alias("name"))
-    return flowfiles.group_files(names.distinct()).select(
-        "zone", "log_type", F.posexplode("file_list").alias("position", "name"))
+    """Written files, placed by their rank in the manifest."""
+    files = manifest(spark, plain_root(spark, d)).files.where("log_type <> 'instance'")
+    place = F.row_number().over(Window.partitionBy("zone", "log_type").orderBy("rank")) - 1
+    return files.select("zone", "log_type", "name", place.alias("position"))
 
 
 @query("scan_flow_range", sql(f"""
@@ -96,6 +97,13 @@ def role_activity_from_flow_files(spark, d):
     return A.role_activity(events, AS_OF, replay=True, cohort=A.stored_cohort(created, AS_OF))
 
 
+@query("role_activity_from_plain_files", sql(f"SELECT {STATE} FROM replayed", "replayed"))
+def role_activity_from_plain_files(spark, d):
+    """The replay over ``<zone>/<day>_<type>`` files: all of them are listed once, those of the range are opened."""
+    events, created = flowfiles.activity_inputs(spark, plain_root(spark, d), AS_OF)
+    return A.role_activity(events, AS_OF, replay=True, cohort=A.stored_cohort(created, AS_OF))
+
+
 @query("role_activity_from_flow_tables", sql(f"SELECT {STATE} FROM replayed", "replayed"))
 def role_activity_from_flow_tables(spark, d):
     """The replay over loaded tables, where the line order is the running number."""
@@ -149,4 +157,4 @@ def load_flow_tables(spark, d):
     "fl"))
 def assign_sn(spark, d):
     deaths = flow_of(flow_events(spark, d, "death"), "death").select("ord", "zone")
-    return numbering.assign_sn(deaths, order=["ord"], chunk=numbering.id_blocks("ord", 1024), scope=["zone"])
+    return numbering.assign_sn(deaths, order=["ord"], scope=["zone"])

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from rolepulse.registry.base import RAW, query, raw_root, sql
+from rolepulse.layouts import VALID_ZONES
+from rolepulse.registry.base import RAW, grow, query, raw_root, sql
 from rolepulse.registry.parsing import _FLOW_LINE
 from rolepulse.registry.sources import _RAW_ROWS
 from rolepulse.session import work_path
@@ -58,12 +59,25 @@ def replay_from_start(spark, d):
 
 @query("scan_formatlog_stream", sql(_RAW_ROWS, "fl"))
 def scan_formatlog_stream(spark, d):
-    """The streaming scan, its records kept as a table."""
+    """The streaming scan of growing files, its records kept as a table: two runs, between them the files grow."""
     out = work_path(spark, "scan")
-    rows = formatlog.with_path_fields(formatlog.parse(formatlog.read_raw_stream(spark, raw_root(spark, d), **RAW)))
-    rows = rows.select("zone", "day", "log_type", F.col("log_time").try_cast("timestamp_ntz").alias("log_time"),
-                       F.col("roleid").try_cast("bigint").alias("roleid"))
-    q = (rows.writeStream.format("parquet").option("checkpointLocation", out + "-checkpoint")
-         .trigger(availableNow=True).start(out))
-    q.awaitTermination()
+    for turn in range(2):
+        grow(spark, d, f"{out}-raw", turn)
+        lines = formatlog.read_growing_stream(spark, f"{out}-raw", zones=VALID_ZONES)
+        rows = formatlog.with_path_fields(formatlog.parse(lines))
+        rows = rows.select("zone", "day", "log_type", F.col("log_time").try_cast("timestamp_ntz").alias("log_time"),
+                           F.col("roleid").try_cast("bigint").alias("roleid"))
+        q = (rows.writeStream.format("parquet").option("checkpointLocation", out + "-checkpoint")
+             .trigger(availableNow=True).start(out))
+        q.awaitTermination()
     return spark.read.schema(rows.schema).parquet(out)
+
+
+@query("stream_growing_files", sql(_ROUTED, "fl"))
+def stream_growing_files(spark, d):
+    """The whole ingest of growing files in three runs; every run finds files that end inside of a line."""
+    out = work_path(spark, "growing")
+    for turn in range(3):
+        grow(spark, d, f"{out}-raw", turn, 3)
+        ingest.run_once(spark, f"{out}-raw", out, out + "-checkpoint", zones=VALID_ZONES, growing=True)
+    return _back(spark, out)
