@@ -224,7 +224,7 @@ def raw_root(spark: SparkSession, sf_dir: str) -> str:
 
 def grow(spark: SparkSession, sf_dir: str, root: str, turn: int, turns: int = 2) -> None:
     """Append the next of ``turns`` equal pieces, which end inside of lines, to each raw log ``<root>/<zone>/<day>/world2.formatlog``."""
-    def append(keys, rows: pa.Table) -> pa.Table:
+    def append(keys, rows):
         zone, day = (k.as_py() for k in keys)
         text = "".join(f"{v}\n" for v in rows.sort_by("ord").column("value").to_pylist()).encode()
         store, path = opened_store(f"{root}/{zone}/{day}/{RAW_FILE}")
