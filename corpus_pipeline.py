@@ -19,7 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
+    """One row of each class of near copies."""
     return near_dedup.deduplicated(docs)
 
 
@@ -34,7 +34,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in the training sequences."""
+    """Where each piece of each row lies in the training sequences."""
     return packing.packed(docs)
 
 
