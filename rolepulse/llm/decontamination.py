@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-A passage of a document is aligned with an item, word by word: a match counts 1, a replaced,
+A passage of a text is aligned with an item, word by word: a match counts 1, a replaced,
 added or missing word -1. The score is the best local alignment divided by the words of the
-item; from 0.5 on the document leaks the item. Words are compared in lower case without ASCII
+item; from 0.5 on the text leaks the item. Words are compared in lower case without ASCII
 punctuation.
 
 The seeds lose no leak. An alignment of m matches and e errors has at most e + 1 runs of
@@ -182,7 +182,7 @@ _LEAK = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """A row for each document and item that it leaks: the score, and the words of the best passage."""
+    """A row for each row and item that it leaks: the score, and the words of the best passage."""
     out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, start long, n_words long")
     for block in blocks(benchmark):
         block.keep_rare(counted(docs, block), least)

@@ -1,6 +1,6 @@
 """Near-duplicates: ProbMinHash signatures of weighted shingles, banding, verification.
 
-A document is the set of its five-word shingles, weighted 1 + ln(times). Every shingle is a
+A text is the set of its five-word shingles, weighted 1 + ln(times). Every shingle is a
 Poisson process whose arrivals fall on random registers; a register keeps the shingle that
 arrives first, so that two signatures agree in a register with the probability Jaccard
 similarity. A process ends once it is later than every register. Signatures are cut into
@@ -18,7 +18,7 @@ on a key that adaptive execution splits.
 
 Defined cases: a text without a word (null, empty) and a row with a null id are linked to
 nothing; the first is its own class, the second has the class null. A text of fewer than five
-words is one shingle. Rows of one doc_id are one document. Other columns are ignored.
+words is one shingle. Rows of one doc_id are one record. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Packing: documents into sequences of at most 2048 tokens, by cutting stock.
 
-A document is cut into whole sequences and a remainder. Remainders fall into classes of
+A text is cut into whole sequences and a remainder. Remainders fall into classes of
 their length (a class is ``GRAIN`` tokens wide, rounded up); the histogram of the classes,
 at most 256 numbers, goes to the driver, where column generation solves the linear program
 over its patterns. A remainder of more than half a sequence may be cut once more, into a half
@@ -114,7 +114,7 @@ def powers(length: int) -> list[tuple[int, int]]:
 
 
 def cut(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Pieces of each document with chunk, class and place; a remainder also has its parts of powers of two, and the checksum beyond half a sequence."""
+    """Pieces of each row with chunk, class and place; a remainder also has its parts of powers of two, and the checksum beyond half a sequence."""
 
     def pieces(batches):
         chunk, seen = TaskContext.get().partitionId(), {}

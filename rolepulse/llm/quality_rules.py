@@ -1,7 +1,7 @@
 r"""Quality rules: counts of a text, and a hashed n-gram log-likelihood ratio.
 
-Two multinomials over hashed n-grams are counted: the raw corpus (every document) and the
-trusted target (every document labelled good). A document's ratio is the mean over its n-grams
+Two multinomials over hashed n-grams are counted: the raw corpus (every text) and the
+trusted target (every text labelled good). A text's ratio is the mean over its n-grams
 of log p_target - log p_raw; it is kept when its counts pass and the ratio is at least
 a threshold that follows the ratios of the trusted documents: as far below their first
 percentile as that is below their median.

@@ -111,7 +111,7 @@ def _digest(kept: list[bytes]) -> str:
 
 
 def touched(keyed: DataFrame, found: DataFrame, marks: DataFrame) -> DataFrame:
-    """Each document with its recurring contexts; one without any keeps all its words, and its text is left out."""
+    """Each row with its recurring contexts; one without any keeps all its words, and its text is left out."""
     # contexts that hold a thousandth of all rows are a thousand at most: they are broadcast, so that no task gets all rows of one
     hot = marks.where(F.col("n") * 1000 >= found.count())
     cold = found.join(F.broadcast(hot.select("anchor", "context")), ["anchor", "context"], "left_anti")

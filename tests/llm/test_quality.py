@@ -60,7 +60,7 @@ def test_ratio_is_the_mean_of_log_ratios(spark, docs_of):
     assert np.allclose(qr.log_ratios(docs, labels), want)
 
 
-def test_every_good_document_counts_for_the_target(spark, docs_of):
+def test_every_good_text_counts_for_the_target(spark, docs_of):
     docs = docs_of([(i, f"word{i} of {i % 7}") for i in range(20_400)])
     labels = spark.range(20_400).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
     assert not qr.log_ratios(docs, labels.union(labels)).any()  # all are good: the target is the corpus
