@@ -1,8 +1,8 @@
 r"""URL filter: rules first, then a path-template tree per host with smoothed labelled purity.
 
-A url's host and path are those of the registered query's contract. A path is at most ``DEPTH``
-segments and one wildcard for what follows; digits become ``{n}``, long hexadecimal runs
-``{h}``. Going down the tree of a host, a segment with many values of few pages each becomes
+A url's host and path are those of the registered query's contract. The tree has ``DEPTH`` levels
+everywhere, and goes on below every branch that still has labels of both kinds, as deep as its paths
+are; one wildcard stands for what follows. Digits become ``{n}``, long hexadecimal runs ``{h}``. Going down the tree of a host, a segment with many values of few pages each becomes
 the wildcard ``*``; of siblings with labels, those whose share of bad pages does not differ
 from the share of all (two-sided test at 95 %) are merged into the branch ``~``. A template
 is rejected if its share of bad pages, smoothed towards the share of the same template over
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from rolepulse.llm.texts import stored, table
 
+#: Levels of the tree below branches whose labels agree.
 DEPTH = 4
 #: A segment varies if it has more values than MANY, of fewer than FEW pages on average.
 MANY, FEW = 20, 4
@@ -77,12 +78,21 @@ def longest(rules: tuple[Rule, ...], value: str) -> Column:
     return out
 
 
+#: A run of hexadecimal digits and hyphens; one that is an identifier, from its hyphen before the first digit on.
+#: Without backtracking into what was taken, so that both are linear in the length of a segment.
+_RUNS = r"[0-9A-Fa-f-]++|[^0-9A-Fa-f-]++"
+_IDENTIFIER = r"^((?:[A-Fa-f-]*-)?)[A-Fa-f]*+[0-9][0-9-]*+[A-Fa-f][0-9A-Fa-f-]{6,}+$"
+
+
+def generalised(segment: Column) -> Column:
+    """A segment with ``{h}`` for runs that hold a digit, later a letter, and at least six more, and ``{n}`` for other digits."""
+    runs = F.transform(F.regexp_extract_all(segment, F.lit(_RUNS), F.lit(0)), lambda r: F.regexp_replace(r, _IDENTIFIER, "$1{h}"))
+    return F.regexp_replace(F.when(F.length(segment) < 8, segment).otherwise(F.array_join(runs, "")), "[0-9]+", "{n}")
+
+
 def segments(path: Column) -> Column:
-    """The segments of a path with ``{n}`` and ``{h}``; those beyond DEPTH become one wildcard."""
-    plain = F.filter(F.split(path, "/"), lambda s: s != "")
-    shown = F.transform(F.slice(plain, 1, DEPTH), lambda s: F.regexp_replace(
-        F.regexp_replace(s, "(?i)[0-9a-f]*[0-9][0-9a-f-]*[a-f][0-9a-f-]{6,}", "{h}"), "[0-9]+", "{n}"))
-    return F.when(F.size(plain) > DEPTH, F.concat(shown, F.array(F.lit("**")))).otherwise(shown)
+    """The generalised segments of a path."""
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), generalised)
 
 
 _SUMS = ("n", "labelled", "bad")
@@ -94,9 +104,13 @@ def _sums(*names: str) -> list[Column]:
 
 def templates(keys: DataFrame) -> DataFrame:
     """``keys`` (host, segments, n, labelled, bad) with the ``template`` of each."""
-    tree = stored(keys.withColumn("template", F.array().cast("array<string>")), "url-tree")
-    for depth in range(1, DEPTH + 1):
-        here = tree.withColumn("segment", F.get("segments", F.lit(depth - 1)))
+    tree = stored(keys.withColumns({"template": F.array().cast("array<string>"), "goes_on": F.lit(True)}), "url-tree")
+    depth = 0
+    while True:
+        depth += 1
+        here = tree.withColumn("segment", F.when(F.col("goes_on"), F.get("segments", F.lit(depth - 1))))
+        if depth > DEPTH and here.where("segment IS NOT NULL").isEmpty():
+            break
         branches = stored(here.where("segment IS NOT NULL").groupBy("host", "template", "segment").agg(*_sums()), "url-branches")
         pool = branches.groupBy("host", "template").agg(
             F.count("*").alias("values"), F.sum("n").alias("pages"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
@@ -107,9 +121,15 @@ def templates(keys: DataFrame) -> DataFrame:
         named = branches.join(pool, ["host", "template"]).select(
             "host", "template", "segment", F.when(varies, "*").when(alike, "~").otherwise(F.col("segment")).alias("branch"))
         step = F.when(F.col("branch").isNull(), F.col("template")).otherwise(F.concat("template", F.array("branch")))
-        tree = stored(here.join(named, ["host", "template", "segment"], "left").select("host", "segments", *_SUMS, step.alias("template")), "url-tree")
-    beyond = F.size("segments") > DEPTH
-    return tree.withColumn("template", F.when(beyond, F.concat("template", F.array(F.lit("**")))).otherwise(F.col("template")))
+        tree = here.join(named, ["host", "template", "segment"], "left").select("host", "segments", *_SUMS, step.alias("template"))
+        if depth < DEPTH:
+            tree = stored(tree.withColumn("goes_on", F.lit(True)), "url-tree")
+        else:
+            tree = stored(tree, "url-tree")
+            mixed = tree.groupBy("host", "template").agg((F.sum("bad").between(1, F.sum("labelled") - 1)).alias("goes_on"))
+            tree = stored(tree.join(mixed, ["host", "template"]), "url-tree")
+    beyond = F.size("segments") > F.size("template")
+    return tree.drop("goes_on").withColumn("template", F.when(beyond, F.concat("template", F.array(F.lit("**")))).otherwise(F.col("template")))
 
 
 def purity(tree: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
@@ -29,11 +30,16 @@ def plain(rows):
     for page, url in rows:
         host, path = parts(url)
         found = [s for s in path.split("/") if s]
-        segments = [re.sub("[0-9]+", "{n}", re.sub("(?i)[0-9a-f]*[0-9][0-9a-f-]*[a-f][0-9a-f-]{6,}", "{h}", s)) for s in found[:uf.DEPTH]]
-        pages.append({"id": page, "host": host, "path": path, "rule": rule_of(host, path), "segments": segments, "more": len(found) > uf.DEPTH, "t": ()})
-    for depth in range(uf.DEPTH):
+        segments = [re.sub("[0-9]+", "{n}", re.sub("(?i)[0-9a-f]*[0-9][0-9a-f-]*[a-f][0-9a-f-]{6,}", "{h}", s)) for s in found]
+        pages.append({"id": page, "host": host, "path": path, "rule": rule_of(host, path), "segments": segments, "t": ()})
+    for depth in range(max((len(p["segments"]) for p in pages), default=0)):
         branches = defaultdict(lambda: defaultdict(lambda: [0, 0, 0]))
-        here = [p for p in pages if len(p["segments"]) > depth]
+        mixed = defaultdict(set)
+        for p in pages:
+            mixed[p["host"], p["t"]].add(p["rule"][1])
+        here = [p for p in pages if len(p["segments"]) > depth == len(p["t"]) and (depth < uf.DEPTH or {"allow", "block"} <= mixed[p["host"], p["t"]])]
+        if not here:
+            break
         for p in here:
             c = branches[p["host"], p["t"]][p["segments"][depth]]
             c[0] += 1
@@ -53,7 +59,7 @@ def plain(rows):
         for p in here:
             p["t"] = p["next"]
     for p in pages:
-        p["t"] += ("**",) * p["more"]
+        p["t"] += ("**",) * (len(p["segments"]) > len(p["t"]))
     labels = [(p["host"], p["t"], p["rule"][1] == "block") for p in pages if p["rule"][1]]
     prior = (sum(x[2] for x in labels) + 1) / (len(labels) + 2)
     all_n, all_bad = Counter(t for _, t, _ in labels), Counter(t for _, t, b in labels if b)
@@ -94,3 +100,37 @@ def test_edges(spark):
     assert found(spark, [(1, "http://a.org/x"), (2, None)]) == plain([(1, "http://a.org/x"), (2, None)])
     empty = spark.createDataFrame([], "page_id long, url string")
     assert uf.judged(empty).count() == 0
+
+
+def test_a_later_segment_decides(spark, monkeypatch):
+    """Labels that differ in the fifth or seventh segment only part the templates there; where they agree, the tree ends."""
+    rules = (uf.Rule("block", "a.com", "/p/q/r/s/bad/"), uf.Rule("allow", "a.com", "/p/q/r/s/good/"),
+             uf.Rule("block", "a.com", "/p/q/r/s/mixed/w/bad"), uf.Rule("allow", "a.com", "/p/q/r/s/mixed/w/good"))
+    monkeypatch.setattr(uf, "RULES", rules)
+    monkeypatch.setattr(uf.judged, "__defaults__", (rules,))
+    rows = [(i, f"http://a.com/p/q/r/s/{('bad/y/z', 'good/y', 'mixed/w/bad', 'mixed/w/good', 'mixed/other')[i % 5]}") for i in range(60)]
+    rows += [(100 + i, f"http://a.com/{p}") for i, p in enumerate(("p/q/r/s/bad", "p/q/r/s/new", "o/q/r/s/t", "p"))]
+    got = found(spark, rows)
+    assert got == plain(rows)
+    for end in ("/s/bad/**", "/s/good/**", "/~/~/bad", "/~/~/good", "/o/q/r/s/**"):
+        assert any(r[5].endswith(end) for r in got), end
+
+
+def test_long_segments_take_linear_time(spark):
+    """Seconds, not hours: 100,000 digits, letters, hyphens, and mixtures that nearly match."""
+    n = 100_000
+    odd = ["1" * n, "a" * n, "-" * n, "1-" * n, "a-" * n, "1" * n + "a", "1" * n + "abcdef0", "a-" * n + "1f234567", "1a" * n, "x1" * n]
+    rows = [(i, f"http://a.com/{s}/b") for i, s in enumerate(odd)]
+    began = time.time()
+    got = found(spark, rows)
+    assert time.time() - began < 60
+    assert {r[0]: r[5].split("/")[1] for r in got}[0] == "{n}" and {r[0]: r[5].split("/")[1] for r in got}[7] == "a-" * n + "{h}"
+
+
+def test_generalised_segments(spark):
+    """As a pattern that backtracks says it."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("0a-fxB9") for _ in range(rng.randrange(24))) for _ in range(3000)] + ["", "deadbeef0123abcd", "2024-01-02", "a-1b-ABCDEF-0", "ab1c23456é1c234567"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = [re.sub("[0-9]+", "{n}", re.sub("(?i)[0-9a-f]*[0-9][0-9a-f-]*[a-f][0-9a-f-]{6,}", "{h}", t)) for t in texts]
+    assert [r.g for r in df.select(uf.generalised(F.col("t")).alias("g")).collect()] == want
