@@ -9,7 +9,9 @@ the words in the 48 code points before the span, reaches ``LEAST_SCORE``.
 Defined cases: a null text is empty, an empty text has no spans (the hash is that of the empty
 string). Repeated rows, and rows with a null id, get a row each; other columns are ignored, or
 kept as they are by :func:`redacted`. Spans of different kinds may overlap; redaction replaces
-what they cover together by the label of the first.
+what they cover together by the label of the first. Texts may be of any length and hold any number
+of spans: no pattern recurses or goes back over what it took, and positions are running sums over
+blocks of spans.
 """
 
 from __future__ import annotations
@@ -42,13 +44,13 @@ class Kind:
 _LOCAL = r"[A-Za-z0-9._%+-]"
 # Possessive, and starting at the start of a run only, the patterns match what the plain ones match, in linear time.
 KINDS = (
-    Kind("email", "@", rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+", 0.9, r"mail|contact|write"),
+    Kind("email", "@", rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.9, r"mail|contact|write"),
     Kind("ip", r"[0-9]\.[0-9]+\.[0-9]", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", 0.6, r"\bip\b|address|host|server|login"),
     Kind("card", r"[0-9](?:[ -]?[0-9]){11}", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}(?![ -]?[0-9])", 0.6, r"card|visa|credit|pay|konto"),
     Kind("phone", r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]", 0.5, r"phone|call|tel|mobile|fax"),
     Kind("iban", r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", 0.6, r"iban|account|bank|konto"),
     Kind("ssn", r"[0-9]-[0-9]{2}-[0-9]", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.3, r"ssn|social"),
-    Kind("secret", r"[A-Za-z0-9_]{32}", r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{32,128}+(?![A-Za-z0-9_])", 0.2, r"token|key|secret|passw"),
+    Kind("secret", r"[A-Za-z0-9_]{32}", r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{32,}+(?![A-Za-z0-9_])", 0.2, r"token|key|secret|passw"),
 )
 #: A part of an address, at most 255, leading zeros allowed.
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -87,24 +89,51 @@ def confirmed(name: str, found: Column) -> Column:
     return F.lit(True)
 
 
+def _running(numbers: Column) -> Column:
+    """Sums of the first one, two, three, ... of a short array."""
+    return F.aggregate(numbers, F.array().cast("array<int>"), lambda a, x: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + x)))
+
+
+def running_sums(numbers: Column, block: int = 256) -> Column:
+    """Sums of the first one, two, three, ... of an array of any length: inside blocks, then over their sums."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(numbers) - 1, F.lit(0)), F.lit(block))
+    blocks = F.transform(starts, lambda at: _running(F.slice(numbers, at + 1, F.lit(block))))
+    before = F.concat(F.array(F.lit(0)), _running(F.transform(blocks, lambda b: F.coalesce(F.try_element_at(b, F.lit(-1)), F.lit(0)))))
+    # One-element transforms name what is computed once.
+    return F.get(F.transform(F.array(F.struct(blocks.alias("b"), before.alias("s"))), lambda x: F.flatten(
+        F.transform(x["b"], lambda b, i: F.transform(b, lambda v: v + F.get(x["s"], i))))), F.lit(0))
+
+
+#: So many matches back, at least, lie the CONTEXT_CHARS before a span.
+_BACK = 10
+
+
 def proposed(text: Column, order: int, kind: Kind) -> Column:
-    """Spans of a kind: start, order of the kind, end (code points, end exclusive), kind, found text."""
+    """Spans of a kind: start, order of the kind, end (code points, end exclusive), kind, found text, and what stands before it."""
     pattern = F.lit(rf"(?s)\G(.*?)({kind.pattern})")
-    steps = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
-    ends = F.aggregate(steps, F.array().cast("array<int>"), lambda a, x: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + x)))
-    pairs = F.arrays_zip(ends.alias("end"), F.regexp_extract_all(text, pattern, F.lit(2)).alias("found"))
-    spans = F.transform(pairs, lambda p: F.struct(
-        (p["end"] - F.length(p["found"])).alias("start"), F.lit(order).alias("order"), p["end"].alias("end"), F.lit(kind.name).alias("kind"), p["found"].alias("found")))
-    nothing = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,found:string>>")
+    matched = F.struct(*[F.regexp_extract_all(text, pattern, F.lit(i)).alias(n) for i, n in enumerate(("whole", "gap", "found"))])
+
+    def all_spans(m: Column) -> Column:
+        ends = running_sums(F.transform(m["whole"], F.length))
+        rows = F.arrays_zip(ends.alias("end"), m["gap"].alias("gap"), m["found"].alias("found"))
+
+        def one(p: Column, i: Column) -> Column:
+            last = F.greatest(i - _BACK, F.lit(0))
+            ahead = F.when(F.length(p["gap"]) >= CONTEXT_CHARS, p["gap"]).otherwise(F.concat(F.array_join(F.slice(m["whole"], last + 1, i - last), ""), p["gap"]))
+            return F.struct((p["end"] - F.length(p["found"])).alias("start"), F.lit(order).alias("order"), p["end"].alias("end"),
+                            F.lit(kind.name).alias("kind"), p["found"].alias("found"), F.right(ahead, F.lit(CONTEXT_CHARS)).alias("ahead"))
+
+        return F.transform(rows, one)
+
+    spans = F.get(F.transform(F.array(matched), all_spans), F.lit(0))
+    nothing = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,found:string,ahead:string>>")
     return F.when(F.contains(text, F.lit("@")) if kind.hint == "@" else text.rlike(kind.hint), spans).otherwise(nothing)
 
 
-def scored(text: Column, spans: Column, kind: Kind) -> Column:
+def scored(spans: Column, kind: Kind) -> Column:
     """Confirmed spans with a score between 0 and 1."""
     def with_score(s: Column) -> Column:
-        ahead = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        context = F.lower(F.substring(text, ahead + 1, s["start"] - ahead))
-        score = F.least(F.lit(kind.score) + F.when(context.rlike(kind.near), CONTEXT_BONUS).otherwise(0.0), F.lit(1.0))
+        score = F.least(F.lit(kind.score) + F.when(F.lower(s["ahead"]).rlike(kind.near), CONTEXT_BONUS).otherwise(0.0), F.lit(1.0))
         return F.struct(s["start"], s["order"], s["end"], s["kind"], F.round(score, 2).alias("score"))
 
     return F.transform(F.filter(spans, lambda s: confirmed(kind.name, s["found"])), with_score)
@@ -117,7 +146,7 @@ def found_in(docs: DataFrame, spans: str = "spans") -> DataFrame:
     for i, (name, kind) in enumerate(zip(own, KINDS)):
         out = out.withColumn(name, proposed(text, i, kind))
     for i, (name, kind) in enumerate(zip(own, KINDS)):
-        good = scored(text, F.col(name), kind)
+        good = scored(F.col(name), kind)
         out = out.withColumn(name, good if i < BASE_KINDS else F.filter(good, lambda s: s["score"] >= LEAST_SCORE))
     return out.withColumn(spans, F.array_sort(F.concat(*own))).drop(*own)
 
