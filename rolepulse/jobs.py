@@ -24,12 +24,16 @@ from rolepulse.sources.manifest import manifest
 from rolepulse.streaming import ingest
 
 
-def load_job(spark: SparkSession, flows: str, tables: str, zones=VALID_ZONES) -> dict[str, str]:
-    """Flow files of either layout to flow tables, all seven types."""
+def load_job(spark: SparkSession, flows: str, tables: str, zones=VALID_ZONES, run: str | None = None) -> dict[str, str]:
+    """Flow files of either layout to flow tables, all seven types.
+
+    A load is named by ``run``, or else by the files it reads: repeated as it was, it only does what is
+    not done yet.
+    """
     files = manifest(spark, flows, zones)
     present = files.types()
     wanted = [t for t in FLOW_FIELDS if t in present]
-    return load_flow_tables(lambda t: files.only(types=[t]).lines(), tables, wanted, zones)
+    return load_flow_tables(lambda t: files.only(types=[t]).lines(), tables, wanted, zones, run or files.fingerprint())
 
 
 def churn_job(
@@ -51,9 +55,7 @@ def churn_job(
         "features": features,
         "lost_rate": write_version(C.lost_rate(features, cohort.roles), f"{out}/lost_rate"),
         "class_feature_stats": write_version(C.class_feature_stats(features, names), f"{out}/class_feature_stats"),
-        "weights": write_version(T.weights_table(
-            features, names, svm=T.train_svm(features, names), logistic=T.train_logistic(features, names)),
-            f"{out}/weights"),
+        "weights": write_version(T.weights_table(features, names, **T.train(features, names)), f"{out}/weights"),
     }
 
 
@@ -67,9 +69,11 @@ def main() -> None:
     p.add_argument("--zones", nargs="+", default=RAW_ZONES)
     p.add_argument("--rolled", action="store_true", help="files are complete when they appear: read each as a whole")
     p.add_argument("--idle", type=float, default=600.0, help="seconds after which a file's last line needs no line end")
+    p.add_argument("--rejects", help="folder for lines that carry a marker and match no pattern or path")
     p.add_argument("--task-action", default=TASK_ACTION, help="regular expression of a task line's action")
     p = jobs.add_parser("load", help="flow files to numbered tables")
     p.add_argument("flows"), p.add_argument("tables"), p.add_argument("--zones", nargs="+", default=VALID_ZONES)
+    p.add_argument("--run", help="name of the load; the same files under a new name are loaded again")
     p = jobs.add_parser("churn", help="flow files to churn statistics and weights")
     p.add_argument("flows"), p.add_argument("out")
     p.add_argument("--as-of", required=True), p.add_argument("--time-zone", default="UTC")
@@ -78,7 +82,8 @@ def main() -> None:
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"rolepulse-{args.job}").getOrCreate()
     if args.job == "ingest":
-        options = dict(task_action=args.task_action, file_name=args.file_name, zones=args.zones, growing=not args.rolled, idle=args.idle)
+        options = dict(task_action=args.task_action, file_name=args.file_name, zones=args.zones, growing=not args.rolled, idle=args.idle,
+                       rejects=args.rejects)
         if args.follow:
             ingest.start_ingest(
                 spark, args.raw, args.flows, args.checkpoint, once=False, on_batch=lambda n, counts: print(f"batch {n}: {counts}"), **options,
@@ -86,7 +91,7 @@ def main() -> None:
         else:
             print(ingest.run_once(spark, args.raw, args.flows, args.checkpoint, **options))
     elif args.job == "load":
-        load_job(spark, args.flows, args.tables, args.zones)
+        load_job(spark, args.flows, args.tables, args.zones, args.run)
     else:
         result = churn_job(spark, args.flows, args.out, args.as_of, not args.event_time, args.zones, args.time_zone)
         for name in ("lost_rate", "class_feature_stats", "weights"):

@@ -37,31 +37,42 @@ def _hinge_pull(margin: Column) -> Column:
     return F.when(sign * margin < 1.0, -sign).otherwise(0.0)
 
 
-def sgd_weights(features: DataFrame, names: list[str], pull, iterations: int = SGD_ITERATIONS) -> list[float]:
-    """Weights after the given steps; stops early once a step hardly moves them."""
-    w = [0.0] * len(names)
+PULLS = {"svm": _hinge_pull, "logistic": _logistic_pull}
+
+
+def train(features: DataFrame, names: list[str], models: tuple[str, ...] = tuple(PULLS), iterations: int = SGD_ITERATIONS) -> dict[str, list[float]]:
+    """Weights of each model after the given steps; one pass over the features serves a step of all of them.
+
+    A model stops early once a step hardly moves it.
+    """
+    weights = {m: [0.0] * len(names) for m in models}
+    moving = list(models)
     for t in range(1, iterations + 1):
-        force = features.select("*", pull(_margin(w, names)).alias("_pull"))
-        sums = [F.sum(F.col("_pull") * F.col(n)).alias(n) for n in names]
-        row = force.agg(F.count(F.lit(1)).alias("n"), *sums).first()
-        if not row["n"]:
-            return w
-        step = STEP / math.sqrt(t)
-        new = [wi * (1 - step * REGULARISATION) - step * (row[n] / row["n"]) for wi, n in zip(w, names)]
-        moved = math.sqrt(sum((a - b) ** 2 for a, b in zip(new, w)))
-        size = math.sqrt(sum(a * a for a in new))
-        w = new
-        if t > 1 and moved < TOLERANCE * max(size, 1.0):
+        if not moving:
+            break
+        force = features.select("*", *[PULLS[m](_margin(weights[m], names)).alias(f"_pull_{m}") for m in moving])
+        sums = [F.sum(F.col(f"_pull_{m}") * F.col(n)).alias(f"{m}_{i}") for m in moving for i, n in enumerate(names)]
+        row = force.agg(F.count(F.lit(1)).alias("_n"), *sums).first()
+        if not row["_n"]:
             break
-    return w
+        step = STEP / math.sqrt(t)
+        for m in list(moving):
+            w = weights[m]
+            new = [wi * (1 - step * REGULARISATION) - step * (row[f"{m}_{i}"] / row["_n"]) for i, wi in enumerate(w)]
+            moved = math.sqrt(sum((a - b) ** 2 for a, b in zip(new, w)))
+            size = math.sqrt(sum(a * a for a in new))
+            weights[m] = new
+            if t > 1 and moved < TOLERANCE * max(size, 1.0):
+                moving.remove(m)
+    return weights
 
 
 def train_svm(features: DataFrame, names: list[str], iterations: int = SGD_ITERATIONS) -> list[float]:
-    return sgd_weights(features, names, _hinge_pull, iterations)
+    return train(features, names, ("svm",), iterations)["svm"]
 
 
 def train_logistic(features: DataFrame, names: list[str], iterations: int = SGD_ITERATIONS) -> list[float]:
-    return sgd_weights(features, names, _logistic_pull, iterations)
+    return train(features, names, ("logistic",), iterations)["logistic"]
 
 
 def weights_table(features: DataFrame, names: list[str], **models: list[float]) -> DataFrame:

@@ -7,7 +7,9 @@ from rolepulse.operators import rolestats as R
 from rolepulse.operators.joins import death_sides
 from rolepulse.operators.tableops import first_by, last_by, sorted_rows
 from rolepulse.plans import activity as A
-from rolepulse.registry.base import AS_OF, cohort_of, flow_events, flow_of, query, sql
+from rolepulse.registry.base import AS_OF, cohort_of, flow_events, flow_lake, flow_of, query, sql
+from rolepulse.sources.tables import read_flow_lake
+
 
 def cohort_stat(spark, d, stat, log_type):
     """A per-role statistic over the in-range rows of one flow."""
@@ -99,9 +101,9 @@ def earliest_row(spark, d):
     SELECT log_type, roleid, log_time, level, profession, nation, action, online_time, task_id, usetime, killer,
            killer_level, scene, pos, award FROM fl""", "fl"))
 def union_flows(spark, d):
+    """One scan of the table of all types, its folders pruned by type."""
     types = ("createrole", "roleloginlogout", "taskflow", "levelup", "death", "award")
-    flows = [flow_of(flow_events(spark, d, t), t) for t in types]
-    return A.union_flows(flows).select(
+    return read_flow_lake(spark, flow_lake(spark, d), types).select(
         "log_type", "roleid", "log_time", "level", F.col("profession").cast("int").alias("profession"),
         F.col("nation").cast("int").alias("nation"), "action", "online_time", "task_id", "usetime", "killer",
         "killer_level", "scene", "pos", "award")

@@ -17,7 +17,7 @@ from rolepulse.sinks.routed import write_routed_in_order
 from rolepulse.sources.eventmap import AS_OF, flow_events, flow_of, flow_text, raw_lines
 from rolepulse.sources.flowfiles import read_partitioned
 from rolepulse.sources.growing import opened_store
-from rolepulse.sources.tables import read_flow_table
+from rolepulse.sources.tables import read_flow_table, write_flow_lake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -251,6 +251,15 @@ def flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def flow_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The events of all types as one table."""
+    def write(path: str) -> None:
+        events = flow_events(spark, sf_dir).drop("k")
+        clicks = flow_of(flow_events(spark, sf_dir, "taskflow"), "instance")
+        write_flow_lake(events.unionByName(clicks, allowMissingColumns=True), path)
+    return _once(spark, sf_dir, "lake", write)
+
+
 def flow_root(spark: SparkSession, sf_dir: str) -> str:
     """Flow files of all seven types."""
     return _once(spark, sf_dir, "flows", lambda path: write_routed_in_order(flow_lines(spark, sf_dir), "ord", path))
@@ -284,6 +293,6 @@ def loaded_table(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
 
 
 __all__ = [
-    "AS_OF", "END", "ORACLES", "QUERIES", "RAW", "START", "cohort_of", "flow_events", "flow_lines", "flow_of", "flow_root", "flow_text", "grow",
+    "AS_OF", "END", "ORACLES", "QUERIES", "RAW", "START", "cohort_of", "flow_events", "flow_lake", "flow_lines", "flow_of", "flow_root", "flow_text", "grow",
     "loaded_table", "names_root", "plain_root", "query", "raw_lines", "raw_root", "sql", "table_root",
 ]

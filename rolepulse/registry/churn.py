@@ -98,8 +98,7 @@ def _register(tag: str, src: str) -> None:
 
     def weights(spark, d, *models):
         feats, names = _stored_features(spark, d, replay), list(MODEL_FEATURES)
-        train = {"svm": T.train_svm, "logistic": T.train_logistic}
-        return _rounded(T.weights_table(feats, names, **{m: train[m](feats, names) for m in models}), "feature")
+        return _rounded(T.weights_table(feats, names, **T.train(feats, names, models)), "feature")
 
     def train_sql(model):
         return sql(f"SELECT * FROM ({_sgd_sql(f'feats_{src}', model)})", f"feats_{src}")

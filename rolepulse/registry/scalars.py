@@ -91,6 +91,31 @@ def interval_valid(spark, d):
         "l_orderkey", "l_linenumber", valid.alias("valid"))
 
 
+@query("interval_valid_dst", """
+    WITH y AS (
+      SELECT o_orderkey, make_date(year(o_orderdate), 4, 1) AS april, make_date(year(o_orderdate), 10, 31) AS october FROM orders),
+    changes AS (
+      SELECT o_orderkey, april + CAST((7 - dayofweek(april)) % 7 AS INTEGER) + INTERVAL 2 HOUR AS s,
+             october - CAST(dayofweek(october) AS INTEGER) + INTERVAL 2 HOUR AS e FROM y),
+    ends AS (
+      SELECT *, t - INTERVAL 2 HOUR + to_seconds(o_orderkey * 7919 % 14400) AS b,
+             t - INTERVAL 2 HOUR + to_seconds(o_orderkey * 104729 % 14400) AS f
+      FROM (SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN s ELSE e END AS t FROM changes))
+    SELECT o_orderkey, b AS begins, f AS ends,
+           epoch(b) + CASE WHEN b >= s + INTERVAL 1 HOUR AND b < e THEN 14400 ELSE 18000 END
+           < epoch(f) + CASE WHEN f >= s + INTERVAL 1 HOUR AND f < e THEN 14400 ELSE 18000 END AS valid
+    FROM ends""")
+def interval_valid_dst(spark, d):
+    """New York clocks of the four hours around both changes of a year: a skipped clock is the one an hour later."""
+    orders = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.year("o_orderdate").alias("y"))
+    spring = F.next_day(F.date_sub(F.make_date("y", F.lit(4), F.lit(1)), 1), "Sunday")
+    autumn = F.next_day(F.date_sub(F.make_date("y", F.lit(10), F.lit(31)), 7), "Sunday")
+    midnight = F.when(F.col("o_orderkey") % 2 == 0, spring).otherwise(autumn).cast("timestamp_ntz")
+    after = lambda n: midnight + F.make_dt_interval(secs=(F.col("o_orderkey") * n % 14400).cast("decimal(18,6)"))
+    return orders.select("o_orderkey", after(7919).alias("begins"), after(104729).alias("ends")).withColumn(
+        "valid", T.interval_valid(F.col("begins"), F.col("ends"), NY))
+
+
 _DIFF = "CAST(epoch({a}) - epoch({b}) AS BIGINT)"
 _CLAMP = f"greatest(least({_DIFF}, 3020399), -3020399)"
 

@@ -3,13 +3,16 @@
 from pyspark.sql import functions as F
 
 from rolepulse.layouts import VALID_ZONES
-from rolepulse.registry.base import RAW, grow, query, raw_root, sql
+from rolepulse.registry.base import RAW, flow_events, flow_lines, grow, query, raw_lines, raw_root, sql
 from rolepulse.registry.parsing import _FLOW_LINE
 from rolepulse.registry.sources import _RAW_ROWS
 from rolepulse.session import work_path
+from rolepulse.sinks.flowtables import load_flow_table, read_rejects
+from rolepulse.sinks.plainfiles import write_plain
 from rolepulse.sinks.routed import route_raw
 from rolepulse.sources import formatlog
 from rolepulse.sources.flowfiles import read_partitioned
+from rolepulse.sources.manifest import manifest
 from rolepulse.streaming import ingest
 
 _ROUTED = _FLOW_LINE.replace("SELECT ord,", "SELECT zone, CAST(day AS VARCHAR) AS day, log_type,")
@@ -81,3 +84,35 @@ def stream_growing_files(spark, d):
         grow(spark, d, f"{out}-raw", turn)
         ingest.run_once(spark, f"{out}-raw", out, out + "-checkpoint", zones=VALID_ZONES, growing=True)
     return _back(spark, out)
+
+
+@query("reject_raw_lines", sql("""
+    SELECT zone, CAST(day AS VARCHAR) AS day, reason, count(*) AS lines FROM (
+      SELECT zone, day, CASE WHEN log_type = 'award' THEN NULL WHEN ord % 50 = 3 THEN 'no_pattern' END AS reason FROM fl)
+    WHERE reason IS NOT NULL GROUP BY ALL""", "fl"))
+def reject_raw_lines(spark, d):
+    """Every fiftieth raw line has a role id that is no number: the ingest keeps these lines beside its output."""
+    out = work_path(spark, "rejects")
+    lines = raw_lines(flow_events(spark, d))
+    broken = F.when(F.col("ord") % 50 == 3, F.replace("value", F.lit("roleid="), F.lit("roleid=#"))).otherwise(F.col("value"))
+    lines.select(broken.alias("value"), "zone", "day").write.partitionBy("zone", "day").text(f"{out}-raw")
+    route_raw(formatlog.read_raw(spark, f"{out}-raw", **RAW), out, rejects=f"{out}-rejects")
+    kept = spark.read.schema("value string, path string, reason string").parquet(f"{out}-rejects")
+    return kept.groupBy(formatlog.path_zone(F.col("path")).alias("zone"), formatlog.path_day(F.col("path")).alias("day"), "reason").agg(
+        F.count(F.lit(1)).alias("lines"))
+
+
+@query("reject_flow_lines", sql("""
+    SELECT zone, CAST(day AS VARCHAR) AS day, CASE WHEN ord % 3 = 0 THEN 'level' ELSE 'log_time' END AS field, count(*) AS lines
+    FROM fl WHERE log_type = 'levelup' AND ord % 7 = 1 GROUP BY ALL""", "fl"))
+def reject_flow_lines(spark, d):
+    """Every seventh level-up line has a broken level or clock: it is loaded with a NULL and kept as it was."""
+    root = work_path(spark, "reject-tables")
+    lines = flow_lines(spark, d).where("log_type = 'levelup'")
+    fields = F.split("value", " ")
+    cut = F.when(F.col("ord") % 3 == 0, F.array_join(F.concat(F.slice(fields, 1, 4), F.array(F.lit("x")), F.slice(fields, 6, 9)), " ")).otherwise(
+        F.concat(F.lit("?"), "value"))
+    write_plain(lines.withColumn("value", F.when(F.col("ord") % 7 == 1, cut).otherwise(F.col("value"))), "ord", f"{root}/flows")
+    load_flow_table(manifest(spark, f"{root}/flows").lines(), "levelup", f"{root}/tables")
+    return read_rejects(spark, "levelup", f"{root}/tables").select("zone", "day", F.explode("fields").alias("field")).groupBy(
+        "zone", "day", "field").agg(F.count(F.lit(1)).alias("lines"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rolepulse.layouts import RAW_TYPES
 from rolepulse.operators.numbering import BROADCAST_CHUNKS
-from rolepulse.sources.formatlog import SOURCE_ORDER, TASK_ACTION, flow_line, has_marker, parse, with_path_fields
+from rolepulse.sources.formatlog import SOURCE_ORDER, TASK_ACTION, classify, flow_line, has_marker, parse, path_zone, with_path_fields
 
 # Lines with a marker that one task parses, sorts and writes; a split is not cut.
 ROWS_PER_TASK = 2_000_000
@@ -70,20 +70,41 @@ def in_source_order(lines: DataFrame, splits: DataFrame, rows_per_task: int, max
     return dealt.drop("task"), sum(r["n"] for r in found)
 
 
+# Why a line is not written: no marker of any kind, a marker but no pattern, no zone and day in its path.
+NO_MARKER, NO_PATTERN, NO_PATH = "no_marker", "no_pattern", "no_path"
+
+
+def with_reason(lines: DataFrame, task_action: str = TASK_ACTION) -> DataFrame:
+    """The classified lines with the ``reason`` why they are rejected, NULL for those that are written."""
+    found = classify(lines, task_action)
+    return found.withColumn("reason", F.when(F.col("kind").isNull(), NO_PATTERN).when(path_zone(F.col("path")) == "", NO_PATH))
+
+
 def route_raw(
     lines: DataFrame, path: str, batch: int = 0, task_action: str = TASK_ACTION, rows_per_task: int = ROWS_PER_TASK,
-    max_splits: int = BROADCAST_CHUNKS,
+    max_splits: int = BROADCAST_CHUNKS, rejects: str | None = None,
 ) -> dict[str, int]:
-    """Parse raw lines and write what matches as one batch; returns the lines read and written.
+    """Parse raw lines and write what matches as one batch; returns the lines read, written and not written for each reason.
 
     A first pass counts the lines of each split and those with a marker of some kind. Only
     these go through the exchange that puts whole splits in source order, so what is shuffled
     follows the lines that match; the patterns run once per line, after it. Files are numbered in source order.
+
+    Lines with a marker that are not written go to ``rejects``, a Parquet folder with the batch as
+    its folders, if it is named and the batch has any; those without a marker are only counted.
     """
-    written = Observation()
+    written, failed = Observation(), Observation()
     dealt, read = in_source_order(lines, source_splits(lines), rows_per_task, max_splits)
     order = [*SOURCE_ORDER, "row"]
-    parsed = with_path_fields(parse(dealt, task_action))
-    routed = routed_lines(parsed, *order).observe(written, F.count(F.lit(1)).alias("n"))
+    one = F.lit(1)
+    parsed = parse(dealt.observe(failed, F.count(one).alias("marked")), task_action)
+    matched = Observation()
+    placed = with_path_fields(parsed.observe(matched, F.count(one).alias("n")))
+    routed = routed_lines(placed, *order).observe(written, F.count(one).alias("n"))
     _write(routed.sortWithinPartitions(*ROUTE, *order), path, batch)
-    return {"read": read or 0, "written": written.get["n"]}
+    marked, hits, out = failed.get["marked"], matched.get["n"], written.get["n"]
+    counts = {"read": read or 0, "written": out, NO_MARKER: (read or 0) - marked, NO_PATTERN: marked - hits, NO_PATH: hits - out}
+    if rejects is not None and marked > out:
+        bad = with_reason(lines.where(has_marker(F.col("value"))), task_action).where("reason IS NOT NULL")
+        bad.select("value", "path", "reason").write.mode("overwrite").parquet(f"{rejects}/batch={batch}")
+    return counts

@@ -128,6 +128,14 @@ def typed(lines: DataFrame, log_type: str, split=feature_fields) -> DataFrame:
     return cut.select(*carried, merge_date_time(F.col("_f")).alias("log_time"), *cols)
 
 
+def failed_fields(log_type: str, fields: Column) -> Column:
+    """Names of the fields of a cut line that are missing or not of their type, ``log_time`` for its clock."""
+    tries = [F.when(merge_date_time(fields).isNull(), "log_time")]
+    for i, (name, kind) in enumerate(FLOW_FIELDS[check_type(log_type)]):
+        tries.append(F.when(F.get(fields, F.lit(i + 2)).try_cast(kind).isNull(), name))
+    return F.filter(F.array(*tries), lambda n: n.isNotNull())
+
+
 def typed_events(lines: DataFrame) -> DataFrame:
     """All flow types in one pass, as the common event shape (fields of other types are NULL)."""
     cut = lines.withColumn("_f", feature_fields(F.col("value")))

@@ -87,6 +87,12 @@ class Manifest:
     def types(self) -> set[str]:
         return {r["log_type"] for r in self.files.select("log_type").distinct().collect()}
 
+    def fingerprint(self) -> str:
+        """A name for what the files hold: the same until a file comes, goes or changes."""
+        each = F.xxhash64("uri", "size", "modified").cast("decimal(38,0)")
+        row = self.files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(each), F.lit(0)).alias("total")).first()
+        return f"{row['n']}-{int(row['total']) % (1 << 64):016x}"
+
     def lines(self) -> DataFrame:
         """Their lines: value, zone, day, log_type, ord.
 

@@ -16,7 +16,8 @@ def read_flow_table(spark: SparkSession, root: str, log_type: str) -> DataFrame:
     """A loaded flow table; filters on ``zone`` and ``day`` prune folders."""
     columns = ", ".join(f"{n} {t}" for n, t in FLOW_FIELDS[check_type(log_type)])
     schema = f"sn bigint, log_time timestamp_ntz, {columns}, zone string, day date"
-    return spark.read.schema(schema).parquet(table_path(root, log_type))
+    names = ["sn", "log_time", *[n for n, _ in FLOW_FIELDS[log_type]], "zone", "day"]
+    return spark.read.schema(schema).parquet(table_path(root, log_type)).select(*names)
 
 
 def read_flow_events(
@@ -30,12 +31,31 @@ def read_flow_events(
     return out
 
 
+def write_flow_lake(events: DataFrame, path: str) -> None:
+    """All flow types as one table, the type as its folders; columns a type lacks are NULL."""
+    events.hint("rebalance", F.col("log_type")).write.mode("errorifexists").partitionBy("log_type").parquet(path)
+
+
+def read_flow_lake(spark: SparkSession, path: str, types: tuple[str, ...] = tuple(FLOW_FIELDS)) -> DataFrame:
+    """Wanted types of a table by :func:`write_flow_lake`, in one scan of their folders."""
+    columns = {n: t for fields in FLOW_FIELDS.values() for n, t in fields}
+    schema = "zone string, day date, ord bigint, log_time timestamp_ntz, " + ", ".join(f"{n} {t}" for n, t in columns.items())
+    return spark.read.schema(f"{schema}, log_type string").parquet(path).where(F.col("log_type").isin([check_type(t) for t in types]))
+
+
+# Without them the whole table comes through one connection and one task.
+_SPREAD = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
 def read_jdbc(spark: SparkSession, table: str, options: dict[str, str]) -> DataFrame:
     """A table of an external database. Address and credentials come from the caller.
 
-    Pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``
-    (for instance over ``sn``) so that the read is spread over tasks.
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` (for instance
+    over ``sn``) are required: they spread the read over tasks.
     """
+    missing = [o for o in _SPREAD if o not in options]
+    if missing:
+        raise ValueError(f"reading a table over JDBC needs the options {', '.join(missing)}")
     return spark.read.format("jdbc").options(**options).option("dbtable", table).load()
 
 

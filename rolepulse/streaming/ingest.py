@@ -27,7 +27,7 @@ def start_ingest(
     spark: SparkSession, raw: str, out: str, checkpoint: str, once: bool = True, interval: str = "1 minute",
     max_files: int | None = MAX_FILES, task_action: str = TASK_ACTION, file_name: str = RAW_FILE,
     zones: Iterable[str] = RAW_ZONES, on_batch: Callable[[int, dict[str, int]], None] | None = None,
-    growing: bool = False, max_bytes: int = MAX_BYTES, idle: float | None = None,
+    growing: bool = False, max_bytes: int = MAX_BYTES, idle: float | None = None, rejects: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest; ``once`` works off what is there and stops.
 
@@ -36,11 +36,11 @@ def start_ingest(
     :mod:`rolepulse.sources.growing`). A checkpoint belongs to one of the two. Of growing files, a
     run with ``once`` takes one batch; :func:`run_once` takes all.
 
-    ``on_batch`` gets the number of each batch and its counts of lines ``read`` and
-    ``written``; their difference are the lines that no pattern matches.
+    ``on_batch`` gets the number of each batch and its counts of lines ``read``, ``written``, and
+    not written for each reason. Lines that carry a kind's marker and are not written go to ``rejects``.
     """
     def handle(lines, batch: int) -> None:
-        counts = route_raw(lines, out, batch, task_action)
+        counts = route_raw(lines, out, batch, task_action, rejects=rejects)
         if on_batch is not None:
             on_batch(batch, counts)
 
@@ -60,8 +60,8 @@ def run_once(spark: SparkSession, raw: str, out: str, checkpoint: str, **options
 
     def add(batch: int, counts: dict[str, int]) -> None:
         batches.append(batch)
-        for name, n in counts.items():
-            total[name] += n
+        for name in total:
+            total[name] += counts[name]
 
     while True:
         done = len(batches)
