@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Files of a table by the hash of some columns."""
+
+    count: int
+    columns: list[str]
+    sorted_by: list[str]
+
+
 def quoted(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -60,11 +71,44 @@ def write_version(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def create_table_as(df: DataFrame, table: str) -> DataFrame:
-    df.write.format("parquet").saveAsTable(table)
+def create_table_as(df: DataFrame, table: str, partitions: list[str] | None = None, buckets: Buckets | None = None) -> DataFrame:
+    """Table with the rows of ``df``, in folders by ``partitions`` and files by ``buckets``."""
+    writer = (df.hint("rebalance", *map(F.col, partitions)) if partitions and buckets is None else df).write.format("parquet")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    if buckets is not None:
+        writer = writer.bucketBy(buckets.count, *buckets.columns)
+        writer = writer.sortBy(*buckets.sorted_by) if buckets.sorted_by else writer
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)
 
 
+def table_layout(spark: SparkSession, table: str) -> tuple[list[str], Buckets | None]:
+    """Partition columns and buckets of a table, from the catalog."""
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()}
+    names = lambda key: [n.strip(" `") for n in told.get(key, "").strip("[]").split(",") if n.strip(" `")]
+    count = int(told.get("Num Buckets", 0))
+    return partitions, Buckets(count, names("Bucket Columns"), names("Sort Columns")) if count else None
+
+
+def row_sums(df: DataFrame) -> tuple[int, int]:
+    """Number of rows, and the sum of their hashes: equal for equal rows in any order."""
+    total = F.sum(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]).cast("decimal(38,0)"))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(total, F.lit(0)).alias("total")).first()
+    return row["n"], int(row["total"])
+
+
+def copy_table(spark: SparkSession, old: str, new: str) -> DataFrame:
+    """Copy of a table in its layout; an error, and no copy, if its rows are not the same."""
+    copy = create_table_as(spark.table(old), new, *table_layout(spark, old))
+    want, got = row_sums(spark.table(old)), row_sums(copy.select(*spark.table(old).columns))
+    if want != got:
+        spark.sql(f"DROP TABLE {quoted(new)}")
+        raise ValueError(f"{new} has {got[0]} rows that are not the {want[0]} of {old}")
+    return copy
+
+
 def create_table_like(spark: SparkSession, new: str, old: str) -> DataFrame:
     """Empty table with the columns of another."""
     spark.sql(f"CREATE TABLE {quoted(new)} LIKE {quoted(old)} USING parquet")
@@ -83,14 +127,14 @@ def truncate_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def rename_table(spark: SparkSession, old: str, new: str) -> DataFrame:
-    """Rename a table; into another database by copying and dropping."""
+    """Rename a table; into another database by copying it, comparing the rows, and dropping the old one."""
     def database(name: str) -> str:
         return name.split(".")[0] if "." in name else spark.catalog.currentDatabase()
 
     if database(old) == database(new):
         spark.sql(f"ALTER TABLE {quoted(old)} RENAME TO {quoted(new)}")
     else:
-        create_table_as(spark.table(old), new)
+        copy_table(spark, old, new)
         spark.sql(f"DROP TABLE {quoted(old)}")
     return spark.table(new)
 
@@ -117,9 +161,9 @@ def update_constant(df: DataFrame, name: str, value) -> DataFrame:
 
 
 def copy_database(spark: SparkSession, old: str, new: str) -> list[str]:
-    """Copy every table of a database into a new one; returns the table names."""
+    """Copy every table of a database, in its layout, into a new one; returns the table names."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(new)}")
     names = [t.name for t in spark.catalog.listTables(old) if not t.isTemporary]
     for name in names:
-        create_table_as(spark.table(f"{old}.{name}"), f"{new}.{name}")
+        copy_table(spark, f"{old}.{name}", f"{new}.{name}")
     return names

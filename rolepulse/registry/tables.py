@@ -170,3 +170,15 @@ def copy_database(spark, d):
     counts = [spark.table(f"{two}.{t}").agg(F.lit(t).alias("name"), F.count(F.lit(1)).alias("row_count"))
               for t in O.copy_database(spark, one, two)]
     return A.union_flows(counts)
+
+
+@query("copy_partitioned_table", sql("SELECT zone, CAST(day AS VARCHAR) AS day, roleid, level, usetime FROM fl WHERE log_type = 'levelup'", "fl"))
+def copy_partitioned_table(spark, d):
+    """Zone and day stay folders of the copy; read back by folder."""
+    one, two = scratch_db(spark), scratch_db(spark)
+    ups = flow_of(flow_events(spark, d, "levelup"), "levelup").select("roleid", "level", "usetime", "zone", F.col("day").cast("string").alias("day"))
+    O.create_table_as(ups, f"{one}.ups", ["zone", "day"])
+    O.copy_database(spark, one, two)
+    folders = spark.sql(f"SHOW PARTITIONS {two}.ups").select(
+        F.regexp_extract("partition", "zone=([^/]*)", 1).alias("zone"), F.regexp_extract("partition", "day=([^/]*)", 1).alias("day"))
+    return spark.table(f"{two}.ups").join(folders, ["zone", "day"])
