@@ -4,13 +4,18 @@ Two multinomials over hashed n-grams are counted: the raw corpus (every text) an
 trusted target (every text labelled good). A text's ratio is the mean over its n-grams
 of log p_target - log p_raw; it is kept when its counts pass and the ratio is at least
 a threshold that follows the ratios of the trusted documents: as far below their first
-percentile as that is below their median.
+percentile as that is below their median, and further by ``MARGIN`` over the root of their number,
+so that few trusted documents give a wide threshold and many a sharp one.
+
+The raw corpus is counted without a join. For the target, ids are tested against a bitmap of fixed
+size of the trusted ids' hashes, and only rows that pass it are shuffled to the exact join. While the
+trusted ids are few against its bits, that is little more than their own rows; far beyond that,
+nearly all texts pass, and the join shuffles at most every text once.
 
 Defined cases: a null or empty text has no words and fails the base rules; a text of fewer
 than three bytes and no word has ratio 0. Without labelled documents the target equals the
-raw corpus, so that every ratio is 0 and only the base rules decide. With fewer than
-``LEAST_TRUSTED`` trusted documents that pass the base rules, the threshold is ``LEAST_RATIO``. Each row is judged by
-itself: repeated rows, and rows with a null id, get a row each. Other columns are ignored.
+raw corpus, so that every ratio is 0 and only the base rules decide; so do they where no trusted
+one passes them. Each row is judged by itself: repeated rows, and rows with a null id, get a row each. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,9 +28,10 @@ from pyspark.sql import functions as F
 from rolepulse.llm.ngrams import BUCKETS, grams
 from rolepulse.llm.texts import by_rows, stored, table, utf8, words
 
-#: Least mean log-likelihood ratio per n-gram, in nats, where too few trusted documents show it.
-LEAST_RATIO = -0.4
-LEAST_TRUSTED = 100
+#: What one trusted row alone adds to the width of the threshold, in nats per n-gram.
+MARGIN = 1.0
+#: Bits of the map of trusted ids.
+MAP_BITS = 1 << 23
 #: Steps a nat in which the ratios of the trusted documents are counted.
 STEPS = 1000
 #: Added to each bucket of both multinomials.
@@ -82,37 +88,48 @@ def trusted(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """log p_target - log p_raw of each bucket; 2 ** 16 sums are all that reaches the driver."""
-    flagged = docs.select("doc_id", "text").join(trusted(labels).withColumn("trusted", F.lit(True)), "doc_id", "left").select("text", "trusted")
+def target_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
+    """The text of each row whose id is in ``good``."""
+    bit = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(MAP_BITS))
+    word, inside = F.expr("bit div 64").alias("word"), F.expr("shiftleft(1L, cast(bit % 64 as int))")
+    # At most MAP_BITS / 64 rows.
+    bitmap = good.select(bit.alias("bit")).select(word, inside.alias("set")).groupBy("word").agg(F.bit_or("set").alias("set"))
+    near = docs.select("doc_id", "text", bit.alias("bit")).select("doc_id", "text", word, inside.alias("own"))
+    passing = near.join(F.broadcast(bitmap), "word").where(F.col("set").bitwiseAND(F.col("own")) != 0).select("doc_id", "text")
+    # The same join whatever the sizes are.
+    return passing.join(good.hint("merge"), "doc_id", "left_semi").select("text")
 
+
+def bucket_counts(texts: DataFrame) -> np.ndarray:
+    """How many n-grams fall into each bucket; 2 ** 16 sums are all that reaches the driver."""
     def count(batches):
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for text, trusted in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
+            for text in utf8(batch.column(0)):
                 g = grams(text)
                 if len(g) > BUCKETS:
-                    raw += (b := np.bincount(g, minlength=BUCKETS))
-                    target += b if trusted else 0
+                    total += np.bincount(g, minlength=BUCKETS)
                 else:
-                    np.add.at(raw, g, 1)
-                    if trusted:
-                        np.add.at(target, g, 1)
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"])
-
-    sums = (flagged.mapInArrow(count, "bucket long, raw long, target long")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
-    raw, target = np.full(BUCKETS, SMOOTHING), np.full(BUCKETS, SMOOTHING)
-    at = sums["bucket"].to_numpy()
-    raw[at] += sums["raw"].to_numpy()
-    target[at] += sums["target"].to_numpy()
-    if target.sum() <= SMOOTHING * BUCKETS:
+                    np.add.at(total, g, 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
+
+    sums = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(BUCKETS)
+    out[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
+    return out
+
+
+def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
+    """log p_target - log p_raw of each bucket."""
+    target = bucket_counts(target_texts(docs, trusted(labels)))
+    if not target.any():
         return np.zeros(BUCKETS)
+    raw, target = bucket_counts(docs.select("text")) + SMOOTHING, target + SMOOTHING
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
-def ruled(docs: DataFrame, ratios: np.ndarray, least_ratio: float = LEAST_RATIO) -> DataFrame:
+def ruled(docs: DataFrame, ratios: np.ndarray, least_ratio: float = float("-inf")) -> DataFrame:
     """Counts, ratio and verdict of each row of ``docs``."""
     packed = ratios.astype(np.float32)
 
@@ -133,10 +150,10 @@ def least_ratio(rows: DataFrame, labels: DataFrame) -> float:
     good = rows.where("NOT base_failed").join(trusted(labels), "doc_id")
     bins = good.groupBy(F.floor(F.col("ratio") * STEPS).alias("step")).agg(F.count("*").alias("n")).toArrow().sort_by("step")
     step, upto = bins["step"].to_numpy(), np.cumsum(bins["n"].to_numpy())
-    if not len(upto) or upto[-1] < LEAST_TRUSTED:
-        return LEAST_RATIO
+    if not len(upto):
+        return float("-inf")
     low, mid = (int(step[np.searchsorted(upto, share * upto[-1])]) for share in (0.01, 0.5))
-    return (2 * low - mid) / STEPS
+    return (2 * low - mid) / STEPS - MARGIN / float(np.sqrt(upto[-1]))
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
