@@ -5,9 +5,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from rolepulse.operators import tableops as O
+from rolepulse.operators.versioned import BucketedTable
 from rolepulse.plans import activity as A
 from rolepulse.plans import saving as S
-from rolepulse.registry.base import AS_OF, flow_events, flow_of, query, sql
+from rolepulse.registry.base import AS_OF, ORACLES, flow_events, flow_of, query, sql
 from rolepulse.session import work_path
 
 
@@ -49,6 +50,19 @@ def replace_into(spark, d):
     return O.write_version(new, work_path(spark, "role_base"))
 
 
+@query("replace_into_buckets", ORACLES["replace_into"])
+def replace_into_buckets(spark, d):
+    """The same on a bucketed table, in two versions: only buckets with a created role are written anew."""
+    created = flow_of(flow_events(spark, d, "createrole"), "createrole").select(
+        F.col("roleid").alias("id"), "profession", F.col("log_time").alias("create_time"), "ord").distinct()
+    old = _role_base(spark, d)
+    table = BucketedTable(spark, work_path(spark, "buckets"), old.schema, ["id"], 32)
+    table.create(old)
+    for half in (F.col("id") % 2 == 0, F.col("id") % 2 == 1):
+        table.replace(created.where(half), ["ord"], {"zone": F.lit(1)})
+    return table.read()
+
+
 @query("replace_into_twice", sql("""
     SELECT c_custkey AS id, c_name AS name, CAST(c_custkey % 2 AS INTEGER) AS gender, c_nationkey AS profession,
            1002 AS zone, TIMESTAMP '2023-01-01 00:00:00' AS create_time
