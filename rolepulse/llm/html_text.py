@@ -1,12 +1,14 @@
 r"""Visible text of pages by layout: a tree with implied tags, visibility rules, and block rendering.
 
 The tree builder closes what HTML leaves open (paragraphs before blocks, list items, table parts,
-options) and knows void elements. Hidden are scripts, styles, templates and the like, elements
+options, the head before anything that is shown) and knows void elements; a comment that nothing
+ends goes to the end of the page. Hidden are scripts, styles, templates and the like, elements
 with ``hidden``, hidden inputs, and inline ``display:none``; ``visibility:hidden`` hides until a
 child is made visible. Blocks stand on lines of their own, paragraphs, headings, lists and tables
 behind a blank line; list items have ``- `` or their number, indented by depth; ``pre`` keeps its
-blanks; ``br`` breaks the line; images give their ``alt``. Cells of a table are padded to the
-width of their column and parted by two blanks; cells that hold lines are joined by blanks.
+blanks; ``br`` breaks the line; images give their ``alt``, drawings and formulas their text. Cells of a table are
+padded to the width of their column and parted by two blanks; a cell that spans columns or rows keeps
+those behind and below it in their columns; cells that hold lines are joined by blanks.
 
 All visible text of the whole page is kept, headers and footers too. Both walks use stacks of
 their own, so that depth is no limit.
@@ -27,9 +29,14 @@ from rolepulse.llm.texts import by_rows, table
 
 # Fixed values of the format.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head title meta link base script style template noscript iframe object audio video canvas svg math datalist noframes noembed".split())
+UNSEEN = frozenset("head title meta link base script style template noscript iframe object audio video canvas datalist noframes noembed".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr fieldset".split())
-BLOCKS = SPACED | frozenset("address article aside body center dd details dialog dir div dt fieldset figcaption footer form header hgroup html legend li main menu nav optgroup option search section select summary textarea tr caption".split())
+BLOCKS = SPACED | frozenset("address article aside body center dd details dialog dir div dt fieldset figcaption footer form header hgroup html legend li main menu nav optgroup option search section select summary text textarea tr caption".split())
+#: In a head; anything else ends it.
+IN_HEAD = frozenset("title meta link base script style template noscript basefont bgsound noframes".split())
+#: Hidden inside of a drawing or a formula.
+UNDRAWN = frozenset("defs symbol desc metadata clippath mask marker pattern annotation annotation-xml".split())
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
 LISTS = frozenset("ul ol menu dir".split())
 PARTS = frozenset("thead tbody tfoot".split())
 CELLS = frozenset("td th".split())
@@ -93,7 +100,11 @@ class Tree(HTMLParser):
             self.close_within(*CLOSES[tag])
         if tag in BLOCKS and tag != "html":
             self.close_within(frozenset({"head"}), frozenset())
+        elif self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self.close_to(len(self.open) - 1)
         node = Node(tag, dict(attrs))
+        if tag in UNDRAWN and (self.counts.get("svg") or self.counts.get("math")):
+            node.attrs["hidden"] = ""
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -115,8 +126,16 @@ class Tree(HTMLParser):
         return None
 
     def handle_data(self, data):
+        if self.open[-1].tag == "head" and _BLANKS.sub("", data):
+            self.close_to(len(self.open) - 1)
         self.open[-1].children.append(data)
 
+    def finish(self) -> Node:
+        if self.rawdata.startswith(("<!", "<?")):  # a comment or the like that nothing ends
+            self.rawdata = ""
+        self.close()
+        return self.root
+
 
 class Lines:
     """Lines of a block in work: blanks are collapsed, a space between two texts is kept."""
@@ -164,14 +183,53 @@ class Lines:
         return "\n".join(self.lines).strip("\n")
 
 
-def aligned(rows: list[list[str]]) -> list[str]:
-    """Rows of cells with each column as wide as its widest cell."""
-    widths: list[int] = []
+def span(node: Node, name: str, most: int) -> int:
+    value = (node.attrs.get(name) or "").strip()
+    return min(max(int(value), 1), most) if re.fullmatch(r"[0-9]{1,9}", value) else 1
+
+
+def placed(rows: list[list[tuple[str, int, int]]]) -> list[list[tuple[int, int, str]]]:
+    """Rows of cells (text, columns, rows) as (first column, columns, text); cells give way to those that reach down to them."""
+    below: dict[int, int] = {}
+    out = []
     for row in rows:
-        widths += [0] * (len(row) - len(widths))
-        for i, cell in enumerate(row[:-1]):  # the last cell of a row needs no padding
-            widths[i] = max(widths[i], len(cell))
-    return ["  ".join([*(c.ljust(w) for c, w in zip(row[:-1], widths)), row[-1]]).rstrip(" ") if row else "" for row in rows]
+        at, line, taken = 0, [], {c for c, n in below.items() if n}
+        below = {c: n - 1 for c, n in below.items() if n > 1}
+        for text, columns, down in row:
+            while at in taken:
+                at += 1
+            line.append((at, columns, text))
+            if down > 1:
+                below.update(dict.fromkeys(range(at, at + columns), down - 1))
+            at += columns
+        out.append(line)
+    return out
+
+
+def aligned(rows: list[list[tuple[str, int, int]]]) -> list[str]:
+    """Lines of the rows that hold a text, each column as wide as its widest cell; the last cell of a row needs no width."""
+    lines = [line for line in placed(rows) if any(text for *_, text in line)]
+    widths: dict[int, int] = {}
+    for line in lines:
+        for at, columns, text in line[:-1]:
+            if columns == 1:
+                widths[at] = max(widths.get(at, 0), len(text))
+    for line in lines:
+        for at, columns, text in line[:-1]:
+            if columns > 1:
+                room = sum(widths.get(c, 0) for c in range(at, at + columns)) + 2 * (columns - 1)
+                widths[at + columns - 1] = widths.get(at + columns - 1, 0) + max(0, len(text) - room)
+    starts, start = [], 0
+    for c in range(max((line[-1][0] for line in lines), default=-1) + 1):
+        starts.append(start)
+        start += widths.get(c, 0) + 2
+    out = []
+    for line in lines:
+        shown = ""
+        for at, _, text in line:
+            shown = shown.ljust(starts[at]) + text
+        out.append(shown.rstrip(" "))
+    return out
 
 
 class Table:
@@ -220,7 +278,7 @@ def render(root: Node) -> str:
                 t = tables.pop()
                 around = t.around
                 caption = t.before.done()
-                for line in (caption.split("\n") if caption else []) + aligned([r for r in t.rows if any(r)]):
+                for line in (caption.split("\n") if caption else []) + aligned(t.rows):
                     around.parts.append(line)
                     around.end()
                 around.gap = True
@@ -235,8 +293,8 @@ def render(root: Node) -> str:
                 own.rows.append([])
             out = Lines()
 
-            def end_cell(cell, own=own, before=before):
-                own.rows[-1].append(" ".join(x for x in map(str.strip, cell.done().split("\n")) if x))
+            def end_cell(cell, own=own, before=before, size=(span(node, "colspan", MOST_COLUMNS), span(node, "rowspan", MOST_ROWS))):
+                own.rows[-1].append((" ".join(x for x in map(str.strip, cell.done().split("\n")) if x), *size))
                 return before
 
             stack.append(end_cell)
@@ -278,8 +336,7 @@ def visible_text(html: str | None) -> str:
         return ""
     tree = Tree()
     tree.feed(html)
-    tree.close()
-    return render(tree.root)
+    return render(tree.finish())
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("text", pa.string()), ("n_chars", pa.int64())])

@@ -31,12 +31,24 @@ CASES = {
     "<dl><dt>t<dd>d<dt>u<dd>e</dl>": "t\n  d\nu\n  e",
     "<select><option>a<option>b</select>": "a\nb",
     "": "", " \n ": "", "<script>x": "",
+    "<head><title>T</title>Hello <b>world</b><br>more<p>x": "Hello world\nmore\n\nx",
+    "<head><title>T</title> <span>a</span> b<meta charset=x>c": "a bc",
+    "<head> <script>s</script> </head> a": "a",
+    "a<svg><defs><text>no</text></defs><title>no</title><text>one</text><text x=1>two</text></svg>b": "a\none\ntwo\nb",
+    "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>": "x=1",
+    "<table><tr><td colspan=2>wide cell here<td>c<tr><td>a<td>b<td>d</table>": "wide cell here  c\na  b            d",
+    "<table><tr><td colspan=2>w<td>c<tr><td>aaaa<td>bbbb<td>d</table>": "w           c\naaaa  bbbb  d",
+    "<table><tr><td rowspan=2>r<td>a<td>x<tr><td>b<td>y<tr><td>c<td>d<td>z</table>": "r  a  x\n   b  y\nc  d  z",
+    "<table><tr><td colspan=99999999>a<td>b<tr><td rowspan=0>c<td colspan=x>d</table>": None,
+    "a<p>b<!-- open <p>c": "a\n\nb",
+    "a<!-- closed -->b<!doctype": "ab",
+    "<script>var s = '<!--';</script>a": "a",
 }
 
 
 @pytest.mark.parametrize("html", CASES)
 def test_layout(html):
-    assert visible_text(html) == CASES[html]
+    assert visible_text(html) == CASES[html] or CASES[html] is None and re.sub(r"\s+", " ", visible_text(html)) == "a b c d"
 
 
 @settings(max_examples=200, deadline=None)
