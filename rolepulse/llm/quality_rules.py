@@ -96,8 +96,8 @@ def target_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
     bitmap = good.select(bit.alias("bit")).select(word, inside.alias("set")).groupBy("word").agg(F.bit_or("set").alias("set"))
     near = docs.select("doc_id", "text", bit.alias("bit")).select("doc_id", "text", word, inside.alias("own"))
     passing = near.join(F.broadcast(bitmap), "word").where(F.col("set").bitwiseAND(F.col("own")) != 0).select("doc_id", "text")
-    # The same join whatever the sizes are.
-    return passing.join(good.hint("merge"), "doc_id", "left_semi").select("text")
+    # The same join whatever the sizes are. The ids are distinct; a semi join would be moved before the bitmap.
+    return passing.join(good.hint("merge"), "doc_id").select("text")
 
 
 def bucket_counts(texts: DataFrame) -> np.ndarray:

@@ -119,3 +119,12 @@ def test_held_out_rows_are_not_learned(spark, docs_of):
     docs = docs_of([(i, f"word{i} text") for i in ids])
     model = qc.fit(docs, spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int"))
     assert not model.weights.any()
+
+
+def test_only_texts_that_pass_the_bitmap_are_shuffled(spark, docs_of):
+    docs = docs_of([(i, f"text {i}") for i in range(5000)] + [(None, "x"), (3, "text 3")])
+    good = qr.trusted(spark.createDataFrame([(3, 1, 0), (8, 1, 0), (3, 1, 1), (9, 0, 0), (None, 1, 0), (99999, 1, 0)], "doc_id long, quality int, toxic int"))
+    found = qr.target_texts(docs, good)
+    assert sorted(r.text for r in found.collect()) == ["text 3", "text 3", "text 8"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("Exchange") < plan.index("BroadcastHashJoin")
