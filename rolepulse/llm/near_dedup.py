@@ -10,11 +10,13 @@ connected component of the links; its id is its least doc_id.
 
 Documents of one word sequence are collapsed first. In a bucket of a band every member is
 compared with one centre, not with every other. Buckets whose members the links leave in
-different classes are gone through again: small ones pair by pair; the members of larger ones
+different classes are gone through again: the texts of a small one meet in one task, which compares
+those of different classes and gives links only; the members of larger ones
 are dealt out by their rarest shingles, so many that similar texts share one of them, after
-that with further centres, twice as many a round, until nothing is left to compare. No pair
-that shares a band is lost. Hot buckets are only ever aggregated with partial sums, or joined
-on a key that adaptive execution splits.
+that cut into chunks that each meet further centres, twice as many a round, until nothing is left to
+compare. No pair that shares a band is lost, and none is written but links: rows grow with the
+members of buckets, not with their squares. Hot buckets are only ever aggregated with partial sums,
+cut into chunks, or joined on a key that adaptive execution splits.
 
 Defined cases: a text without a word (null, empty) and a row with a null id are linked to
 nothing; the first is its own class, the second has the class null. A text of fewer than five
@@ -35,8 +37,10 @@ from rolepulse.llm.texts import WordHashes, by_rows, mix, sequence_hash, stored,
 SHINGLE = 5
 SIMILAR = 0.8
 REGISTERS, BANDS = 64, 16
-#: Members of a bucket up to which a later round compares all pairs.
+#: Members of a bucket up to which a later round compares all of them in one task.
 SMALL = 64
+#: Members of a larger bucket that meet its centres in one task.
+CHUNK = 256
 #: Larger buckets are dealt out by shingles, unless this is 0.
 LEVELS = 1
 
@@ -136,10 +140,42 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = SIMILAR) -> Data
     return both.mapInArrow(by_rows(judge, schema), "u long, v long")
 
 
+def compared(groups: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """(u, v): links between members of ``groups`` (key, chunk, doc_id, label, centre), enough of them to join all classes that are linked there.
+
+    Centres are compared with all members of their chunk, and in chunk 0 with each other, unless labels or
+    links found before have put the two in one class.
+    """
+    def judge(keys, rows):
+        rows = rows.sort_by([("centre", "descending"), ("doc_id", "ascending")])
+        ids, centres = rows.column("doc_id").to_pylist(), sum(rows.column("centre").to_pylist())
+        label = np.unique(rows.column("label").to_numpy(), return_inverse=True)[1].tolist()
+        own = [shingles(words(t)) for t in utf8(rows.column("text").combine_chunks())]
+        up, found = list(range(len(ids))), []
+
+        def root(x):
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for i in range(centres):
+            for j in range(i + 1 if keys[1].as_py() == 0 else centres, len(ids)):
+                a, b = root(label[i]), root(label[j])
+                if a != b and similarity(own[i], own[j]) >= least:
+                    up[max(a, b)] = min(a, b)
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+
+    return groups.join(texts, "doc_id").groupBy("key", "chunk").applyInArrow(judge, "u long, v long")
+
+
 def one_row_each(docs: DataFrame) -> DataFrame:
-    """One row for each doc_id that is not null (of the least text)."""
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    return docs.withColumn("__place", place).where("__place = 1").drop("__place")
+    """One row for each doc_id that is not null: that of the least text, then of the least hash of its columns."""
+    place = "place"
+    while place in docs.columns:
+        place += "_"
+    order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))
+    return docs.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
 
 
 def dealt(members: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataFrame:
@@ -184,19 +220,18 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR) -> DataFram
         if left.isEmpty():
             return labels
         few, many = left.where(F.col("n") <= SMALL).select("key", "doc_id", "label"), left.where(F.col("n") > SMALL)
-        other = few.select("key", F.col("doc_id").alias("u"), F.col("label").alias("u_label"))
-        pairs = few.join(other, "key").where("label <> u_label AND u < doc_id").select("u", F.col("doc_id").alias("v"))
+        groups = few.select("key", F.lit(0).alias("chunk"), "doc_id", "label", F.lit(True).alias("centre"))
         level += 1
         if level == 1 and LEVELS:
             live = stored(dealt(many, texts, least), "finer-buckets")
         else:
             # the one of the rarest class, and about `centres` others
             chosen = (F.col("doc_id") == F.col("u")) | (F.pmod(F.xxhash64("doc_id", F.lit(level)), F.ceil(F.col("n") / centres)) == 0)
-            centre = many.where(chosen).select("key", F.col("doc_id").alias("u"), F.col("label").alias("u_label"))
-            met = many.select("key", "doc_id", "label").join(centre, "key").where("label <> u_label").select(
-                F.least("u", "doc_id").alias("u"), F.greatest("u", "doc_id").alias("v"))
-            pairs, live, centres = pairs.union(met), many.where(~chosen).select("key", "doc_id"), 2 * centres
-        more = stored(verified(pairs.distinct(), texts, least), "links")
+            chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+            others = many.where(~chosen).select("key", F.pmod(F.xxhash64("doc_id", F.lit(-1)), chunks).cast("int").alias("chunk"), "doc_id", "label", F.lit(False).alias("centre"))
+            in_all = many.where(chosen).select("key", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "doc_id", "label", F.lit(True).alias("centre"))
+            groups, live, centres = groups.union(others).union(in_all), many.where(~chosen).select("key", "doc_id"), 2 * centres
+        more = stored(compared(groups, texts, least), "links")
         if not more.isEmpty():
             labels = components(labels.select(F.col("node").alias("u"), F.col("least").alias("v")).union(more))
 
