@@ -73,6 +73,18 @@ def fit_arrays(found: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, see
     return Model((vectors @ (top[:, 1] - top[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
+def views(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The whole numbers packed in each value of a column of binaries, where they lie."""
+    out = []
+    for chunk in column.chunks:
+        width = np.int64 if pa.types.is_large_binary(chunk.type) else np.int32
+        _, at, data = chunk.buffers()
+        ends = np.frombuffer(at, width)[chunk.offset:chunk.offset + len(chunk) + 1] if len(chunk) else ()
+        whole = np.frombuffer(data or b"", np.uint8)
+        out += [whole[a:b].view("<u4") for a, b in zip(ends[:-1], ends[1:])]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = (labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
               .select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample))
@@ -88,8 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.crc32("text"), "quality")
             .limit(sample).select(F.col("quality").cast("int"), "text")
             .mapInArrow(by_rows(histograms, schema), "good int, buckets binary, times binary").toArrow())
-    found = [(np.frombuffer(b, "<u4"), np.frombuffer(t, "<u4")) for b, t in zip(rows["buckets"].to_pylist(), rows["times"].to_pylist())]
-    return fit_arrays(found, rows["good"].to_numpy().astype(np.int64))
+    return fit_arrays(list(zip(views(rows["buckets"]), views(rows["times"]))), rows["good"].to_numpy().astype(np.int64))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
