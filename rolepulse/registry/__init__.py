@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from rolepulse.registry import (  # noqa: F401
-    aggregates, churn, joins, parsing, scalars, sources, state, streams, tables, zones,
+    aggregates, churn, endtoend, joins, parsing, scalars, sources, state, streams, tables, zones,
 )
 from rolepulse.registry.base import ORACLES, QUERIES  # noqa: F401

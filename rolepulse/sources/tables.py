@@ -23,12 +23,13 @@ def read_flow_table(spark: SparkSession, root: str, log_type: str) -> DataFrame:
 def read_flow_events(
     spark: SparkSession, root: str, types: tuple[str, ...] = ("createrole", *REPLAY_ORDER)
 ) -> DataFrame:
-    """Loaded tables as one event table; ``sn`` is the line order inside a zone."""
+    """Loaded tables as one event table; ``sn`` is the line order inside a zone. Columns of other types are NULL."""
     out = None
     for t in types:
         rows = read_flow_table(spark, root, t).withColumn("log_type", F.lit(t)).withColumnRenamed("sn", "ord")
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return out
+    columns = {n: kind for fields in FLOW_FIELDS.values() for n, kind in fields}
+    return out.withColumns({n: F.lit(None).cast(kind) for n, kind in columns.items() if n not in out.columns})
 
 
 def write_flow_lake(events: DataFrame, path: str) -> None:
