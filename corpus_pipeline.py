@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the one before kept, and its
 result is written as Parquet to the shared folder and read again. All but the last return the
-columns of ``docs``. The SQL check has none: several stages can't be stated in SQL.
+columns of ``docs``, extra ones included. The SQL check has none: several stages can't be stated in
+SQL. An empty table stays empty in every stage; texts may be null, empty or very long.
 """
 
 from __future__ import annotations
@@ -14,27 +15,27 @@ from rolepulse.llm.texts import stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
+    """Documents that the classifier accepts. Each row is judged by itself, repeats and rows without an id too; a null text is scored as an empty one."""
     return quality_classifier.accepted(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near copies."""
+    """One row of each class of near copies: that of the least id. Rows of one id are one; rows without an id, and texts without a word under ids of their own, all stay."""
     return near_dedup.deduplicated(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark. A null or empty text has none; each row is judged by itself."""
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with labels in the place of personal data."""
+    """All documents, with labels in the place of personal data; a null text stays null."""
     return pii.redacted(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each row lies in the training sequences."""
+    """Where each piece of each row lies in the training sequences; a null or empty text is the one id that ends it."""
     return packing.packed(docs)
 
 
