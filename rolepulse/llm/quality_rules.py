@@ -30,6 +30,8 @@ from rolepulse.llm.texts import by_rows, stored, table, utf8, words
 
 #: What one trusted row alone adds to the width of the threshold, in nats per n-gram.
 MARGIN = 1.0
+#: Counts of neighbouring buckets that travel in one row.
+WIDTH = 16
 #: Bits of the map of trusted ids.
 MAP_BITS = 1 << 23
 #: Steps a nat in which the ratios of the trusted documents are counted.
@@ -101,7 +103,10 @@ def target_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
 
 
 def bucket_counts(texts: DataFrame) -> np.ndarray:
-    """How many n-grams fall into each bucket; 2 ** 16 sums are all that reaches the driver."""
+    """How many n-grams fall into each bucket; 2 ** 16 sums, WIDTH in a row, are all that a task sends and the driver gets."""
+    sums = [f"c{i}" for i in range(WIDTH)]
+    schema = pa.schema([("block", pa.int32()), *[(c, pa.int64()) for c in sums]])
+
     def count(batches):
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
@@ -111,13 +116,15 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
                     total += np.bincount(g, minlength=BUCKETS)
                 else:
                     np.add.at(total, g, 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
-
-    sums = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(BUCKETS)
-    out[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
-    return out
+        rows = total.reshape(-1, WIDTH)
+        at = np.flatnonzero(rows.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(c) for c in np.ascontiguousarray(rows[at].T)]], schema=schema)
+
+    found = (texts.mapInArrow(count, "block int, " + ", ".join(f"{c} long" for c in sums))
+             .groupBy("block").agg(*[F.sum(c).alias(c) for c in sums]).toArrow())
+    out = np.zeros((BUCKETS // WIDTH, WIDTH))
+    out[found["block"].to_numpy()] = np.stack([found[c].to_numpy() for c in sums], axis=1)
+    return out.ravel()
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
