@@ -1,7 +1,10 @@
 r"""WARC archives without repeated payloads: revisit records refer to the original response.
 
 Headers (page, digest, length) are shuffled by payload digest and give the original of each
-payload that is there more than once: the row with the largest page id. Each page becomes a
+payload that is there more than once: the row with the largest page id. A bitmap of fixed size of
+these payloads' hashes parts the pages: those outside of it are responses and go from the scan to
+the archive; only pages inside of it are shuffled, to the exact join. (Where far more payloads repeat
+than it has bits, all pages are.) An archive begins with a warcinfo record. Each page becomes a
 WARC/1.1 record with a fresh header: a response with the payload, or a revisit without. Spark
 writes the records as text archives, a record and its closing CRLF CRLF a "line", so that a
 lost executor's files are written again. Reading splits at the version line and the
@@ -22,9 +25,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolepulse.llm.texts import shared, table
+from rolepulse.llm.texts import shared, stored, table
 
 END = "\r\n"
+#: Bits of the map of repeated payloads.
+MAP_BITS = 1 << 23
 #: Payloads of fewer bytes are stored again each time.
 LEAST_BYTES = 0
 DATE = "2024-01-01T00:00:00Z"
@@ -44,11 +49,19 @@ def resolved(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload"))})
-    originals = (rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes")
+    rows = rows.withColumn("bit", F.pmod(F.xxhash64("payload_digest", "payload_bytes"), F.lit(MAP_BITS)))
+    rows = rows.withColumns({"word": F.expr("bit div 64"), "own": F.expr("shiftleft(1L, cast(bit % 64 as int))")}).drop("bit")
+    originals = (rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes", "word", "own")
                  .agg(F.max("page_id").alias("original"), F.count("*").alias("rows")).where("rows > 1").drop("rows"))
+    originals = stored(originals, "repeated-payloads")
+    # At most MAP_BITS / 64 rows.
+    bitmap = originals.groupBy("word").agg(F.bit_or("own").alias("set"))
+    parted = rows.join(F.broadcast(bitmap), "word", "left").withColumn("inside", F.coalesce(F.col("set").bitwiseAND(F.col("own")) != 0, F.lit(False)))
+    columns = ["page_id", "url", "payload", "payload_bytes", "payload_digest"]
+    alone = parted.where(~F.col("inside")).select(*columns, F.lit(None).cast("long").alias("refers_to"))
     again = F.col("original").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("original")))
-    return (rows.join(originals, ["payload_digest", "payload_bytes"], "left")
-            .withColumn("refers_to", F.when(again, F.col("original"))).drop("original"))
+    shared_ones = parted.where("inside").select(*columns).join(originals.drop("word", "own"), ["payload_digest", "payload_bytes"], "left")
+    return alone.union(shared_ones.select(*columns, F.when(again, F.col("original")).alias("refers_to")))
 
 
 def record_id(page_id: Column) -> Column:
@@ -90,10 +103,19 @@ def records(rows: DataFrame, archive: str, date: str = DATE) -> DataFrame:
             .select(F.concat(*header, field("Content-Length", F.octet_length("block").cast("string")), F.lit(END), F.col("block"), F.lit(END)).alias("value")))
 
 
+def warcinfo(spark: SparkSession, archive: str, date: str) -> DataFrame:
+    """The record that the others refer to, in the form of :func:`records`."""
+    block = f"software: rolepulse{END}format: WARC File Format 1.1{END}"
+    head = [f"WARC/1.1{END}WARC-Warcinfo-ID: {archive}{END}WARC-Date: {date}{END}WARC-Type: warcinfo", f"WARC-Record-ID: {archive}",
+            "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return spark.createDataFrame([(END.join(head) + END + END + block + END,)], "value string").coalesce(1)
+
+
 def write(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date: str = DATE, compression: str = "gzip") -> str:
     """Write deduplicated archives to ``path``; returns the id that :func:`read` splits them by."""
     archive = f"<urn:uuid:{uuid.uuid4()}>"
-    records(resolved(pages, least_bytes), archive, date).write.option("lineSep", END).text(path, compression=compression)
+    rows = warcinfo(pages.sparkSession, archive, date).union(records(resolved(pages, least_bytes), archive, date))
+    rows.write.option("lineSep", END).text(path, compression=compression)
     return archive
 
 
@@ -109,6 +131,7 @@ def read(spark: SparkSession, path: str, archive: str) -> DataFrame:
         return F.nullif(F.regexp_extract("head", rf"(?:^|\n){name}: ([^\r]*)", 1), F.lit(""))
 
     kind, size = field("WARC-Type"), field("X-Payload-Length").cast("long")
+    rows = rows.where(kind != "warcinfo")
     html = F.when(kind == "response", F.expr("substring(block, length(substring_index(block, '\\r\\n\\r\\n', 1)) + 5)"))
     rows = rows.select(
         field("X-Page-ID").cast("long").alias("page_id"), field("WARC-Target-URI").alias("url"), size.alias("payload_bytes"),

@@ -73,3 +73,12 @@ def test_splits_and_empty_table(spark, tmp_path):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
     archive = warc.write(pages_of(spark, rows()).limit(0), str(tmp_path / "none"))
     assert warc.read(spark, str(tmp_path / "none"), archive).count() == 0
+
+
+def test_only_pages_with_repeated_payloads_are_shuffled(spark):
+    """The exchange of payloads lies above the bitmap; pages outside of it have no exchange."""
+    pages = pages_of(spark, [(i, "u", f"<p>{i // 2 if i < 6 else i}</p>") for i in range(3000)])
+    found = warc.resolved(pages)
+    assert found.where("refers_to IS NOT NULL").count() == 3 and found.count() == 3000
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.count("Join LeftOuter") == 3  # the bitmap on both sides, the originals on one
