@@ -59,6 +59,9 @@ def in_source_order(lines: DataFrame, splits: DataFrame, rows_per_task: int, max
     found = splits.limit(max_splits + 1).collect()
     if len(found) > max_splits:
         return marked.repartitionByRange(*SOURCE_ORDER, "row"), splits.agg(F.sum("n")).first()[0]
+    # A small batch is still shared out to all cores.
+    total = sum(r["marked"] for r in found)
+    rows_per_task = max(1, min(rows_per_task, -(-total // lines.sparkSession.sparkContext.defaultParallelism)))
     placed, before = [], 0
     for r in sorted(found, key=lambda r: [r[c] for c in SOURCE_ORDER]):
         placed.append((*[r[c] for c in SOURCE_ORDER], before // rows_per_task))
