@@ -26,8 +26,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rolepulse.llm.cutting_stock import rounded
@@ -156,24 +157,45 @@ def plan(counts: np.ndarray, whole: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.array(sorted(slots), np.int64), cuts, rank, sequence
 
 
-def at_class(values: np.ndarray, size: Column | None = None) -> Column:
-    """The entry of a table of all classes, for a row's class."""
-    return F.element_at(F.array(*[F.lit(int(x)).cast("long") for x in values]), ((F.col("class") if size is None else size) + 1).cast("int"))
+_PLACED = f"{_PIECE}, class long, rank long, sequence_id long, position long, parts array<struct<start: long, length: long, crc: long>>"
 
 
-def items(pieces: DataFrame, before: DataFrame, counts: np.ndarray, cuts: np.ndarray) -> DataFrame:
-    """Pieces with their rank in their class, after the further cuts."""
-    half = HALF // GRAIN
-    ranked = pieces.join(before, ["class", "chunk"]).withColumn("rank", F.col("before") + F.col("place"))
-    own = F.struct("start", "length", "ids_crc32", "class", (F.col("rank") - at_class(cuts)).alias("rank"), "parts")
-    first = F.element_at("parts", 1)
-    head = F.struct("start", F.lit(HALF).cast("long").alias("length"), first["crc"].alias("ids_crc32"), F.lit(half).cast("long").alias("class"),
-                    (F.lit(int(counts[half] - cuts[half])) + at_class(np.cumsum(cuts) - cuts) + F.col("rank")).alias("rank"), F.slice("parts", 1, 1).alias("parts"))
-    tail = F.struct((F.col("start") + HALF).alias("start"), (F.col("length") - HALF).alias("length"), F.col("rest_crc").alias("ids_crc32"),
-                    (F.col("class") - half).alias("class"), (at_class(counts, F.col("class") - half) + F.col("rank")).alias("rank"),
-                    F.expr("slice(parts, 2, 11)").alias("parts"))
-    return (ranked.select("doc_id", "doc_tokens", F.explode(F.when(F.col("rank") < at_class(cuts), F.array(head, tail)).otherwise(F.array(own))).alias("item"))
-            .select("doc_id", "item.start", "item.length", "item.ids_crc32", "doc_tokens", "item.class", "item.rank", "item.parts"))
+def items(ranked: DataFrame, slots: np.ndarray, counts: np.ndarray, cuts: np.ndarray, assigned: np.ndarray) -> DataFrame:
+    """Pieces after the further cuts, with sequence and position, or with their parts where no pattern has a place for them.
+
+    The tables of all classes go to the tasks with the function: as literals they would weigh on the driver.
+    """
+    half, cut_before = HALF // GRAIN, np.cumsum(cuts) - cuts
+    # a class has a list of its assigned ranks' slots: find the last one that starts at or before the rank
+    keys = slots[:, 0] << 48 | slots[:, 1]
+
+    def place(batches):
+        for batch in batches:
+            column = {n: batch.column(n) for n in batch.schema.names}
+            start, length, crc, size, rank = (column[n].to_numpy() for n in ("start", "length", "ids_crc32", "class", "rank"))
+            again = rank < cuts[size]
+            own, two = np.flatnonzero(~again), np.flatnonzero(again)
+            rows = np.concatenate([own, two, two])
+            heads = pc.struct_field(pc.list_element(column["parts"].take(pa.array(two)), 0), "crc").to_numpy(zero_copy_only=False)
+            tails = column["rest_crc"].take(pa.array(two)).to_numpy(zero_copy_only=False)
+            start, length, crc = (np.concatenate([a[own], b, c]).astype(np.int64) for a, b, c in (
+                (start, start[two], start[two] + HALF), (length, np.full(len(two), HALF), length[two] - HALF), (crc, heads, tails)))
+            old, size = size, np.concatenate([size[own], np.full(len(two), half), size[two] - half])
+            rank = np.concatenate([rank[own] - cuts[old[own]], counts[half] - cuts[half] + cut_before[old[two]] + rank[two], counts[old[two] - half] + rank[two]])
+            left = (size > 0) & (rank >= assigned[size])
+            s = slots[np.searchsorted(keys, size << 48 | rank, "right") - 1]
+            ahead = rank - s[:, 1]
+            parts: list[list[dict] | None] = [None] * len(rows)
+            at = np.flatnonzero(left)
+            for i, whole in zip(at.tolist(), column["parts"].take(pa.array(rows[at])).to_pylist()):
+                parts[i] = whole if i < len(own) else whole[:1] if i < len(own) + len(two) else whole[1:]
+            taken = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [column["doc_id"].take(taken), pa.array(start), pa.array(length), pa.array(crc), column["doc_tokens"].take(taken), pa.array(size), pa.array(rank),
+                 pa.array(s[:, 3] + ahead // s[:, 2], mask=left), pa.array(s[:, 4] + ahead % s[:, 2], mask=left), pa.array(parts, _PARTS)],
+                [*RESULT[:5], "class", "rank", "sequence_id", "position", "parts"])
+
+    return ranked.mapInArrow(place, _PLACED)
 
 
 def packed(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -193,30 +215,17 @@ def packed(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     earlier = Window.partitionBy("class").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     before = in_chunks.select("class", "chunk", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
-    ranked = items(pieces, before, counts, cuts)
-
-    # a class has a list of its assigned ranks' slots: find the last one that starts at or before the rank
-    keys = slots[:, 0] << 48 | slots[:, 1]
-
-    def assign(batches):
-        for batch in batches:
-            size, rank = batch.column("class").to_numpy(), batch.column("rank").to_numpy()
-            s = slots[np.searchsorted(keys, size << 48 | rank, "right") - 1]
-            ahead = rank - s[:, 1]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(5)] + [pa.array(s[:, 3] + ahead // s[:, 2]), pa.array(s[:, 4] + ahead % s[:, 2])],
-                [*RESULT[:5], "sequence_id", "position"])
+    ranked = pieces.join(before, ["class", "chunk"]).select(*RESULT[:5], "class", (F.col("before") + F.col("place")).alias("rank"), "rest_crc", "parts")
+    found = items(ranked, slots, counts, cuts, assigned)
 
-    is_left = (F.col("class") > 0) & (F.col("rank") >= at_class(assigned))
-    placed = (ranked.where(~is_left).select(*RESULT[:5], "class", "rank")
-              .mapInArrow(assign, f"{_PIECE}, sequence_id long, position long"))
+    placed = found.where("sequence_id IS NOT NULL").select(*RESULT[:6], "position")
     inside = Window.partitionBy("sequence_id").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
     one = F.col("length") == SEQUENCE
     fitted = (placed.where(one).select(*RESULT[:6], F.lit(0).cast("long").alias("offset"))
               .union(placed.where(~one).select(*RESULT[:6], F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"))))
 
     # what is left, at most one copy of each pattern, in parts of powers of two: the larger ones first fill without a gap
-    part = (ranked.where(is_left).select("doc_id", "doc_tokens", "class", "rank", F.explode("parts").alias("part"))
+    part = (found.where("sequence_id IS NULL").select("doc_id", "doc_tokens", "class", "rank", F.explode("parts").alias("part"))
             .select("doc_id", "part.start", "part.length", F.col("part.crc").alias("ids_crc32"), "doc_tokens", "class", "rank"))
     sizes = {r["length"]: r["rows"] for r in part.groupBy("length").agg(F.count("*").alias("rows")).collect()}  # at most 11 rows
     base, tokens = {}, 0

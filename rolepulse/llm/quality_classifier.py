@@ -73,18 +73,30 @@ def fit_arrays(found: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, see
     return Model((vectors @ (top[:, 1] - top[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def views(column: pa.ChunkedArray) -> list[np.ndarray]:
-    """The whole numbers packed in each value of a column of binaries, where they lie."""
+def narrow(times: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each that hold the largest of them: 1, 2 or 4."""
+    most = int(times.max())
+    return times.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
+def binaries(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The bytes of each value of a column of binaries, where they lie."""
     out = []
     for chunk in column.chunks:
         width = np.int64 if pa.types.is_large_binary(chunk.type) else np.int32
         _, at, data = chunk.buffers()
         ends = np.frombuffer(at, width)[chunk.offset:chunk.offset + len(chunk) + 1] if len(chunk) else ()
         whole = np.frombuffer(data or b"", np.uint8)
-        out += [whole[a:b].view("<u4") for a, b in zip(ends[:-1], ends[1:])]
+        out += [whole[a:b] for a, b in zip(ends[:-1], ends[1:])]
     return out
 
 
+def views(buckets: pa.ChunkedArray, times: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The histograms as (buckets, counts); a count is as wide as the number of buckets tells."""
+    found = ((b.view("<u2"), t) for b, t in zip(binaries(buckets), binaries(times)))
+    return [(b, t.view(f"<u{len(t) // len(b)}")) for b, t in found]
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = (labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
               .select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample))
@@ -93,14 +105,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for label, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
             at, times = np.unique(grams(text), return_counts=True)
             if len(at):
-                yield label, at.astype("<u4").tobytes(), times.astype("<u4").tobytes()
+                yield label, at.astype("<u2").tobytes(), narrow(times)
 
     schema = pa.schema([("good", pa.int32()), ("buckets", pa.binary()), ("times", pa.binary())])
     # at most `sample` labels are broadcast; a sampled id that is repeated in docs is learned once for each row, within the limit
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.crc32("text"), "quality")
             .limit(sample).select(F.col("quality").cast("int"), "text")
             .mapInArrow(by_rows(histograms, schema), "good int, buckets binary, times binary").toArrow())
-    return fit_arrays(list(zip(views(rows["buckets"]), views(rows["times"]))), rows["good"].to_numpy().astype(np.int64))
+    return fit_arrays(views(rows["buckets"], rows["times"]), rows["good"].to_numpy().astype(np.int64))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -111,3 +111,23 @@ def test_pricing_equals_brute_force():
             best[c] = max([best[c - 1]] + [duals[s] + best[c - s] for s in range(1, c + 1)])
         value, column = cs.price(duals, 9)
         assert np.isclose(value, best[9]) and np.isclose(value, column @ duals) and column @ np.arange(10) <= 9
+
+
+def test_no_table_of_classes_in_the_plan(spark, docs_of):
+    """257 literals, again and again, filled the driver of the pipeline."""
+    key = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100000")
+    try:
+        plan = pk.packed(docs_of([(i, "word " * (40 * i)) for i in range(60)]))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert len(plan) < 20_000
+
+
+def test_further_cuts_keep_every_id(spark):
+    """Remainders of 75 % fill sequences only where some are cut at half a sequence."""
+    docs = spark.sql("SELECT id AS doc_id, repeat('same words here ', 512) AS text FROM range(300)")
+    rows, texts = pk.packed(docs).collect(), {r.doc_id: r.text for r in docs.collect()}
+    check(rows, texts)
+    assert any(r.length == pk.HALF for r in rows)

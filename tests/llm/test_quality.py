@@ -128,3 +128,16 @@ def test_only_texts_that_pass_the_bitmap_are_shuffled(spark, docs_of):
     assert sorted(r.text for r in found.collect()) == ["text 3", "text 3", "text 8"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.index("SortMergeJoin") < plan.index("Exchange") < plan.index("BroadcastHashJoin")
+
+
+def test_histograms_come_to_the_driver_in_few_bytes(spark, docs_of, monkeypatch):
+    """At most three bytes a bucket for texts of usual length, and counts of any size are whole."""
+    texts = ["good text here", "bad bad bad text", "ab " * 100, "c" * 70_000]
+    rows = [(i, t) for i, t in enumerate(texts * 5)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    got = []
+    monkeypatch.setattr(qc, "fit_arrays", lambda found, good: got.extend(found))
+    qc.fit(docs_of(rows), labels)
+    want = {tuple(map(tuple, np.unique(qc.grams(t.encode()), return_counts=True))) for t in texts}
+    assert {(tuple(b), tuple(n)) for b, n in got} == want
+    assert all(b.itemsize == 2 and n.itemsize == (1 if n.max() < 256 else 2 if n.max() < 65536 else 4) for b, n in got)
