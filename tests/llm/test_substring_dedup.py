@@ -74,3 +74,40 @@ def test_nothing_repeated_and_empty(spark, docs_of):
     rows = [(1, " ".join(f"u{i}" for i in range(100))), (2, " ".join(f"v{i}" for i in range(100)))]
     assert got(docs_of(rows)) == plain(rows, sd.WINDOW)
     assert got(docs_of(rows).limit(0)) == []
+
+
+def test_copies_are_streamed_once(spark, docs_of, monkeypatch):
+    """All copies but one of a text are settled without phrases or segments; others that share a passage with it lose it."""
+    text = [f"c{i}" for i in range(200)]
+    rows = [(i, " ".join(text)) for i in range(40)] + [(None, " ".join(text)), (50, " ".join(["x"] + text[20:90] + ["y"])), (51, "c0 c1"), (52, "c0 c1"), (53, None), (54, None)]
+    parts, segments = [], sd.segments
+    monkeypatch.setattr(sd, "segments", lambda *args: parts.append(segments(*args)) or parts[-1])
+    docs = docs_of(rows)
+    found = got(docs)
+    assert found == plain(rows, sd.WINDOW)
+    texts = parts[0].select("d0", "d1", "at").collect()
+    # equal texts lie in one partition, sorted; one is streamed for each task that reads them
+    assert 0 < len({(r.d0, r.d1) for r in texts}) == 2 and len(texts) < 20
+    assert {(r.kept_text, r.n_removed) for r in sd.without_repeats(docs).where("doc_id < 40").collect()} == {("", 200)}
+
+
+def test_windows_of_many_texts_at_once(monkeypatch):
+    """Contexts are those of each text alone, whatever text comes before it."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["a", "b", f"t{i}"]) for i in range(n)).encode() for n in (0, 34, 35, 36, 90, 10, 300)] + [None, b"a " * 80]
+    together = list(zip(*(x.tolist() for x in sd.contexts_of(*sd.hashed(texts)))))
+    alone = [(i, *x[1:]) for i, t in enumerate(texts) for x in zip(*(x.tolist() for x in sd.contexts_of(*sd.hashed([t]))))]
+    assert together == alone and sum(x[2] for x in alone) == sum(max(0, len((t or b"").split()) - 34) for t in texts)
+
+
+def test_segments_are_streamed_together():
+    """Many segments give what each gives alone; no match runs over their borders."""
+    rng = random.Random(6)
+    line = [b"w%d" % i for i in range(120)]
+    one = sd.Automaton()
+    for a in (0, 10, 11, 60):
+        one.add(b" ".join(line[a:a + 35]))
+    many = [b" ".join(line[a:b]) for a, b in ((0, 20), (20, 46), (5, 50), (0, 120), (50, 96), (60, 95), (95, 120))] + [b"", b"v"]
+    rng.shuffle(many)
+    found = list(zip(*(x.tolist() for x in one.across(many))))
+    assert found == [(i, *x) for i, t in enumerate(many) for x in one.occurrences(t)] and len(found) > 3
