@@ -228,18 +228,19 @@ def phrases(rows: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def taken(batches):
         for part in _slices(batches, 0):
-            out = []
-            wanted = part.column(2).to_pylist()
             hit, at, found = mixed_windows(part.column(0), part.column(1), window)
-            lengths = part.column(1).value_lengths().to_numpy()
-            own = np.split(np.arange(len(hit)), np.searchsorted(hit, np.cumsum(lengths))[:-1])
-            for text, mine, want in zip(utf8(part.column(0)), own, wanted):
-                known, place = np.unique(found[mine], return_index=True)
-                hashes = np.array([x["window"] for x in want])
-                start = at[mine[place[np.searchsorted(known, hashes)]]].tolist()
-                whole = spelled(hashed([text])[0])
-                out += zip([x["home"] for x in want], [whole[a:a + window] for a in start], hashes.tolist())
-            yield _phrase_batch(out)
+            wanted = part.column(2)
+            home, hashes = (x.to_numpy() for x in wanted.flatten().flatten()[::-1])
+            # the first place of each wanted window in its text: pairs of text and hash, looked up by one sort
+            own = np.repeat(np.arange(part.num_rows), part.column(1).value_lengths().to_numpy())[hit]
+            text = np.repeat(np.arange(part.num_rows), wanted.value_lengths().to_numpy())
+            known = np.lexsort((at, found, own))
+            code, asked = (mix(mix(t.astype(np.uint64)) ^ h.view(np.uint64)) for t, h in ((own[known], found[known]), (text, hashes)))
+            code, place = np.unique(code, return_index=True)
+            ids, sizes = hashed(utf8(part.column(0)))
+            start = ((np.cumsum(sizes) - sizes)[text] + at[known[place[np.searchsorted(code, asked)]]]).tolist()
+            whole = spelled(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(home), pa.array([whole[a:a + window] for a in start], pa.string()), pa.array(hashes)], ["home", "phrase", "hash"])
 
     sure = rows.select("text", F.filter("hits", lambda x: x["sure"] & x["speaks"]).alias("hits")).where(F.size("hits") > 0)
     mixed = rows.select("row", "text", F.filter("hits", lambda x: x["mixed"]).alias("hits")).where(F.size("hits") > 0)
