@@ -35,8 +35,9 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from rolepulse.llm.texts import ROWS_AT_ONCE, WordHashes, by_rows, mix, sequence_hash, stored, table, utf8, words
+from rolepulse.llm.texts import ROWS_AT_ONCE, by_rows, mix, sequence_hash, stored, table, utf8, words
 
 WINDOW, ANCHOR = 35, 10
 #: Text handled at once in a task.
@@ -45,7 +46,6 @@ BYTES_AT_ONCE = 2_000_000
 PHRASES, SEGMENT_WORDS = 20_000, 20_000_000
 
 _BASE = 0x9DDFEA08EB382D69
-_hashes = WordHashes()
 
 
 class Sums:
@@ -67,7 +67,7 @@ def hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, one after the other, and how many each has."""
     found = [words(t) for t in texts]
     sizes = np.fromiter(map(len, found), np.int64, len(found))
-    return np.fromiter(map(_hashes.__getitem__, chain.from_iterable(found)), np.uint64, int(sizes.sum())), sizes
+    return np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(found)), np.uint64, int(sizes.sum())), sizes
 
 
 def contexts_of(ids: np.ndarray, sizes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, ...]:
