@@ -141,7 +141,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = SIMILAR) -> Data
 
 
 def compared(groups: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """(u, v): links between members of ``groups`` (key, chunk, doc_id, label, centre), enough of them to join all classes that are linked there.
+    """(u, v): labels whose members in ``groups`` (key, chunk, doc_id, label, centre) are linked, enough of them to join all classes that are linked there.
 
     Centres are compared with all members of their chunk, and in chunk 0 with each other, unless labels or
     links found before have put the two in one class.
@@ -149,9 +149,9 @@ def compared(groups: DataFrame, texts: DataFrame, least: float = SIMILAR) -> Dat
     def judge(keys, rows):
         rows = rows.sort_by([("centre", "descending"), ("doc_id", "ascending")])
         ids, centres = rows.column("doc_id").to_pylist(), sum(rows.column("centre").to_pylist())
-        label = np.unique(rows.column("label").to_numpy(), return_inverse=True)[1].tolist()
+        names, label = (x.tolist() for x in np.unique(rows.column("label").to_numpy(), return_inverse=True))
         own = [shingles(words(t)) for t in utf8(rows.column("text").combine_chunks())]
-        up, found = list(range(len(ids))), []
+        up, found = list(range(len(names))), []
 
         def root(x):
             while up[x] != x:
@@ -163,7 +163,7 @@ def compared(groups: DataFrame, texts: DataFrame, least: float = SIMILAR) -> Dat
                 a, b = root(label[i]), root(label[j])
                 if a != b and similarity(own[i], own[j]) >= least:
                     up[max(a, b)] = min(a, b)
-                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    found.append((names[min(a, b)], names[max(a, b)]))
         return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
 
     return groups.join(texts, "doc_id").groupBy("key", "chunk").applyInArrow(judge, "u long, v long")
@@ -199,8 +199,8 @@ def dealt(members: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataF
     return placed.where((F.least("weight", "part") <= 1 - least + 1e-9) & (F.col("times") > 1)).select(F.col("shingle").alias("key"), "doc_id")
 
 
-def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """(node, least node) of all nodes that the links of ``nodes`` (doc_id and bands) put in a class of a smaller one."""
+def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR, known: DataFrame | None = None) -> DataFrame:
+    """(node, least node) of all nodes that the links of ``nodes`` (doc_id and bands), and those that are ``known`` (u, v), put in a class of a smaller one."""
     bands = nodes.select("doc_id", F.array(*[f"b{i}" for i in range(BANDS)]).alias("bands"))
     keys = bands.select("doc_id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("u")).where("n > 1")
@@ -209,20 +209,24 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR) -> DataFram
     needed = live.select("doc_id").distinct()
     texts = stored(one_row_each(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")), "candidate-texts")
     found = stored(verified(pairs, texts, least), "links")
-    live = live.where("doc_id <> u").select("key", "doc_id")  # the centre has met all the others
-    labels, level, centres = components(found), 0, SMALL
+    labels, level, centres = components(found if known is None else found.union(known)), 0, SMALL
+
+    def named(members):
+        return members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("least", "doc_id").alias("label"))
+
+    live = named(live.where("doc_id <> u"))  # the centre has met all the others
     while True:
-        named = live.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("least", "doc_id").alias("label"))
-        sizes = named.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("doc_id").alias("one"))
+        sizes = live.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("doc_id").alias("one"))
         open_keys = (sizes.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("labels"), F.min(F.struct("n", "one")).alias("rarest"))
                      .where("labels > 1").select("key", "n", F.col("rarest.one").alias("u")))
-        left = stored(named.join(open_keys, "key"), "open-buckets")
+        left = stored(live.join(open_keys, "key"), "open-buckets")
         if left.isEmpty():
             return labels
         few, many = left.where(F.col("n") <= SMALL).select("key", "doc_id", "label"), left.where(F.col("n") > SMALL)
         groups = few.select("key", F.lit(0).alias("chunk"), "doc_id", "label", F.lit(True).alias("centre"))
         level += 1
-        if level == 1 and LEVELS:
+        finer = level == 1 and LEVELS
+        if finer:
             live = stored(dealt(many, texts, least), "finer-buckets")
         else:
             # the one of the rarest class, and about `centres` others
@@ -230,10 +234,17 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR) -> DataFram
             chunks = F.ceil(F.col("n") / CHUNK).cast("int")
             others = many.where(~chosen).select("key", F.pmod(F.xxhash64("doc_id", F.lit(-1)), chunks).cast("int").alias("chunk"), "doc_id", "label", F.lit(False).alias("centre"))
             in_all = many.where(chosen).select("key", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "doc_id", "label", F.lit(True).alias("centre"))
-            groups, live, centres = groups.union(others).union(in_all), many.where(~chosen).select("key", "doc_id"), 2 * centres
+            groups, live, centres = groups.union(others).union(in_all), many.where(~chosen).select("key", "doc_id", "label"), 2 * centres
         more = stored(compared(groups, texts, least), "links")
-        if not more.isEmpty():
-            labels = components(labels.select(F.col("node").alias("u"), F.col("least").alias("v")).union(more))
+        moved = None if more.isEmpty() else components(more)
+        if moved is not None:
+            # only labels were joined: a class moves as a whole
+            to = moved.select(F.col("node").alias("label"), F.col("least").alias("to"))
+            labels = stored(labels.withColumnRenamed("least", "label").join(to, "label", "left").select("node", F.coalesce("to", "label").alias("least")).union(moved), "labels")
+            if not finer:
+                live = live.join(to, "label", "left").select("key", "doc_id", F.coalesce("to", "label").alias("label"))
+        if finer:
+            live = named(live)
 
 
 def classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
@@ -242,12 +253,13 @@ def classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     copies = (rows.where("d0 IS NOT NULL").groupBy("d0", "d1")
               .agg(F.min("doc_id").alias("doc_id"), *[F.first(f"b{i}").alias(f"b{i}") for i in range(BANDS)]))
     copies = stored(copies, "word-sequences")
-    # a word sequence is seen through its least id; documents of one sequence are linked to that id
-    linked = links(copies, docs, least)
-    same = rows.where("d0 IS NOT NULL").join(copies.select("d0", "d1", F.col("doc_id").alias("least")), ["d0", "d1"])
-    all_links = linked.select(F.col("node").alias("u"), F.col("least").alias("v")).union(
-        same.where("doc_id <> least").select(F.col("doc_id").alias("u"), F.col("least").alias("v")))
-    named = components(all_links, "classes").select(F.col("node").alias("doc_id"), F.col("least").alias("class"))
+    # a word sequence is seen through its least id; an id with several sequences links theirs
+    seen = rows.where("d0 IS NOT NULL").join(copies.select("d0", "d1", F.col("doc_id").alias("seen")), ["d0", "d1"]).select("doc_id", "seen")
+    seen = stored(seen, "seen-through")
+    least_seen = seen.groupBy("doc_id").agg(F.min("seen").alias("least"), F.max("seen").alias("most"))
+    several = seen.join(least_seen.where("least < most"), "doc_id").where("seen <> least").select(F.col("least").alias("u"), F.col("seen").alias("v"))
+    linked = links(copies, docs, least, several)
+    named = least_seen.select("doc_id", F.col("least").alias("node")).join(linked, "node", "left").select("doc_id", F.coalesce("least", "node").alias("class"))
     out = rows.select("doc_id").join(named, "doc_id", "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
     return out.union(docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id")))
 

@@ -4,6 +4,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from rolepulse.llm import graphs
 from rolepulse.llm import near_dedup as nd
 from rolepulse.llm.graphs import components
 
@@ -96,6 +97,38 @@ def test_one_row_of_each_class_stays(spark, docs_of):
     assert ids.count(None) == 1 and sorted(i for i in ids if i is not None) == sorted(set(brute(rows).values()))
 
 
+def test_ids_with_several_texts_link_them(spark, docs_of):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (2, b), (3, c), (9, a), (9, b), (9, c), (4, d), (5, d + " more"), (6, ""), (6, d), (7, None), (8, " "), (8, "x y z"), (10, "x y z")]
+    want = {1: 1, 2: 1, 3: 1, 9: 1, 4: 4, 5: 4, 6: 4, 7: 7, 8: 8, 10: 8}
+    got = nd.classes(docs_of(rows)).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+    assert {(r.doc_id, r.class_id) for r in got} == set(want.items())
+
+
+def written(monkeypatch):
+    """The names of the tables that turns of components write from now on."""
+    names, store = [], graphs.stored
+    monkeypatch.setattr(graphs, "stored", lambda df, name: names.append(name) or store(df, name))
+    return names
+
+
+def test_stars_take_no_turn(spark, monkeypatch):
+    names = written(monkeypatch)
+    stars = spark.createDataFrame([(0, i) for i in range(1, 20)] + [(30 + i, 30) for i in range(1, 5)] + [(1, 0), (7, 7)], "u long, v long")
+    assert {r.node: r.least for r in components(stars).collect()} == {i: 0 for i in range(1, 20)} | {30 + i: 30 for i in range(1, 5)}
+    assert len(names) == 1  # the edges themselves
+
+
+def test_copies_take_no_turn(spark, docs_of, monkeypatch):
+    names = written(monkeypatch)
+    rows = [(i, f"{i % 7} " + " ".join(f"w{i % 7}-{j}" for j in range(80))) for i in range(300)]
+    got = {r.doc_id: r.class_id for r in nd.classes(docs_of(rows)).collect()}
+    assert got == {i: i % 7 for i in range(300)}
+    assert len(names) == 1
+
+
 def test_empty_table(spark, docs_of):
     assert nd.classes(docs_of([])).count() == 0 and nd.deduplicated(docs_of([])).count() == 0
 
