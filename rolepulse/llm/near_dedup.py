@@ -43,6 +43,8 @@ SMALL = 64
 CHUNK = 256
 #: Larger buckets are dealt out by shingles, unless this is 0.
 LEVELS = 1
+#: Counters that tell rare shingles from frequent ones; a power of two.
+COUNTERS = 1 << 16
 
 _hashes = WordHashes()
 
@@ -178,25 +180,48 @@ def one_row_each(docs: DataFrame) -> DataFrame:
     return docs.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
 
 
+def counted(texts: DataFrame, many: int) -> np.ndarray:
+    """How many shingles of ``texts`` fall on each counter: at most ``many`` numbers reach the driver."""
+    def count(batches):
+        times = np.zeros(many, np.int64)
+        for batch in batches:
+            for text in utf8(batch.column(0)):
+                np.add.at(times, counters(shingles(words(text))[0], many), 1)
+        some = np.flatnonzero(times)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(times[some])], ["counter", "times"])
+
+    rows = texts.select("text").mapInArrow(count, "counter long, times long").groupBy("counter").agg(F.sum("times").alias("times")).toArrow()
+    out = np.zeros(many, np.int64)
+    out[rows["counter"].to_numpy()] = rows["times"].to_numpy()
+    return out
+
+
+def counters(h: np.ndarray, many: int) -> np.ndarray:
+    return (h & np.uint64(many - 1)).astype(np.int64)
+
+
 def dealt(members: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataFrame:
     """(key, doc_id): a bucket for each shingle; any two similar texts of ``members`` (doc_id) are in one together.
 
     What a text holds besides the shingles of a similar one is at most 1 - ``least`` of its weight
-    (or of their number). So the first shingle that both have, rare ones first, comes in either
-    before more than that.
+    (or of their number). So the first shingle that both have, in one order for all texts, comes in
+    either before more than that. Counters put rare shingles first, which keeps buckets small; a
+    shingle that its counter has seen once is in one text only.
     """
+    own = texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    times = counted(own, COUNTERS)
+
     def split(batch):
         for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
             h, weight = shingles(words(text))
-            yield from zip([doc_id] * len(h), h.view(np.int64).tolist(), (weight / weight.sum()).tolist(), [1 / len(h)] * len(h))
-
-    schema = pa.schema([("doc_id", pa.int64()), ("shingle", pa.int64()), ("weight", pa.float64()), ("part", pa.float64())])
-    each = texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
-        by_rows(split, schema), "doc_id long, shingle long, weight double, part double")
-    times = each.groupBy("shingle").agg(F.count("*").alias("times"))
-    before = Window.partitionBy("doc_id").orderBy("times", "shingle").rowsBetween(Window.unboundedPreceding, -1)
-    placed = each.join(times, "shingle").withColumns({c: F.coalesce(F.sum(c).over(before), F.lit(0.0)) for c in ("weight", "part")})
-    return placed.where((F.least("weight", "part") <= 1 - least + 1e-9) & (F.col("times") > 1)).select(F.col("shingle").alias("key"), "doc_id")
+            n = times[counters(h, len(times))]
+            order = np.lexsort((h, n))
+            weight = (weight / weight.sum())[order]
+            before = np.minimum(np.cumsum(weight) - weight, np.arange(len(h)) / max(1, len(h)))
+            for key in h[order[(before <= 1 - least + 1e-9) & (n[order] > 1)]].view(np.int64).tolist():
+                yield key, doc_id
+
+    return own.mapInArrow(by_rows(split, pa.schema([("key", pa.int64()), ("doc_id", pa.int64())])), "key long, doc_id long")
 
 
 def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR, known: DataFrame | None = None) -> DataFrame:

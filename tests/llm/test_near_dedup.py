@@ -88,6 +88,22 @@ def test_pairs_of_one_shared_band_in_large_buckets(spark, docs_of, monkeypatch):
         assert {r.node: r.least for r in nd.links(nodes, docs_of(rows)).collect()} == want
 
 
+def test_similar_texts_are_dealt_a_shingle_in_common(spark, docs_of, monkeypatch):
+    rows = [r for r in corpus(3) if (r[1] or "").split()]
+    docs, own = docs_of(rows), {i: nd.shingles(nd.words(t.encode())) for i, t in rows}
+    similar = {(i, j) for i in own for j in own if i < j and nd.similarity(own[i], own[j]) >= nd.SIMILAR}
+    for many in (1 << 16, 64):  # no two shingles of a text on one counter, or most of them
+        monkeypatch.setattr(nd, "COUNTERS", many)
+        found = nd.dealt(docs.select("doc_id"), docs.select("doc_id", "text"))
+        members = {}
+        for r in found.collect():
+            members.setdefault(r.key, set()).add(r.doc_id)
+        assert not [p for p in similar if not any(set(p) <= m for m in members.values())]
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Inner" not in plan  # a row for each shingle of each text is neither joined nor sorted
+        assert sum(map(len, members.values())) < 0.4 * sum(len(h) for h, _ in own.values())
+
+
 def test_one_row_of_each_class_stays(spark, docs_of):
     rows = corpus(2) + [(None, "x"), (5, "again again"), (5, "again again")]
     docs = docs_of(rows)
