@@ -104,6 +104,75 @@ def test_similar_texts_are_dealt_a_shingle_in_common(spark, docs_of, monkeypatch
         assert sum(map(len, members.values())) < 0.4 * sum(len(h) for h, _ in own.values())
 
 
+def test_a_large_class_is_compared_with_what_lies_outside_it_once(spark, docs_of, monkeypatch):
+    rng = random.Random(9)
+    one = " ".join(f"w{rng.randrange(5000)}" for _ in range(100))
+    rows = list(enumerate([one] + [edited(rng, one, 1) for _ in range(250)] + [edited(rng, one, 8) for _ in range(60)]))
+    nodes = spark.createDataFrame([(i, 7, *(100 * i + j + 1000 for j in range(1, nd.BANDS))) for i, _ in rows],
+                                  ", ".join(["doc_id long"] + [f"b{j} long" for j in range(nd.BANDS)]))
+    want = {i: least for i, least in brute(rows).items() if i != least}
+    assert 250 <= len(want) < 310
+    tables, store = [], nd.stored
+    monkeypatch.setattr(nd, "stored", lambda df, name: tables.append((name, store(df, name))) or tables[-1][1])
+    for chunk in (nd.CHUNK, 40):
+        tables.clear()
+        monkeypatch.setattr(nd, "CHUNK", chunk)
+        assert {r.node: r.least for r in nd.links(nodes, docs_of(rows)).collect()} == want
+        assert [df.count() > 0 for name, df in tables if name == "open-buckets"] == [True, False]
+        assert not [name for name, df in tables if name == "finer-buckets" and df.count()]
+
+
+def test_centres_meet_all_members_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "CHUNK", 8)
+    sizes = {1: (70, 30), 2: (20, 3), 3: (5, 5), 4: (9, 1)}
+    members = spark.createDataFrame([(key, 1000 * key + i, i, i < centres, n, centres) for key, (n, centres) in sizes.items() for i in range(n)],
+                                    "key long, doc_id long, label long, centre boolean, n long, centres long")
+    found = {}
+    for r in nd.blocks(members).collect():
+        assert r.row or r.column
+        rows, columns = found.setdefault((r.key, r.block), ([], []))
+        rows.extend([r.doc_id] * r.row)
+        columns.extend([r.doc_id] * r.column)
+    met = [(key, a, b) for (key, _), (rows, columns) in found.items() for a in rows for b in columns]
+    assert sorted(met) == sorted((key, 1000 * key + a, 1000 * key + b) for key, (n, centres) in sizes.items() for a in range(centres) for b in range(n))
+    assert max(max(map(len, x)) for x in found.values()) < 24
+
+
+def test_signatures_of_many_texts_are_those_of_each(monkeypatch):
+    texts = [t.encode() if t is not None else None for _, t in corpus(5)] + ["a".encode(), b"a b c d", b"a b c d e", None]
+    found = [nd.words(t) for t in texts]
+    h, times, size = nd.all_shingles(found)
+    whole, end = nd.signatures(h, 1 + np.log(times), size), np.cumsum(size)
+    for f, n, e, s in zip(found, size, end, whole):
+        own, weight = nd.shingles(f)
+        runs = nd.sequence_hash(np.array([nd.xxhash.xxh3_64_intdigest(w) for w in f], np.uint64), min(5, len(f))) if f else []
+        assert sorted(set(map(int, runs))) == own.tolist() == h[e - n:e].tolist()
+        assert np.allclose(weight, [1 + np.log(list(runs).count(x)) for x in own])
+        assert (nd.signature(own, weight) == s).all()
+    cut = [t for size in (1, 700, 1 << 18) if not monkeypatch.setattr(nd, "BYTES_AT_ONCE", size)
+           for _, some in nd.portions([nd.pa.record_batch([list(range(len(texts))), nd.pa.array(texts, nd.pa.binary())], ["doc_id", "text"])]) for t in some]
+    assert cut == 3 * texts
+
+
+def test_products_of_matrices_bound_the_similarity(monkeypatch):
+    rng = np.random.default_rng(7)
+    base, docs = np.unique(rng.integers(0, 2**63, 400, dtype=np.uint64)), []
+    for share in (0.02, 0.1, 0.2, 0.5) * 5:
+        own = np.unique(np.append(base[rng.random(len(base)) > share], rng.integers(0, 2**63, int(400 * share), dtype=np.uint64)))
+        docs.append((own, np.where(rng.random(len(own)) < rng.choice([0, 0.3]), 3, 1)))
+    every, size = np.arange(len(docs)), np.array([len(h) for h, _ in docs])
+    for width in (nd.WIDTH, 50):
+        monkeypatch.setattr(nd, "WIDTH", width)
+        plain, most = nd.likeness(np.concatenate([h for h, _ in docs]), np.concatenate([t for _, t in docs]), size, every, every)
+        for i, (a, s) in enumerate(docs):
+            for j, (b, t) in enumerate(docs[:i]):
+                both = len(np.intersect1d(a, b))
+                assert plain[i, j] == plain[j, i] == both / (len(a) + len(b) - both)
+                exact = nd.similarity((a, 1 + np.log(s)), (b, 1 + np.log(t)))
+                assert exact - 1e-5 < most[i, j] < exact + 0.1
+                assert s.max() > 1 or t.max() > 1 or abs(most[i, j] - plain[i, j]) < 1e-5
+
+
 def test_one_row_of_each_class_stays(spark, docs_of):
     rows = corpus(2) + [(None, "x"), (5, "again again"), (5, "again again")]
     docs = docs_of(rows)
