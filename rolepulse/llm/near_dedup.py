@@ -43,9 +43,9 @@ SHINGLE = 5
 SIMILAR = 0.8
 REGISTERS, BANDS = 64, 16
 #: Members of a bucket outside its largest class up to which all of them are centres in one round.
-SMALL = 4096
-#: Centres, and members, of a bucket that meet in one task.
-CHUNK = 256
+SMALL = 1 << 14
+#: Centres, and members, of a bucket that meet in one task, and their shingles; about.
+CHUNK, VOLUME = 1024, 1 << 20
 #: Larger buckets are dealt out by shingles, unless this is 0.
 LEVELS = 1
 #: Counters that tell rare shingles from frequent ones; a power of two.
@@ -53,7 +53,7 @@ COUNTERS = 1 << 16
 #: Bytes of texts that are hashed at once, unless one text is longer; their arrays stay in a core's cache.
 BYTES_AT_ONCE = 1 << 18
 #: Shingles in a product of matrices.
-WIDTH = 4096
+WIDTH = 2048
 
 
 def shingles(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -206,16 +206,16 @@ def sequence_hash_rows(rows: np.ndarray) -> np.ndarray:
 
 
 def hashed(texts: DataFrame) -> DataFrame:
-    """doc_id, the shingles of a text (doc_id, text) and how often each is there; the last is empty if each is there once."""
+    """doc_id, the number of shingles of a text (doc_id, text), the shingles, and how often each is there; the last is empty if each is there once."""
     def split(batches):
         for ids, found in portions(batches):
             h, times, size = all_shingles([words(t) for t in found])
             end = np.cumsum(size).tolist()
             shingled = [h[i - n:i].tobytes() for i, n in zip(end, size.tolist())]
             often = [times[i - n:i].astype(np.uint32).tobytes() if n and times[i - n:i].max() > 1 else b"" for i, n in zip(end, size.tolist())]
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(shingled, pa.binary()), pa.array(often, pa.binary())], ["doc_id", "shingles", "times"])
+            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(size), pa.array(shingled, pa.binary()), pa.array(often, pa.binary())], ["doc_id", "size", "shingles", "times"])
 
-    return texts.select("doc_id", "text").mapInArrow(split, "doc_id long, shingles binary, times binary")
+    return texts.select("doc_id", "text").mapInArrow(split, "doc_id long, size long, shingles binary, times binary")
 
 
 def repeated(shingled: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -284,13 +284,19 @@ def compared(groups: DataFrame, own: DataFrame, least: float = SIMILAR) -> DataF
                     found.append((min(x, y), max(x, y)))
         return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
 
-    return groups.join(own, "doc_id").groupBy("key", "block").applyInArrow(judge, "u long, v long")
+    return groups.join(own.drop("size"), "doc_id").groupBy("key", "block").applyInArrow(judge, "u long, v long")
 
 
 def blocks(members: DataFrame) -> DataFrame:
-    """The rows of ``compared``, of ``members`` (key, doc_id, label, centre, n, centres): CHUNK centres and CHUNK members of a bucket meet in a block."""
-    rows, columns = (F.ceil(F.col(x) / CHUNK).cast("int") for x in ("centres", "n"))
-    placed = members.withColumns({"rows": rows, "columns": columns}).withColumns({
+    """The rows of ``compared``, of ``members`` (key, doc_id, label, centre, n, volume, centres, centres_volume).
+
+    A bucket has n members of ``volume`` shingles; about CHUNK of its centres and CHUNK of its
+    members meet in a block, fewer if they are long.
+    """
+    def parts(n, volume):
+        return F.greatest(F.ceil(F.col(n) / CHUNK), F.ceil(F.col(volume) / VOLUME)).cast("int")
+
+    placed = members.withColumns({"rows": parts("centres", "centres_volume"), "columns": parts("n", "volume")}).withColumns({
         "own_row": F.pmod(F.xxhash64("doc_id", F.lit(-2)), "rows").cast("int"), "own_column": F.pmod(F.xxhash64("doc_id", F.lit(-1)), "columns").cast("int")})
     in_row = "transform(sequence(0, columns - 1), x -> struct(own_row * columns + x AS block, true AS row, x = own_column AS column))"
     in_column = "transform(filter(sequence(0, rows - 1), x -> NOT centre OR x <> own_row), x -> struct(x * columns + own_column AS block, false AS row, true AS column))"
@@ -337,7 +343,7 @@ def dealt(members: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataF
     either before more than that. Counters put rare shingles first, which keeps buckets small; a
     shingle that its counter has seen once is in one text only.
     """
-    own = (hashed(texts) if "text" in texts.columns else texts).join(members.select("doc_id").distinct(), "doc_id", "left_semi")
+    own = (hashed(texts) if "text" in texts.columns else texts).join(members.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "shingles", "times")
     times = counted(own, COUNTERS)
 
     def split(batch):
@@ -366,19 +372,22 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR, known: Data
     labels, level, centres = components(found if known is None else found.union(known)), 0, SMALL
 
     def named(members):
-        return members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("least", "doc_id").alias("label"))
+        with_size = members.select("key", "doc_id").join(own.select("doc_id", "size"), "doc_id")
+        return with_size.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", "size", F.coalesce("least", "doc_id").alias("label"))
 
     live = named(live.where("doc_id <> u"))  # the centre has met all the others
     while True:
-        sizes = live.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("doc_id").alias("one"))
-        open_keys = (sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("largest"), F.min(F.struct("n", "one")).alias("rarest"))
-                     .select("key", "n", (F.col("n") - F.col("largest.n")).alias("outside"), F.col("largest.label").alias("largest"), F.col("rarest.one").alias("u"))
+        sizes = live.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("size").alias("volume"), F.min("doc_id").alias("one"))
+        open_keys = (sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum("volume").alias("volume"), F.max(F.struct("n", "label", "volume")).alias("largest"),
+                                              F.min(F.struct("n", "one")).alias("rarest"))
+                     .select("key", "n", "volume", (F.col("n") - F.col("largest.n")).alias("outside"), (F.col("volume") - F.col("largest.volume")).alias("outside_volume"),
+                             F.col("largest.label").alias("largest"), F.col("rarest.one").alias("u"))
                      .where("outside > 0"))
         left = stored(live.join(open_keys, "key"), "open-buckets")
         if left.isEmpty():
             return labels
         few, many = left.where(F.col("outside") <= SMALL), left.where(F.col("outside") > SMALL)
-        met = few.withColumns({"centre": F.col("label") != F.col("largest"), "centres": F.col("outside")})
+        met = few.withColumns({"centre": F.col("label") != F.col("largest"), "centres": F.col("outside"), "centres_volume": F.col("outside_volume")})
         level += 1
         finer = level == 1 and LEVELS
         if finer:
@@ -386,8 +395,9 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR, known: Data
         else:
             # the one of the rarest class, and about `centres` others outside the largest
             chosen = (F.col("label") != F.col("largest")) & (F.pmod(F.xxhash64("doc_id", F.lit(level)), F.ceil(F.col("outside") / centres)) == 0) | (F.col("doc_id") == F.col("u"))
-            met = met.union(many.withColumns({"centre": chosen, "centres": F.least(F.col("outside"), F.lit(centres))}))
-            live, centres = many.where(~chosen).select("key", "doc_id", "label"), 2 * centres
+            share = F.least(F.lit(1.0), centres / F.col("outside"))
+            met = met.union(many.withColumns({"centre": chosen, "centres": share * F.col("outside"), "centres_volume": share * F.col("outside_volume")}))
+            live, centres = many.where(~chosen).select("key", "doc_id", "size", "label"), 2 * centres
         more = stored(compared(blocks(met), own, least), "links")
         moved = None if more.isEmpty() else components(more)
         if moved is not None:
@@ -395,7 +405,7 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = SIMILAR, known: Data
             to = moved.select(F.col("node").alias("label"), F.col("least").alias("to"))
             labels = stored(labels.withColumnRenamed("least", "label").join(to, "label", "left").select("node", F.coalesce("to", "label").alias("least")).union(moved), "labels")
             if not finer:
-                live = live.join(to, "label", "left").select("key", "doc_id", F.coalesce("to", "label").alias("label"))
+                live = live.join(to, "label", "left").select("key", "doc_id", "size", F.coalesce("to", "label").alias("label"))
         if finer:
             live = named(live)
 

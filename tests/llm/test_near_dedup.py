@@ -124,9 +124,11 @@ def test_a_large_class_is_compared_with_what_lies_outside_it_once(spark, docs_of
 
 def test_centres_meet_all_members_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(nd, "CHUNK", 8)
-    sizes = {1: (70, 30), 2: (20, 3), 3: (5, 5), 4: (9, 1)}
-    members = spark.createDataFrame([(key, 1000 * key + i, i, i < centres, n, centres) for key, (n, centres) in sizes.items() for i in range(n)],
-                                    "key long, doc_id long, label long, centre boolean, n long, centres long")
+    monkeypatch.setattr(nd, "VOLUME", 400)
+    sizes, long = {1: (70, 30), 2: (20, 3), 3: (5, 5), 4: (9, 1), 5: (40, 20)}, {5: 200}  # key: members, centres; shingles of each
+    members = spark.createDataFrame([(key, 1000 * key + i, i, i < centres, n, n * long.get(key, 10), centres, centres * long.get(key, 10))
+                                     for key, (n, centres) in sizes.items() for i in range(n)],
+                                    "key long, doc_id long, label long, centre boolean, n long, volume long, centres long, centres_volume long")
     found = {}
     for r in nd.blocks(members).collect():
         assert r.row or r.column
@@ -136,6 +138,7 @@ def test_centres_meet_all_members_in_blocks(spark, monkeypatch):
     met = [(key, a, b) for (key, _), (rows, columns) in found.items() for a in rows for b in columns]
     assert sorted(met) == sorted((key, 1000 * key + a, 1000 * key + b) for key, (n, centres) in sizes.items() for a in range(centres) for b in range(n))
     assert max(max(map(len, x)) for x in found.values()) < 24
+    assert max(max(map(len, x)) for (key, _), x in found.items() if key == 5) < 10  # of long texts fewer
 
 
 def test_signatures_of_many_texts_are_those_of_each(monkeypatch):
